@@ -68,14 +68,6 @@ def _fold_tables():
     return "".join(single_src), "".join(single_dst), multi
 
 
-def _char_class(chars) -> str:
-    out = []
-    for ch in chars:
-        cp = ord(ch)
-        out.append(f"\\x{{{cp:X}}}")
-    return "[" + "".join(out) + "]"
-
-
 def ascii_fold(col) -> Column:
     """NFKD decomposition with every non-ASCII result dropped.
 
@@ -86,10 +78,16 @@ def ascii_fold(col) -> Column:
     """
     src, dst, multi = _fold_tables()
     x = _c(col)
-    mapping = F.create_map(*[F.lit(v) for kv in sorted(multi.items()) for v in kv])
+    # one string literal, folded once into a map constant
+    packed = "\x01".join(f"{k}\x02{v}" for k, v in sorted(multi.items()))
+    mapping = F.str_to_map(F.lit(packed), F.lit("\x01"), F.lit("\x02"))
     expanded = F.array_join(
         F.transform(F.split(x, ""), lambda ch: F.coalesce(F.element_at(mapping, ch), ch)), "")
-    x = F.when(x.rlike(_char_class(sorted(multi))), expanded).otherwise(x)
+    # guard: does the value hold any multi-character fold?  (translate is one
+    # hash lookup per character; a regex class this large is not)
+    multi_src = "".join(sorted(multi))
+    has_multi = F.length(F.translate(x, multi_src, "")) < F.length(x)
+    x = F.when(has_multi, expanded).otherwise(x)
     x = F.translate(x, src, dst)
     return F.regexp_replace(x, r"[^\x00-\x7F]", "")
 

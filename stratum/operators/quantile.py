@@ -12,8 +12,9 @@ rows) runs in one task.  ``exact_median`` instead
    holding the lower and the upper middle position,
 4. scans only those chunks with a running count to pick the two values.
 
-``agg_with_median`` picks between the built-in aggregate (groups proven
-small by a size check) and the distributed path.
+``agg_with_median`` uses the distributed path by default; ``builtin``
+forces Spark's aggregate and ``auto`` picks it only for groups proven small
+by a size check.
 """
 
 from __future__ import annotations
@@ -25,7 +26,10 @@ from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
 
-# Groups up to this many rows use the in-memory ``median`` aggregate.
+# ``distributed`` is the default: measured faster than the built-in
+# percentile aggregate already at 600k rows, and safe for hot groups.
+DEFAULT_STRATEGY = "distributed"
+# With ``auto``, groups up to this many rows use the in-memory aggregate.
 DEFAULT_MAX_GROUP_ROWS = 2_000_000
 STRATEGY_CONF = "stratum.median.strategy"          # auto | builtin | distributed
 MAX_GROUP_CONF = "stratum.median.maxGroupRows"
@@ -35,11 +39,11 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     if not keys:
         return left.withColumn("_all", F.lit(0)).join(
             right.withColumn("_all", F.lit(0)), "_all", how).drop("_all")
-    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-    joined = left.join(right, cond, how)
-    return joined.select(*[left[k] for k in keys],
-                         *[left[c] for c in left.columns if c not in keys],
-                         *[right[c] for c in right.columns if c not in keys])
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c)
+                             for c in right.columns])
+    cond = reduce(lambda a, b: a & b,
+                  [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def exact_median(df: DataFrame, keys: list[str], value: str, alias: str = "median",
@@ -101,7 +105,7 @@ def median_strategy(df: DataFrame, keys: list[str], strategy: str | None = None,
     size); nothing else reaches the driver.
     """
     spark = df.sparkSession
-    strategy = strategy or spark.conf.get(STRATEGY_CONF, "auto")
+    strategy = strategy or spark.conf.get(STRATEGY_CONF, DEFAULT_STRATEGY)
     if strategy in ("builtin", "distributed"):
         return strategy
     limit = max_group_rows or int(spark.conf.get(MAX_GROUP_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
@@ -117,8 +121,14 @@ def agg_with_median(df: DataFrame, keys: list[str], aggs: list[Column], value: s
     keys = list(keys)
     how = median_strategy(df, keys, strategy, max_group_rows)
     grouped = df.groupBy(*keys) if keys else df.groupBy()
-    if how == "builtin":
+    # A percentile buffer inside the Expand that distinct aggregates need
+    # would be built for every (group, distinct value) pair: keep it apart.
+    has_distinct = any("DISTINCT" in str(a) for a in aggs)
+    if how == "builtin" and not has_distinct:
         return grouped.agg(*aggs, F.median(value).alias(alias))
     base = grouped.agg(*aggs)
-    med = exact_median(df, keys, value, alias)
+    if how == "builtin":
+        med = grouped.agg(F.median(value).alias(alias))
+    else:
+        med = exact_median(df, keys, value, alias)
     return _null_safe_join(base, med, keys, "left")

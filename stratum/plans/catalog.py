@@ -62,3 +62,181 @@ def q_factor_dominance(spark, sf_dir):
 def q_factor_grouping_sets(spark, sf_dir):
     s = star(spark, sf_dir)
     return analytics.factor_groups(s.fact, s.dim_company, s.dim_executive)
+
+
+# --- functions, silver and gold ---------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..functions import buckets, numeric, text  # noqa: E402
+from ..operators.ordering import assign_dense_keys, best_per_key  # noqa: E402
+from ..sources.tables import Tables  # noqa: E402
+from . import fixtures, gold, silver  # noqa: E402
+from .oracle import SILVER_GOLD  # noqa: E402
+
+
+def _sg(name):
+    return register(name, SILVER_GOLD.get(name))
+
+
+@_sg("missing_values")
+def q_missing_values(spark, sf_dir):
+    raw = fixtures.raw_orders_text(Tables(spark, sf_dir).orders)
+    return raw.select("o_orderkey", F.col("Industry").alias("raw_text"),
+                      text.missing_to_null("Industry").alias("cleaned"))
+
+
+@_sg("try_numeric")
+def q_try_numeric(spark, sf_dir):
+    raw = fixtures.raw_orders_text(Tables(spark, sf_dir).orders)
+    return raw.select("o_orderkey", F.col("Rank").alias("raw_text"),
+                      numeric.coerce_numeric("Rank", "bigint").alias("as_bigint"),
+                      numeric.coerce_numeric("Rank", "double").alias("as_double"))
+
+
+@_sg("parse_money")
+def q_parse_money(spark, sf_dir):
+    raw = fixtures.raw_orders_text(Tables(spark, sf_dir).orders)
+    return raw.select("o_orderkey", "Valuation_Formatted",
+                      numeric.parse_money("Valuation_Formatted", 1e9).alias("valuation_usd"))
+
+
+@_sg("silver_startups")
+def q_silver_startups(spark, sf_dir):
+    raw = fixtures.raw_orders_text(Tables(spark, sf_dir).orders)
+    return silver.refine_startups(raw)
+
+
+def _raw_profiles(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return fixtures.raw_profiles(t.supplier, t.nation)
+
+
+def _raw_rankings(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return fixtures.raw_rankings(t.supplier, t.nation, t.region)
+
+
+@_sg("clean_profiles")
+def q_clean_profiles(spark, sf_dir):
+    return silver.clean_profiles(_raw_profiles(spark, sf_dir))
+
+
+@_sg("rank_clean")
+def q_rank_clean(spark, sf_dir):
+    return silver.clean_rankings(_raw_rankings(spark, sf_dir))
+
+
+@_sg("rank_number")
+def q_rank_number(spark, sf_dir):
+    raw = _raw_rankings(spark, sf_dir)
+    return raw.select(F.col("Row").alias("s_suppkey"), F.col("QS Rank 2026").alias("rank_text"),
+                      text.first_number("QS Rank 2026").alias("QS_Rank_Num"))
+
+
+@_sg("tier_flag")
+def q_tier_flag(spark, sf_dir):
+    raw = _raw_rankings(spark, sf_dir)
+    r = text.first_number("QS Rank 2026")
+    return raw.select(F.col("Row").alias("s_suppkey"), r.alias("QS_Rank_Num"),
+                      buckets.rank_tier(r).alias("tier"))
+
+
+@_sg("best_per_key")
+def q_best_per_key(spark, sf_dir):
+    return silver.best_rank_per_institution(silver.clean_rankings(_raw_rankings(spark, sf_dir)))
+
+
+@_sg("rank_enrich")
+def q_rank_enrich(spark, sf_dir):
+    prof = silver.clean_profiles(_raw_profiles(spark, sf_dir))
+    keyed = prof.withColumn("university_match_key", text.name_key("universityLabel"))
+    best = silver.best_rank_per_institution(silver.clean_rankings(_raw_rankings(spark, sf_dir)))
+    return keyed.join(best.select("university_match_key", "QS_Rank_Num"), "university_match_key", "left") \
+        .select("companyLabel", "executiveLabel", "universityLabel", "degreeLabel",
+                "university_match_key", "QS_Rank_Num")
+
+
+@_sg("silver_executive_profiles")
+def q_silver_executive_profiles(spark, sf_dir):
+    return silver.executive_profiles(_raw_profiles(spark, sf_dir), _raw_rankings(spark, sf_dir))
+
+
+def _gold_inputs(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    startups = fixtures.startups_from_part(t.part)
+    execs = silver.executive_profiles(fixtures.raw_profiles(t.supplier, t.nation),
+                                      fixtures.raw_rankings(t.supplier, t.nation, t.region))
+    return startups, execs
+
+
+@_sg("explode_founders")
+def q_explode_founders(spark, sf_dir):
+    startups, _ = _gold_inputs(spark, sf_dir)
+    return gold.explode_founders(startups)
+
+
+@_sg("gold_dim_company")
+def q_gold_dim_company(spark, sf_dir):
+    startups, _ = _gold_inputs(spark, sf_dir)
+    return gold.dim_company(startups)
+
+
+@_sg("gold_dim_executive")
+def q_gold_dim_executive(spark, sf_dir):
+    startups, execs = _gold_inputs(spark, sf_dir)
+    return gold.dim_executive(gold.explode_founders(startups), execs)
+
+
+@_sg("gold_fact")
+def q_gold_fact(spark, sf_dir):
+    startups, execs = _gold_inputs(spark, sf_dir)
+    founders = gold.explode_founders(startups)
+    dc = gold.dim_company(startups)
+    de = gold.dim_executive(founders, execs)
+    return gold.fact_valuation_grit(startups, founders, dc, de)
+
+
+@_sg("coverage_check")
+def q_coverage_check(spark, sf_dir):
+    startups, execs = _gold_inputs(spark, sf_dir)
+    founders = gold.explode_founders(startups)
+    dc = gold.dim_company(startups)
+    de = gold.dim_executive(founders, execs)
+    fact = gold.fact_valuation_grit(startups, founders, dc, de)
+    return gold.coverage_check(startups, fact, dc)
+
+
+@_sg("name_key")
+def q_name_key(spark, sf_dir):
+    docs = Tables(spark, sf_dir).documents
+    return docs.select("doc_id", text.name_key("text").alias("name_key"))
+
+
+@_sg("content_md5")
+def q_content_md5(spark, sf_dir):
+    docs = Tables(spark, sf_dir).documents
+    return docs.select("doc_id", F.md5(F.col("text")).alias("content_md5"))
+
+
+@_sg("slug_id")
+def q_slug_id(spark, sf_dir):
+    part = Tables(spark, sf_dir).part
+    return part.select("p_partkey", text.slug("p_name").alias("slug"),
+                       F.concat(text.slug("p_name"), F.lit("_"), text.slug("p_type")).alias("composite_id"))
+
+
+@_sg("dense_keys")
+def q_dense_keys(spark, sf_dir):
+    part = Tables(spark, sf_dir).part.select("p_partkey", "p_name", "p_brand")
+    return assign_dense_keys(part, ["p_name", "p_partkey"], key="key")
+
+
+@_sg("grit_index")
+def q_grit_index(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    de = fixtures.dim_executive(t.supplier).select("executive_key", "tier_flag")
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    j = li.join(t.part.select("p_partkey", "p_size"), li["l_partkey"] == F.col("p_partkey")) \
+          .join(de, li["l_suppkey"] == de["executive_key"])
+    return j.select("l_orderkey", "l_linenumber",
+                    buckets.grit_index("p_size", "tier_flag").alias("experience_grit_index"))

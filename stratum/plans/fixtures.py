@@ -69,3 +69,103 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
     dc = dim_company(t.part)
     de = dim_executive(t.supplier)
     return Star(fact(t.lineitem, dc, de), dc, de)
+
+
+# --- raw (bronze-like) analogue inputs for the silver and gold jobs ---------
+# Every row of the source table is kept; markers, padding, duplicates and
+# missing values are introduced by fixed rules on key values.
+
+def _s(c):
+    return F.col(c).cast("string")
+
+
+def raw_orders_text(orders: DataFrame) -> DataFrame:
+    """Text-typed startup-like table over ``orders`` (one row per order)."""
+    k = F.col("o_orderkey")
+    marker = (F.when(k % 6 == 0, F.lit("NA")).when(k % 6 == 1, F.lit(" N/A "))
+              .when(k % 6 == 2, F.lit("null")).when(k % 6 == 3, F.lit(""))
+              .otherwise(F.concat(F.lit("  "), F.col("o_orderpriority"), F.lit(" "))))
+    return orders.select(
+        k.alias("o_orderkey"),
+        F.when(k % 5 == 0, F.lit("n/a")).otherwise(_s("o_custkey")).alias("Rank"),
+        F.concat(F.lit("Order "), _s("o_orderkey")).alias("Company"),
+        F.concat(F.lit("$"), F.floor("o_totalprice").cast("string"), F.lit("B")).alias("Valuation_Formatted"),
+        marker.alias("Industry"),
+        F.col("o_orderstatus").alias("Status"),
+        (F.lit(1990) + F.col("o_custkey") % 34).cast("string").alias("Year_Founded"),
+        F.when(k % 9 == 0, F.lit("NULL"))
+         .otherwise((F.lit(36) - F.col("o_custkey") % 34).cast("string")).alias("Company_Age_Years"),
+    )
+
+
+def _university(nation_name, variant):
+    return (F.when(variant == 0, F.concat(F.lit("University of "), nation_name))
+            .when(variant == 1, F.concat(F.lit("UNIVERSITY OF "), nation_name, F.lit(" (Main Campus)")))
+            .when(variant == 2, F.concat(F.lit("Univérsité of "), nation_name))
+            .otherwise(F.concat(F.lit("University  of "), nation_name, F.lit(" & Tech"))))
+
+
+def raw_profiles(supplier: DataFrame, nation: DataFrame) -> DataFrame:
+    """Executive profile extract: one row per supplier plus duplicates and second degrees."""
+    k = F.col("s_suppkey")
+    j = supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"])
+    base = j.select(
+        F.when(k % 13 == 0, F.lit("NA")).otherwise(F.concat(F.lit("Company "), F.col("n_name")))
+         .alias("companyLabel"),
+        F.concat(F.lit(" "), F.col("s_name"), F.lit(" ")).alias("executiveLabel"),
+        F.when(k % 17 == 0, F.lit("N/A")).otherwise(_university(F.col("n_name"), k % 4))
+         .alias("universityLabel"),
+        F.when(k % 3 == 0, F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lit("Degree "), (k % 3).cast("string"))).alias("degreeLabel"),
+        k.alias("_k"), F.col("n_name").alias("_n"),
+    )
+    dup = base.where(F.col("_k") % 3 == 0)
+    second = base.where(F.col("_k") % 5 == 0).withColumn(
+        "universityLabel", F.concat(F.lit("Institute of "), F.col("_n")))
+    cols = ["companyLabel", "executiveLabel", "universityLabel", "degreeLabel"]
+    return base.select(cols).unionByName(dup.select(cols)).unionByName(second.select(cols))
+
+
+def rank_text(key):
+    k = key.cast("string")
+    k2 = (key + 49).cast("string")
+    return (F.when(key % 4 == 0, F.concat(F.lit("="), k))
+            .when(key % 4 == 1, F.concat(k, F.lit("-"), k2))
+            .when(key % 4 == 2, F.concat(k, F.lit("+")))
+            .otherwise(F.lit("n/a")))
+
+
+def raw_rankings(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    """Ranking sheet: one row per supplier, institution named after its nation."""
+    k = F.col("s_suppkey")
+    j = (supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"])
+         .join(region, nation["n_regionkey"] == region["r_regionkey"]))
+    inst = F.when(k % 2 == 0, F.concat(F.lit("University of "), F.col("n_name"))) \
+        .otherwise(F.concat(F.lit("University of "), F.col("n_name"), F.lit(" ("), F.col("r_name"), F.lit(")")))
+    return j.select(k.alias("Row"), inst.alias("Institution Name"), rank_text(k).alias("QS Rank 2026"))
+
+
+def startups_from_part(part: DataFrame) -> DataFrame:
+    """Silver-typed startups, one per part, founders named like suppliers."""
+    k = F.col("p_partkey")
+
+    def sup(expr):
+        return F.concat(F.lit("Supplier#"), F.lpad(expr.cast("string"), 9, "0"))
+
+    founders = (F.when(k % 11 == 0, F.lit(None).cast("string"))
+                .when(k % 13 == 0, F.lit(" , "))
+                .otherwise(F.concat(sup(k % 97), F.lit(", "), sup((k * 7) % 89))))
+    price = F.col("p_retailprice")
+    return part.select(
+        F.concat(F.col("p_name"), F.lit(" #"), _s("p_partkey")).alias("Company"),
+        F.col("p_brand").alias("Industry"),
+        F.col("p_type").alias("Country"),
+        F.concat(F.lit("Continent "), (F.col("p_size") % 7).cast("string")).alias("Continent"),
+        F.concat(F.lit("City "), (k % 50).cast("string")).alias("City"),
+        founders.alias("Founders"),
+        F.concat(F.lit("$"), F.floor(price).cast("string"), F.lit("B")).alias("Valuation_Formatted"),
+        F.when(price >= 990, F.lit("Hectocorn")).when(price >= 950, F.lit("Decacorn"))
+         .otherwise(F.lit("Unicorn")).alias("Valuation_Tier"),
+        (F.lit(2026) - F.col("p_size")).cast("bigint").alias("Year_Founded"),
+        F.col("p_size").cast("bigint").alias("Company_Age_Years"),
+    )
