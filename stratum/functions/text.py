@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import unicodedata
 
 from pyspark.sql import Column, DataFrame
@@ -43,7 +44,11 @@ def normalize_missing(df: DataFrame, markers=MISSING_MARKERS,
     """Apply :func:`missing_to_null` to every string column (or ``columns``)."""
     names = columns or [f.name for f in df.schema.fields
                         if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({n: missing_to_null(n, markers) for n in names})
+    # strip in one projection, test markers in the next: each value is
+    # stripped once (a projection is not collapsed into its consumer when
+    # that would evaluate a costly expression twice)
+    stripped = df.withColumns({n: strip_ws(n) for n in names})
+    return stripped.withColumns({n: F.when(~F.col(n).isin(*markers), F.col(n)) for n in names})
 
 
 @functools.lru_cache(maxsize=1)
@@ -93,11 +98,16 @@ def ascii_fold(col) -> Column:
 
 
 def apply_alias(col, aliases: dict) -> Column:
+    """Replace a value equal to an alias key by its target.
+
+    An anchored whole-value ``regexp_replace`` per entry, so the (costly)
+    input expression is referenced once and evaluated once.
+    """
     x = _c(col)
-    out = x
     for k, v in aliases.items():
-        out = F.when(x == F.lit(k), F.lit(v)).otherwise(out)
-    return out
+        target = v.replace("\\", "\\\\").replace("$", "\\$")
+        x = F.regexp_replace(x, "^" + re.escape(k) + "$", target)
+    return x
 
 
 def name_key(col, aliases: dict | None = None, empty_as_null: bool = False) -> Column:

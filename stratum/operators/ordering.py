@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint
+from ..session import materialize
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition id << 33 | row index
 
@@ -44,7 +44,7 @@ def with_global_position(df: DataFrame, order: list, name: str = "_pos",
     tagged = (df.repartitionByRange(n, *cols)
               .sortWithinPartitions(*cols)
               .withColumn("_mid", F.monotonically_increasing_id()))
-    tagged = reliable_checkpoint(tagged)
+    tagged = materialize(tagged, "positions")
     tagged = tagged.withColumns({
         "_pid": F.shiftright("_mid", _LOCAL_BITS),
         "_local": F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)),

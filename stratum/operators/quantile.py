@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint
+from ..session import materialize
 
 # ``distributed`` is the default: measured faster than the built-in
 # percentile aggregate already at 600k rows, and safe for hot groups.
@@ -64,7 +64,7 @@ def exact_median(df: DataFrame, keys: list[str], value: str, alias: str = "media
     laid = (pairs.repartitionByRange(n_part, *order)
             .withColumn("_pid", F.spark_partition_id()))
     # one physical layout for both uses below
-    laid = reliable_checkpoint(laid)
+    laid = materialize(laid, "median")
 
     chunks = laid.groupBy("_pid", *keys).agg(F.sum("_c").alias("_cnt"))
     by_group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))

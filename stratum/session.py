@@ -87,3 +87,17 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, name: str = "mat") -> DataFrame:
+    """Write ``df`` once as a parquet table in the shared folder and read it back.
+
+    Cuts the lineage like a reliable checkpoint, but computes the plan once
+    (an eager RDD checkpoint runs it twice unless cached) and stores it
+    columnar.  Values derived from the physical layout (partition ids) must
+    be columns of ``df``: they are then fixed for every later use.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

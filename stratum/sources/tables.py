@@ -10,10 +10,30 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
+# Tables that carry the row volume (the rest are small dimensions).
+BULK = frozenset({"customer", "part", "orders", "lineitem", "events", "documents",
+                  "embeddings", "pages", "conversations"})
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer splits than the session has cores.
+
+    A file written as one row group is read by one task however large it
+    is; CPU-heavy work after it (text cleaning, joins, aggregation) would
+    then run on one core.  On a cluster, bulk tables have far more splits
+    than cores and this returns ``df`` unchanged (no shuffle is added).
+    Filters and column pruning still reach the scan below the exchange.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One parquet table; column pruning and filters reach the scan."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df) if name in BULK else df
 
 
 class Tables:
