@@ -240,3 +240,54 @@ def q_grit_index(spark, sf_dir):
           .join(de, li["l_suppkey"] == de["executive_key"])
     return j.select("l_orderkey", "l_linenumber",
                     buckets.grit_index("p_size", "tier_flag").alias("experience_grit_index"))
+
+
+# --- bronze and the graph pattern ---------------------------------------------
+from . import bronze, graph as graph_plans  # noqa: E402
+from .oracle import BRONZE_GRAPH  # noqa: E402
+
+
+def _bg(name):
+    return register(name, BRONZE_GRAPH.get(name))
+
+
+@_bg("ingest_manifest")
+def q_ingest_manifest(spark, sf_dir):
+    docs = Tables(spark, sf_dir).documents
+    listing = fixtures.document_listing(docs).where(bronze.extension_filter("object_name"))
+    plan = bronze.plan_ingest(listing, fixtures.prior_manifest(docs))
+    return plan.select("object_name", text.base_name("object_name").alias("file_name"),
+                       "source_system", "content_md5", "size", "action")
+
+
+@_bg("latest_object")
+def q_latest_object(spark, sf_dir):
+    listing = fixtures.document_listing(Tables(spark, sf_dir).documents)
+    return bronze.latest_object(listing, "_ranking_", ".xlsx", group=["source"])
+
+
+@_bg("storage_footprint")
+def q_storage_footprint(spark, sf_dir):
+    return bronze.storage_footprint(fixtures.footprint_sizes(Tables(spark, sf_dir).documents))
+
+
+def _triples(spark, sf_dir):
+    return graph_plans.triples_from_tables(Tables(spark, sf_dir))
+
+
+@_bg("subclass_closure")
+def q_subclass_closure(spark, sf_dir):
+    triples, _ = _triples(spark, sf_dir)
+    return graph_plans.subclass_closure(triples)
+
+
+@_bg("class_closure")
+def q_class_closure(spark, sf_dir):
+    triples, _ = _triples(spark, sf_dir)
+    return graph_plans.class_closure(triples).select("node", "anc")
+
+
+@_bg("bgp_join")
+def q_bgp_join(spark, sf_dir):
+    triples, labels = _triples(spark, sf_dir)
+    return graph_plans.bgp_join(triples, labels)

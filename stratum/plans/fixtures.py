@@ -169,3 +169,38 @@ def startups_from_part(part: DataFrame) -> DataFrame:
         (F.lit(2026) - F.col("p_size")).cast("bigint").alias("Year_Founded"),
         F.col("p_size").cast("bigint").alias("Company_Age_Years"),
     )
+
+
+def document_listing(documents: DataFrame) -> DataFrame:
+    """``documents`` as an object listing (one object per document)."""
+    ext = (F.when(F.col("lang") == "en", F.lit(".xlsx")).when(F.col("lang") == "fr", F.lit(".csv"))
+           .when(F.col("lang") == "de", F.lit(".json")).otherwise(F.lit(".parquet")))
+    name = F.concat(F.col("source"), F.lit("/"), F.col("lang"), F.lit("_ranking_"),
+                    (F.lit(2000) + F.col("n_chars") % 37).cast("string"), F.lit("_"),
+                    F.col("doc_id").cast("string"), ext)
+    return documents.select(
+        "doc_id", "source", "lang", name.alias("object_name"),
+        F.md5(F.col("text")).alias("content_md5"),
+        F.col("n_chars").alias("size"),
+        F.col("doc_id").alias("modification_time"),
+        F.when(F.col("source") == "src0", F.lit("wikidata_sparql_api"))
+         .otherwise(F.lit("local_file_system")).alias("source_system"))
+
+
+def prior_manifest(documents: DataFrame) -> DataFrame:
+    """Stored manifest from an earlier run: some objects absent, some changed since."""
+    listing = document_listing(documents)
+    k = F.col("doc_id")
+    return listing.where(k % 7 != 0).select(
+        "object_name",
+        F.when(k % 5 == 0, F.md5(F.concat(F.col("object_name"), F.lit("#v0"))))
+         .otherwise(F.col("content_md5")).alias("original_md5"))
+
+
+def footprint_sizes(documents: DataFrame) -> DataFrame:
+    """(layer, dataset, component, size) rows, one per document."""
+    layer = F.when(F.col("lang").isin("en", "fr"), F.lit("bronze")).otherwise(F.lit("silver"))
+    comp = (F.when(layer == "bronze", F.lit("raw_file"))
+            .when(F.col("doc_id") % 10 == 0, F.lit("delta_log")).otherwise(F.lit("parquet_data")))
+    return documents.select(layer.alias("layer"), F.col("source").alias("dataset"),
+                            comp.alias("component"), F.col("n_chars").alias("size"))
