@@ -291,3 +291,18 @@ def q_class_closure(spark, sf_dir):
 def q_bgp_join(spark, sf_dir):
     triples, labels = _triples(spark, sf_dir)
     return graph_plans.bgp_join(triples, labels)
+
+
+# --- file sources ---------------------------------------------------------------
+from ..session import scratch_path  # noqa: E402
+from ..sources import files  # noqa: E402
+
+NATION_SCHEMA = "n_nationkey INT, n_name STRING, n_regionkey INT"
+
+
+@register("csv_roundtrip", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def q_csv_roundtrip(spark, sf_dir):
+    """``nation`` written as delimited text to the shared folder and read back."""
+    path = scratch_path(spark, "csv")
+    files.write_csv(Tables(spark, sf_dir).nation, path)
+    return files.read_csv(spark, path, NATION_SCHEMA)
