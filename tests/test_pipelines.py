@@ -112,3 +112,20 @@ def test_queries_match_oracle_on_smallest_scale(spark):
         want = norm(tuple(r[i] for i in idx) for r in res.fetchall())
         assert len(got) == len(want), name
         assert got == want, name
+
+
+def test_streaming_landing_available_now(spark):
+    from stratum.streaming.landing import start_landing
+    base = tempfile.mkdtemp(prefix="stream-")
+    zone = os.path.join(base, "zone")
+    os.makedirs(zone)
+    _write(os.path.join(zone, "a.csv"), b"1\n")
+    _write(os.path.join(zone, "b.txt"), b"2\n")
+    _write(os.path.join(zone, "skip.bin"), b"3\n")
+    out, man, ck = (os.path.join(base, x) for x in ("bronze", "manifest", "ck"))
+    q = start_landing(spark, zone, out, man, checkpoint=ck)
+    q.awaitTermination(120)
+    assert sorted(r[0] for r in spark.read.parquet(man).select("object_name").collect()) == ["a.csv", "b.txt"]
+    q2 = start_landing(spark, zone, out, man, checkpoint=ck)   # restart: nothing new
+    q2.awaitTermination(120)
+    assert spark.read.parquet(out).count() == 2
