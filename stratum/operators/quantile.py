@@ -12,9 +12,9 @@ rows) runs in one task.  ``exact_median`` instead
    holding the lower and the upper middle position,
 4. scans only those chunks with a running count to pick the two values.
 
-``agg_with_median`` uses the distributed path by default; ``builtin``
-forces Spark's aggregate and ``auto`` picks it only for groups proven small
-by a size check.
+``agg_with_median`` defaults to ``auto``: Spark's aggregate when a size
+check proves every group small, the distributed path otherwise;
+``builtin`` and ``distributed`` force one of them.
 """
 
 from __future__ import annotations
@@ -26,9 +26,10 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-# ``distributed`` is the default: measured faster than the built-in
-# percentile aggregate already at 600k rows, and safe for hot groups.
-DEFAULT_STRATEGY = "distributed"
+# ``auto``: the in-memory aggregate only for groups proven small by a size
+# check (one aggregate returning one number), the distributed path for the
+# rest - so a hot group never lands in one task.
+DEFAULT_STRATEGY = "auto"
 # With ``auto``, groups up to this many rows use the in-memory aggregate.
 DEFAULT_MAX_GROUP_ROWS = 2_000_000
 STRATEGY_CONF = "stratum.median.strategy"          # auto | builtin | distributed
