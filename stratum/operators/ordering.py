@@ -15,6 +15,13 @@ from ..session import materialize
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition id << 33 | row index
 
+STRATEGY_CONF = "stratum.denseKeys.strategy"        # auto | window | distributed
+MAX_WINDOW_CONF = "stratum.denseKeys.maxWindowRows"
+DEFAULT_STRATEGY = "auto"
+# With ``auto``, inputs proven to hold at most this many rows are numbered
+# by one window task (a bounded amount of work in one task).
+DEFAULT_MAX_WINDOW_ROWS = 1_000_000
+
 
 def _order_col(c) -> Column:
     if isinstance(c, str):
@@ -59,17 +66,35 @@ def with_global_position(df: DataFrame, order: list, name: str = "_pos",
               .drop("_mid", "_pid", "_local", "_off")
 
 
+def _small_enough(df: DataFrame, limit: int) -> bool:
+    """Proof that ``df`` holds at most ``limit`` rows (a limited count)."""
+    return df.limit(limit + 1).count() <= limit
+
+
 def assign_dense_keys(df: DataFrame, order: list, key: str = "key", start: int = 1,
-                      complete_order: bool = True, partitions: int | None = None) -> DataFrame:
-    """``ROW_NUMBER() OVER (ORDER BY order)`` as a bigint key, computed distributed.
+                      complete_order: bool = True, partitions: int | None = None,
+                      strategy: str | None = None) -> DataFrame:
+    """``ROW_NUMBER() OVER (ORDER BY order)`` as a bigint key.
 
     With ``complete_order`` the remaining columns are appended to the order
-    so ties are broken the same way on every run.
+    so ties are broken the same way on every run.  ``distributed`` uses
+    :func:`with_global_position`; ``window`` a global window (one task);
+    ``auto`` (default) the window only when a limited count proves the input
+    small, else the distributed path.
     """
     order = list(order)
     if complete_order:
         named = {o for o in order if isinstance(o, str)}
         order += [c for c in df.columns if c not in named]
+    conf = df.sparkSession.conf
+    how = strategy or conf.get(STRATEGY_CONF, DEFAULT_STRATEGY)
+    if how == "auto":
+        limit = int(conf.get(MAX_WINDOW_CONF, str(DEFAULT_MAX_WINDOW_ROWS)))
+        how = "window" if _small_enough(df, limit) else "distributed"
+    if how == "window":
+        w = Window.orderBy(*[_order_col(c) for c in order])
+        out = df.withColumn(key, (F.row_number().over(w) + F.lit(start - 1)).cast("bigint"))
+        return out.select(key, *df.columns)
     out = with_global_position(df, order, "_pos", partitions)
     out = out.withColumn(key, F.col("_pos") + F.lit(start)).drop("_pos")
     return out.select(key, *[c for c in df.columns])

@@ -24,10 +24,12 @@ def spread(df: DataFrame) -> DataFrame:
     than cores and this returns ``df`` unchanged (no shuffle is added).
     Filters and column pruning still reach the scan below the exchange.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without the RDD API: leave the scan as it is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

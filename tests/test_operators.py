@@ -87,3 +87,12 @@ def test_variance_decomposition_brute_force(spark):
         assert got[name].observation_count == sum(len(g) for g in groups.values())
         assert math.isclose(got[name].total_sum_squares, total, rel_tol=1e-9)
         assert math.isclose(got[name].between_group_sum_squares, between, rel_tol=1e-9)
+
+
+def test_dense_key_strategies_agree(spark):
+    part = spark.read.parquet(f"{SF01}/part.parquet").select("p_partkey", "p_name", "p_brand")
+    res = []
+    for s in ("window", "distributed", "auto"):
+        out = assign_dense_keys(part, ["p_brand", "p_name"], key="k", strategy=s)
+        res.append(sorted((r.k, r.p_partkey) for r in out.collect()))
+    assert res[0] == res[1] == res[2]
