@@ -1,7 +1,8 @@
 """Gold layer: star schema with dense surrogate keys.
 
 dim_company and dim_executive get ``ROW_NUMBER() OVER (ORDER BY ...)`` keys
-from :func:`assign_dense_keys` (distributed, no single-task window).  The
+from :func:`assign_dense_keys` (distributed unless the input is proven
+small).  Every stored table is checked against its contract first.  The
 fact is built from the *stored* dimensions when paths are given, so its
 keys are the written ones.
 """
@@ -15,6 +16,7 @@ from ..functions.buckets import DEGREE_UNKNOWN, TIER_UNKNOWN, grit_index
 from ..functions.numeric import parse_money
 from ..functions.text import UNKNOWN_FOUNDER, slug, split_list
 from ..operators.ordering import assign_dense_keys
+from ..schemas import check_contract
 
 
 def explode_founders(startups: DataFrame) -> DataFrame:
@@ -108,12 +110,13 @@ def build_gold(startups: DataFrame, executives: DataFrame, money_scale: float =
     de = dim_executive(founders, executives)
     if path:
         spark = startups.sparkSession
-        dc.write.mode("overwrite").parquet(f"{path}/dim_company")
-        de.write.mode("overwrite").parquet(f"{path}/dim_executive")
+        check_contract(dc, "gold.dim_company").write.mode("overwrite").parquet(f"{path}/dim_company")
+        check_contract(de, "gold.dim_executive").write.mode("overwrite").parquet(f"{path}/dim_executive")
         dc = spark.read.parquet(f"{path}/dim_company")
         de = spark.read.parquet(f"{path}/dim_executive")
     fact = fact_valuation_grit(startups, founders, dc, de, money_scale)
     if path:
-        fact.write.mode("overwrite").parquet(f"{path}/fact_valuation_grit")
+        check_contract(fact, "gold.fact_valuation_grit").write.mode("overwrite") \
+            .parquet(f"{path}/fact_valuation_grit")
         fact = startups.sparkSession.read.parquet(f"{path}/fact_valuation_grit")
     return dc, de, fact

@@ -9,6 +9,7 @@ from ..functions.buckets import DEGREE_UNKNOWN, rank_tier
 from ..functions.numeric import coerce_numeric
 from ..functions.text import find_column, first_number, name_key, normalize_missing
 from ..operators.ordering import best_per_key
+from ..schemas import check_contract
 
 # --- fixed values that must equal the reference's --------------------------
 STARTUP_NUMERIC = ("Rank", "Year_Founded", "Company_Age_Years")
@@ -73,6 +74,11 @@ def executive_profiles(raw_profiles: DataFrame, raw_rankings: DataFrame) -> Data
                       F.col("University_Tier_Flag").cast("string").alias("University_Tier_Flag"))
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Overwrite sink; ``fmt='delta'`` when that source is on the classpath."""
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", contract: str | None = None) -> None:
+    """Overwrite sink; ``fmt='delta'`` when that source is on the classpath.
+
+    With ``contract`` the schema is checked first (no job runs for that).
+    """
+    if contract:
+        check_contract(df, contract)
     df.write.format(fmt).mode("overwrite").save(path)

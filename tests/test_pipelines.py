@@ -129,3 +129,27 @@ def test_streaming_landing_available_now(spark):
     q2 = start_landing(spark, zone, out, man, checkpoint=ck)   # restart: nothing new
     q2.awaitTermination(120)
     assert spark.read.parquet(out).count() == 2
+
+
+def test_gold_build_writes_and_rereads_dimensions(spark):
+    from stratum.plans import fixtures, gold, silver
+    from stratum.schemas import check_contract
+    from stratum.sources.tables import Tables
+    t = Tables(spark, SF001)
+    startups = fixtures.startups_from_part(t.part)
+    execs = silver.executive_profiles(fixtures.raw_profiles(t.supplier, t.nation),
+                                      fixtures.raw_rankings(t.supplier, t.nation, t.region))
+    path = tempfile.mkdtemp(prefix="gold-")
+    silver.write_table(execs, os.path.join(path, "silver_exec"), contract="silver.executive_profiles")
+    dc, de, fact = gold.build_gold(startups, execs, path=path)
+    assert dc.count() == startups.count()
+    keys = [r[0] for r in fact.select("fact_valuation_grit_key").collect()]
+    assert sorted(keys) == list(range(1, len(keys) + 1))
+    # every fact key points at a stored dimension row
+    assert fact.join(dc, "company_key", "left_anti").count() == 0
+    assert fact.join(de, "executive_key", "left_anti").count() == 0
+    assert gold.coverage_check(startups, fact, dc).count() == 0
+    bad = execs.withColumn("QS_Rank_Num", F.lit(None))
+    import pytest
+    with pytest.raises(ValueError):
+        check_contract(bad, "silver.executive_profiles")
