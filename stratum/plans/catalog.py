@@ -306,3 +306,16 @@ def q_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "csv")
     files.write_csv(Tables(spark, sf_dir).nation, path)
     return files.read_csv(spark, path, NATION_SCHEMA)
+
+
+PREAMBLE = ["QS World University Rankings,", "exported from the ranking sheet,"]
+
+
+@register("preamble_scan", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def q_preamble_scan(spark, sf_dir):
+    """``nation`` written with two preamble lines before its header and read back."""
+    path = scratch_path(spark, "preamble")
+    fixtures.write_with_preamble(Tables(spark, sf_dir).nation, path, PREAMBLE)
+    df = files.read_with_preamble(spark, path, header_row=len(PREAMBLE),
+                                  types={"n_nationkey": "int", "n_regionkey": "int"})
+    return df.select("n_nationkey", "n_name", "n_regionkey")

@@ -204,3 +204,25 @@ def footprint_sizes(documents: DataFrame) -> DataFrame:
             .when(F.col("doc_id") % 10 == 0, F.lit("delta_log")).otherwise(F.lit("parquet_data")))
     return documents.select(layer.alias("layer"), F.col("source").alias("dataset"),
                             comp.alias("component"), F.col("n_chars").alias("size"))
+
+
+def write_with_preamble(df: DataFrame, path: str, preamble: list[str], parts: int = 4) -> None:
+    """Write ``df`` as CSV text files that each start with ``preamble`` and a header.
+
+    Rows are spread over ``parts`` file groups by a hash of the first column;
+    each group is one partition directory whose single file holds its
+    preamble and header lines first (ordered by a line-rank column), so no
+    file is written by a task that sees more than its own group.
+    """
+    cols = df.columns
+    line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+    body = df.select(F.pmod(F.hash(F.col(cols[0])), F.lit(parts)).alias("_part"),
+                     F.lit(len(preamble) + 1).alias("_rank"), line.alias("value"))
+    heads = [F.struct(F.lit(i).alias("_rank"), F.lit(text).alias("value"))
+             for i, text in enumerate(list(preamble) + [",".join(cols)])]
+    groups = body.select("_part").distinct()
+    head_rows = groups.select("_part", F.inline(F.array(*heads)))
+    lines = body.unionByName(head_rows)
+    (lines.repartition(parts, "_part").sortWithinPartitions("_part", "_rank")
+          .select("_part", "value")
+          .write.mode("overwrite").partitionBy("_part").text(path))
