@@ -68,6 +68,21 @@ def fact(lineitem: DataFrame, companies: DataFrame, executives: DataFrame) -> Da
 _STORED: dict = {}
 
 
+def stored_tables(spark: SparkSession, key, build) -> dict:
+    """Write the DataFrames ``build()`` returns once per session and ``key``; read back."""
+    full = (id(spark), key)
+    cached = _STORED.get(full)
+    if cached is not None and next(iter(cached.values())).sparkSession is spark:
+        return cached
+    base = scratch_path(spark, "stored")
+    out = {}
+    for name, df in build().items():
+        spread(df).write.mode("overwrite").parquet(f"{base}/{name}")
+        out[name] = spark.read.parquet(f"{base}/{name}")
+    _STORED[full] = out
+    return out
+
+
 def build_star(spark: SparkSession, sf_dir: str) -> Star:
     """The analogue star as a lazy plan over the driver's tables."""
     t = Tables(spark, sf_dir)
@@ -85,20 +100,12 @@ def star(spark: SparkSession, sf_dir: str, stored: bool = True) -> Star:
     """
     if not stored:
         return build_star(spark, sf_dir)
-    key = (id(spark), sf_dir)
-    cached = _STORED.get(key)
-    if cached is not None and cached.fact.sparkSession is spark:
-        return cached
-    built = build_star(spark, sf_dir)
-    base = scratch_path(spark, "star")
-    out = {}
-    for name, df in (("fact", built.fact), ("dim_company", built.dim_company),
-                     ("dim_executive", built.dim_executive)):
-        spread(df).write.mode("overwrite").parquet(f"{base}/{name}")
-        out[name] = spark.read.parquet(f"{base}/{name}")
-    result = Star(out["fact"], out["dim_company"], out["dim_executive"])
-    _STORED[key] = result
-    return result
+
+    def build():
+        s = build_star(spark, sf_dir)
+        return {"fact": s.fact, "dim_company": s.dim_company, "dim_executive": s.dim_executive}
+    out = stored_tables(spark, ("star", sf_dir), build)
+    return Star(out["fact"], out["dim_company"], out["dim_executive"])
 
 
 # --- raw (bronze-like) analogue inputs for the silver and gold jobs ---------
