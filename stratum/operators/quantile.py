@@ -99,17 +99,21 @@ def exact_median(df: DataFrame, keys: list[str], value: str, alias: str = "media
 
 
 def median_strategy(df: DataFrame, keys: list[str], strategy: str | None = None,
-                    max_group_rows: int | None = None) -> str:
+                    max_group_rows: int | None = None, rows_upper_bound: int | None = None) -> str:
     """``builtin`` when the largest group is proven small, else ``distributed``.
 
-    The proof is one aggregate returning a single number (largest group
-    size); nothing else reaches the driver.
+    The proof is either ``rows_upper_bound`` (a known bound on the input's
+    row count, e.g. the stored fact's count when every join is N:1) or one
+    aggregate returning a single number (the largest group size); nothing
+    else reaches the driver.
     """
     spark = df.sparkSession
     strategy = strategy or spark.conf.get(STRATEGY_CONF, DEFAULT_STRATEGY)
     if strategy in ("builtin", "distributed"):
         return strategy
     limit = max_group_rows or int(spark.conf.get(MAX_GROUP_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
+    if rows_upper_bound is not None and rows_upper_bound <= limit:
+        return "builtin"
     sizes = (df.groupBy(*keys) if keys else df.groupBy()).agg(F.count(F.lit(1)).alias("_n"))
     largest = sizes.agg(F.max("_n")).first()[0] or 0
     return "builtin" if largest <= limit else "distributed"
@@ -117,10 +121,11 @@ def median_strategy(df: DataFrame, keys: list[str], strategy: str | None = None,
 
 def agg_with_median(df: DataFrame, keys: list[str], aggs: list[Column], value: str,
                     alias: str = "_median", strategy: str | None = None,
-                    max_group_rows: int | None = None) -> DataFrame:
+                    max_group_rows: int | None = None,
+                    rows_upper_bound: int | None = None) -> DataFrame:
     """``groupBy(keys).agg(*aggs, median(value))`` with a scale-safe median."""
     keys = list(keys)
-    how = median_strategy(df, keys, strategy, max_group_rows)
+    how = median_strategy(df, keys, strategy, max_group_rows, rows_upper_bound)
     grouped = df.groupBy(*keys) if keys else df.groupBy()
     # A percentile buffer inside the Expand that distinct aggregates need
     # would be built for every (group, distinct value) pair: keep it apart.

@@ -11,7 +11,9 @@ Scale notes
   only when its measured size is under the broadcast threshold, otherwise
   sort-merge with AQE skew splitting;
 * medians go through ``agg_with_median`` (distributed exact median for
-  groups that are not proven small).
+  groups that are not proven small).  ``rows_bound`` is a known upper
+  bound on the fact's rows; joins to dimensions are N:1 on their unique
+  surrogate keys, so no group of an analysis can exceed it.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ def _names(unit: float):
     return (f"total_valuation_{w}_usd", f"avg_valuation_{w}_usd", f"median_valuation_{w}_usd")
 
 
-def age_effect(fact: DataFrame, unit: float = 1e9, median_strategy: str | None = None) -> DataFrame:
+def age_effect(fact: DataFrame, unit: float = 1e9, median_strategy: str | None = None, rows_bound: int | None = None) -> DataFrame:
     """Company age bucket vs valuation and grit (companies counted once)."""
     total, avg, med = _names(unit)
     v = F.col("valuation_usd")
@@ -49,7 +51,7 @@ def age_effect(fact: DataFrame, unit: float = 1e9, median_strategy: str | None =
         round_half(F.avg("experience_grit_index"), 2).alias("avg_grit_index"),
         round_half(F.sum(v) / unit, 2).alias(total),
         round_half(F.avg(v) / unit, 2).alias(avg),
-    ], "valuation_usd", _MED, median_strategy)
+    ], "valuation_usd", _MED, median_strategy, rows_upper_bound=rows_bound)
     out = out.withColumn(med, round_half(F.col(_MED) / unit, 2))
     return out.select("company_age_bucket", "total_companies", "avg_company_age_years",
                       "avg_grit_index", total, avg, med) \
@@ -58,7 +60,7 @@ def age_effect(fact: DataFrame, unit: float = 1e9, median_strategy: str | None =
 
 def industry_dominance(fact: DataFrame, dim_company: DataFrame, unit: float = 1e9,
                        min_companies: int = 2, top: int = 10,
-                       median_strategy: str | None = None) -> DataFrame:
+                       median_strategy: str | None = None, rows_bound: int | None = None) -> DataFrame:
     """Top industries by average company valuation (industries with >= 2 companies)."""
     total, avg, med = _names(unit)
     v = F.col("valuation_usd")
@@ -73,7 +75,7 @@ def industry_dominance(fact: DataFrame, dim_company: DataFrame, unit: float = 1e
         round_half(F.sum(v) / unit, 2).alias(total),
         round_half(F.avg(v) / unit, 2).alias(avg),
         round_half(F.avg("experience_grit_index"), 2).alias("avg_grit_index"),
-    ], "valuation_usd", _MED, median_strategy)
+    ], "valuation_usd", _MED, median_strategy, rows_upper_bound=rows_bound)
     out = (out.where(F.col("total_companies") >= min_companies)
               .withColumn(med, round_half(F.col(_MED) / unit, 2)))
     # top-k: TakeOrderedAndProject, industry breaks ties
@@ -82,7 +84,7 @@ def industry_dominance(fact: DataFrame, dim_company: DataFrame, unit: float = 1e
 
 
 def grit_by_tier(fact: DataFrame, dim_executive: DataFrame, unit: float = 1e9,
-                 median_strategy: str | None = None) -> DataFrame:
+                 median_strategy: str | None = None, rows_bound: int | None = None) -> DataFrame:
     """Education tier x grit level cross-tab."""
     total, avg, med = _names(unit)
     v = F.col("valuation_usd")
@@ -98,7 +100,7 @@ def grit_by_tier(fact: DataFrame, dim_executive: DataFrame, unit: float = 1e9,
         round_half(F.avg("experience_grit_index"), 2).alias("avg_grit_index"),
         round_half(F.sum(v) / unit, 2).alias(total),
         round_half(F.avg(v) / unit, 2).alias(avg),
-    ], "valuation_usd", _MED, median_strategy)
+    ], "valuation_usd", _MED, median_strategy, rows_upper_bound=rows_bound)
     out = out.withColumn(med, round_half(F.col(_MED) / unit, 2))
     return out.select("university_tier", "grit_level", "executive_company_pairs", "total_companies",
                       "avg_company_age_years", "avg_grit_index", total, avg, med) \
@@ -106,7 +108,7 @@ def grit_by_tier(fact: DataFrame, dim_executive: DataFrame, unit: float = 1e9,
 
 
 def rank_correlation(fact: DataFrame, dim_executive: DataFrame, unit: float = 1e9,
-                     median_strategy: str | None = None) -> DataFrame:
+                     median_strategy: str | None = None, rows_bound: int | None = None) -> DataFrame:
     """Correlation of founder rank (and 1/rank) with log valuation, one row."""
     _, avg, med = _names(unit)
     v = F.col("valuation_usd")
@@ -123,12 +125,12 @@ def rank_correlation(fact: DataFrame, dim_executive: DataFrame, unit: float = 1e
         round_half(guarded_corr(F.lit(1.0) / q, log_v), 4).alias("corr_qs_quality_vs_log_valuation"),
         round_half(F.avg(q), 2).alias("avg_qs_rank"),
         round_half(F.avg(v) / unit, 2).alias(avg),
-    ], "valuation_usd", _MED, median_strategy)
+    ], "valuation_usd", _MED, median_strategy, rows_upper_bound=rows_bound)
     return out.withColumn(med, round_half(F.col(_MED) / unit, 2)).drop(_MED)
 
 
 def value_by_tier(fact: DataFrame, dim_executive: DataFrame, unit: float = 1e9,
-                  median_strategy: str | None = None) -> DataFrame:
+                  median_strategy: str | None = None, rows_bound: int | None = None) -> DataFrame:
     """Valuation summary per founder education tier."""
     total, avg, med = _names(unit)
     v = F.col("valuation_usd")
@@ -143,7 +145,7 @@ def value_by_tier(fact: DataFrame, dim_executive: DataFrame, unit: float = 1e9,
         round_half(F.sum(v) / unit, 2).alias(total),
         round_half(F.avg(v) / unit, 2).alias(avg),
         round_half(F.avg(F.ln(v)), 4).alias("avg_log_valuation"),
-    ], "valuation_usd", _MED, median_strategy)
+    ], "valuation_usd", _MED, median_strategy, rows_upper_bound=rows_bound)
     out = out.withColumn(med, round_half(F.col(_MED) / unit, 2))
     return out.select("tier_flag", "executive_company_pairs", "total_companies", "total_executives",
                       total, avg, med, "avg_log_valuation") \

@@ -25,31 +25,31 @@ def register(name: str, oracle: str | None = None):
 @register("age_effect", ANALYSES["age_effect"])
 def q_age_effect(spark, sf_dir):
     s = star(spark, sf_dir)
-    return analytics.age_effect(s.fact, unit=UNIT)
+    return analytics.age_effect(s.fact, unit=UNIT, rows_bound=s.fact_rows)
 
 
 @register("industry_dominance", ANALYSES["industry_dominance"])
 def q_industry_dominance(spark, sf_dir):
     s = star(spark, sf_dir)
-    return analytics.industry_dominance(s.fact, s.dim_company, unit=UNIT)
+    return analytics.industry_dominance(s.fact, s.dim_company, unit=UNIT, rows_bound=s.fact_rows)
 
 
 @register("grit_by_tier", ANALYSES["grit_by_tier"])
 def q_grit_by_tier(spark, sf_dir):
     s = star(spark, sf_dir)
-    return analytics.grit_by_tier(s.fact, s.dim_executive, unit=UNIT)
+    return analytics.grit_by_tier(s.fact, s.dim_executive, unit=UNIT, rows_bound=s.fact_rows)
 
 
 @register("rank_correlation", ANALYSES["rank_correlation"])
 def q_rank_correlation(spark, sf_dir):
     s = star(spark, sf_dir)
-    return analytics.rank_correlation(s.fact, s.dim_executive, unit=UNIT)
+    return analytics.rank_correlation(s.fact, s.dim_executive, unit=UNIT, rows_bound=s.fact_rows)
 
 
 @register("value_by_tier", ANALYSES["value_by_tier"])
 def q_value_by_tier(spark, sf_dir):
     s = star(spark, sf_dir)
-    return analytics.value_by_tier(s.fact, s.dim_executive, unit=UNIT)
+    return analytics.value_by_tier(s.fact, s.dim_executive, unit=UNIT, rows_bound=s.fact_rows)
 
 
 @register("factor_dominance", ANALYSES["factor_dominance"])

@@ -22,6 +22,7 @@ class Star:
     fact: DataFrame
     dim_company: DataFrame
     dim_executive: DataFrame
+    fact_rows: int | None = None   # known when the star is stored
 
 
 def dim_company(part: DataFrame) -> DataFrame:
@@ -105,7 +106,10 @@ def star(spark: SparkSession, sf_dir: str, stored: bool = True) -> Star:
         s = build_star(spark, sf_dir)
         return {"fact": s.fact, "dim_company": s.dim_company, "dim_executive": s.dim_executive}
     out = stored_tables(spark, ("star", sf_dir), build)
-    return Star(out["fact"], out["dim_company"], out["dim_executive"])
+    key = (id(spark), ("star-rows", sf_dir))
+    if key not in _STORED:
+        _STORED[key] = {"rows": out["fact"].count()}   # one count of the stored table
+    return Star(out["fact"], out["dim_company"], out["dim_executive"], _STORED[key]["rows"])
 
 
 # --- raw (bronze-like) analogue inputs for the silver and gold jobs ---------
