@@ -56,6 +56,13 @@ def run_gold(spark: SparkSession, silver_dir: str, gold_dir: str, fmt: str = "pa
     return gold.build_gold(startups, executives, path=gold_dir)
 
 
+def register_views(spark: SparkSession, gold_dir: str,
+                   names=("fact_valuation_grit", "dim_company", "dim_executive")) -> None:
+    """Expose the stored gold tables as temporary views for Spark SQL."""
+    for name in names:
+        spark.read.parquet(f"{gold_dir}/{name}").createOrReplaceTempView(name)
+
+
 def run_analyses(spark: SparkSession, gold_dir: str, unit: float = 1e9) -> dict[str, DataFrame]:
     fact = spark.read.parquet(f"{gold_dir}/fact_valuation_grit")
     dc = spark.read.parquet(f"{gold_dir}/dim_company")

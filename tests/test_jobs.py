@@ -42,3 +42,18 @@ def test_silver_gold_analyses_on_published_startups(spark):
     # no ranked or tiered founders without profiles: empty tier reports, null correlation
     assert out["valuation_by_university_tier"].count() == 0
     assert out["qs_rank_correlation_with_valuation"].first().ranked_observations == 0
+
+
+@pytest.mark.skipif(not os.path.exists(STARTUPS), reason="published startups file not present")
+def test_sql_over_registered_gold_views(spark):
+    base = tempfile.mkdtemp(prefix="views-")
+    jobs.run_silver(spark, STARTUPS, f"{base}/silver")
+    jobs.run_gold(spark, f"{base}/silver", f"{base}/gold")
+    jobs.register_views(spark, f"{base}/gold")
+    sql = spark.sql("""
+        SELECT c.industry, COUNT(DISTINCT f.company_key) AS n
+        FROM fact_valuation_grit f JOIN dim_company c ON f.company_key = c.company_key
+        WHERE f.valuation_usd > 0 GROUP BY c.industry HAVING COUNT(DISTINCT f.company_key) >= 2""")
+    top = jobs.run_analyses(spark, f"{base}/gold")["industry_valuation_dominance"]
+    assert {(r.industry, r.n) for r in sql.collect()} == \
+        {(r.industry, r.total_companies) for r in top.collect()}
