@@ -122,14 +122,18 @@ def median_strategy(df: DataFrame, keys: list[str], strategy: str | None = None,
 def agg_with_median(df: DataFrame, keys: list[str], aggs: list[Column], value: str,
                     alias: str = "_median", strategy: str | None = None,
                     max_group_rows: int | None = None,
-                    rows_upper_bound: int | None = None) -> DataFrame:
-    """``groupBy(keys).agg(*aggs, median(value))`` with a scale-safe median."""
+                    rows_upper_bound: int | None = None,
+                    has_distinct: bool = False) -> DataFrame:
+    """``groupBy(keys).agg(*aggs, median(value))`` with a scale-safe median.
+
+    Set ``has_distinct`` when ``aggs`` hold a distinct aggregate: the median
+    is then computed in its own aggregate and joined back by the keys.
+    """
     keys = list(keys)
     how = median_strategy(df, keys, strategy, max_group_rows, rows_upper_bound)
     grouped = df.groupBy(*keys) if keys else df.groupBy()
-    # A percentile buffer inside the Expand that distinct aggregates need
-    # would be built for every (group, distinct value) pair: keep it apart.
-    has_distinct = any("DISTINCT" in str(a) for a in aggs)
+    # A percentile buffer inside the distinct-aggregate plan would be built
+    # for every (group, distinct value) pair: keep it apart.
     if how == "builtin" and not has_distinct:
         return grouped.agg(*aggs, F.median(value).alias(alias))
     base = grouped.agg(*aggs)

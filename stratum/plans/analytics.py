@@ -100,7 +100,8 @@ def grit_by_tier(fact: DataFrame, dim_executive: DataFrame, unit: float = 1e9,
         round_half(F.avg("experience_grit_index"), 2).alias("avg_grit_index"),
         round_half(F.sum(v) / unit, 2).alias(total),
         round_half(F.avg(v) / unit, 2).alias(avg),
-    ], "valuation_usd", _MED, median_strategy, rows_upper_bound=rows_bound)
+    ], "valuation_usd", _MED, median_strategy, rows_upper_bound=rows_bound,
+        has_distinct=True)
     out = out.withColumn(med, round_half(F.col(_MED) / unit, 2))
     return out.select("university_tier", "grit_level", "executive_company_pairs", "total_companies",
                       "avg_company_age_years", "avg_grit_index", total, avg, med) \
@@ -125,7 +126,8 @@ def rank_correlation(fact: DataFrame, dim_executive: DataFrame, unit: float = 1e
         round_half(guarded_corr(F.lit(1.0) / q, log_v), 4).alias("corr_qs_quality_vs_log_valuation"),
         round_half(F.avg(q), 2).alias("avg_qs_rank"),
         round_half(F.avg(v) / unit, 2).alias(avg),
-    ], "valuation_usd", _MED, median_strategy, rows_upper_bound=rows_bound)
+    ], "valuation_usd", _MED, median_strategy, rows_upper_bound=rows_bound,
+        has_distinct=True)
     return out.withColumn(med, round_half(F.col(_MED) / unit, 2)).drop(_MED)
 
 
@@ -145,7 +147,8 @@ def value_by_tier(fact: DataFrame, dim_executive: DataFrame, unit: float = 1e9,
         round_half(F.sum(v) / unit, 2).alias(total),
         round_half(F.avg(v) / unit, 2).alias(avg),
         round_half(F.avg(F.ln(v)), 4).alias("avg_log_valuation"),
-    ], "valuation_usd", _MED, median_strategy, rows_upper_bound=rows_bound)
+    ], "valuation_usd", _MED, median_strategy, rows_upper_bound=rows_bound,
+        has_distinct=True)
     out = out.withColumn(med, round_half(F.col(_MED) / unit, 2))
     return out.select("tier_flag", "executive_company_pairs", "total_companies", "total_executives",
                       total, avg, med, "avg_log_valuation") \

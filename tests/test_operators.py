@@ -49,7 +49,8 @@ def test_agg_with_median_strategies_agree(spark):
     outs = []
     for s in ("builtin", "distributed", "auto"):
         r = agg_with_median(df, ["g"], [F.count(F.lit(1)).alias("n"),
-                                        F.count_distinct("v").alias("d")], "v", "med", strategy=s)
+                                        F.count_distinct("v").alias("d")], "v", "med", strategy=s,
+                            has_distinct=True)
         outs.append(sorted(tuple(x) for x in r.collect()))
     assert outs[0] == outs[1] == outs[2]
 
