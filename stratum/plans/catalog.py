@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from . import analytics
+from pyspark.sql import functions as F
+
+from ..functions import buckets, numeric, text
+from ..operators.ordering import assign_dense_keys
+from ..session import scratch_path
+from ..sources import files
+from ..sources.tables import Tables
+from . import analytics, bronze, fixtures, gold, silver
+from . import graph as graph_plans
 from .fixtures import star
-from .oracle import ANALYSES
+from .oracle import ANALYSES, BRONZE_GRAPH, SILVER_GOLD
 
 # Tests run monetary values in thousands (the analogue prices are ~1e3..1e5).
 UNIT = 1e3
@@ -65,13 +73,7 @@ def q_factor_grouping_sets(spark, sf_dir):
 
 
 # --- functions, silver and gold ---------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
 
-from ..functions import buckets, numeric, text  # noqa: E402
-from ..operators.ordering import assign_dense_keys, best_per_key  # noqa: E402
-from ..sources.tables import Tables  # noqa: E402
-from . import fixtures, gold, silver  # noqa: E402
-from .oracle import SILVER_GOLD  # noqa: E402
 
 
 def _sg(name):
@@ -251,8 +253,6 @@ def q_grit_index(spark, sf_dir):
 
 
 # --- bronze and the graph pattern ---------------------------------------------
-from . import bronze, graph as graph_plans  # noqa: E402
-from .oracle import BRONZE_GRAPH  # noqa: E402
 
 
 def _bg(name):
@@ -302,8 +302,6 @@ def q_bgp_join(spark, sf_dir):
 
 
 # --- file sources ---------------------------------------------------------------
-from ..session import scratch_path  # noqa: E402
-from ..sources import files  # noqa: E402
 
 NATION_SCHEMA = "n_nationkey INT, n_name STRING, n_regionkey INT"
 

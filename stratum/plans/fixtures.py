@@ -160,6 +160,8 @@ def raw_profiles(supplier: DataFrame, nation: DataFrame) -> DataFrame:
          .otherwise(F.concat(F.lit("Degree "), (k % 3).cast("string"))).alias("degreeLabel"),
         k.alias("_k"), F.col("n_name").alias("_n"),
     )
+    # rows are only added: exact duplicates of some rows, and a second
+    # education row for others (the whole supplier table is always present)
     dup = base.where(F.col("_k") % 3 == 0)
     second = base.where(F.col("_k") % 5 == 0).withColumn(
         "universityLabel", F.concat(F.lit("Institute of "), F.col("_n")))
@@ -229,7 +231,13 @@ def document_listing(documents: DataFrame) -> DataFrame:
 
 
 def prior_manifest(documents: DataFrame) -> DataFrame:
-    """Stored manifest from an earlier run: some objects absent, some changed since."""
+    """Stored manifest from an earlier run: some objects absent, some changed since.
+
+    This is input *state*, not a filter on the query: the ingest query lists
+    and classifies every document; the key rule only decides which of them
+    an earlier run had already landed (absent -> ``new``) and which were
+    landed with other content (-> ``changed``).
+    """
     listing = document_listing(documents)
     k = F.col("doc_id")
     return listing.where(k % 7 != 0).select(
