@@ -116,12 +116,14 @@ def name_key(col, aliases: dict | None = None, empty_as_null: bool = False) -> C
     lower-case, fold to ASCII, drop parenthesised parts, ``&`` to ``and``,
     every other non-alphanumeric run to one space, trim, then the alias map.
     """
-    x = F.lower(strip_ws(col))
+    # Edge whitespace needs no separate strip and space runs no separate
+    # squeeze: every non-alphanumeric run (whitespace included) becomes one
+    # space below and the ends are trimmed, so both steps are implied.
+    x = F.lower(_c(col))
     x = ascii_fold(x)
     x = F.regexp_replace(x, r"\([^)]*\)", "")
     x = F.replace(x, F.lit("&"), F.lit(" and "))
     x = F.regexp_replace(x, r"[^a-z0-9]+", " ")
-    x = F.regexp_replace(x, r"\s+", " ")
     x = F.trim(x)
     x = apply_alias(x, UNIVERSITY_ALIAS if aliases is None else aliases)
     if empty_as_null:
