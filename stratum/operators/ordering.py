@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, range_partitions
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition id << 33 | row index
 
@@ -29,13 +29,6 @@ def _order_col(c) -> Column:
     return c
 
 
-def _partitions(df: DataFrame, partitions: int | None) -> int:
-    if partitions:
-        return partitions
-    conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
-    return max(1, int(conf))
-
-
 def with_global_position(df: DataFrame, order: list, name: str = "_pos",
                          partitions: int | None = None) -> DataFrame:
     """Add a 0-based position in the total ``order`` (distributed).
@@ -47,7 +40,7 @@ def with_global_position(df: DataFrame, order: list, name: str = "_pos",
     ``order`` must be total (unique) for the positions to be reproducible.
     """
     cols = [_order_col(c) for c in order]
-    n = _partitions(df, partitions)
+    n = range_partitions(df, partitions)
     tagged = (df.repartitionByRange(n, *cols)
               .sortWithinPartitions(*cols)
               .withColumn("_mid", F.monotonically_increasing_id()))

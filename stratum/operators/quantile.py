@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, range_partitions
 
 # ``auto``: the in-memory aggregate only for groups proven small by a size
 # check (one aggregate returning one number), the distributed path for the
@@ -56,8 +56,7 @@ def exact_median(df: DataFrame, keys: list[str], value: str, alias: str = "media
     ``quantile_cont(0.5)``: lower + (upper - lower) * 0.5.
     """
     keys = list(keys)
-    spark = df.sparkSession
-    n_part = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    n_part = range_partitions(df, partitions)
     v = F.col(value).cast("double")
     pairs = (df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull())
              .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))

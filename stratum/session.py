@@ -101,3 +101,20 @@ def materialize(df: DataFrame, name: str = "mat") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def range_partitions(df: DataFrame, requested: int | None = None) -> int:
+    """Partition count for a range repartition of ``df``.
+
+    At least ``spark.sql.shuffle.partitions`` and at least the partition
+    count ``df`` already has (at scale: its input splits), so a range
+    partition stays about one input split in size however large the input.
+    """
+    if requested:
+        return requested
+    conf = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    try:
+        current = df.rdd.getNumPartitions()
+    except Exception:  # sessions without the RDD API
+        current = 0
+    return max(1, conf, current)
