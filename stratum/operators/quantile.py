@@ -32,6 +32,8 @@ from ..session import materialize, range_partitions
 DEFAULT_STRATEGY = "auto"
 # With ``auto``, groups up to this many rows use the in-memory aggregate.
 DEFAULT_MAX_GROUP_ROWS = 2_000_000
+# Largest target table (two rows per group) broadcast to the layout join.
+BROADCAST_TARGET_ROWS = 1_000_000
 STRATEGY_CONF = "stratum.median.strategy"          # auto | builtin | distributed
 MAX_GROUP_CONF = "stratum.median.maxGroupRows"
 
@@ -85,6 +87,10 @@ def exact_median(df: DataFrame, keys: list[str], value: str, alias: str = "media
                .select("_pid", *keys, F.col("_t._which").alias("_which"),
                        (F.col("_t._k") - F.col("_before")).alias("_klocal")))
 
+    # at most two rows per group; broadcast them when a count proves the
+    # table small, so the large layout is never shuffled for this join
+    if targets.count() <= BROADCAST_TARGET_ROWS:
+        targets = F.broadcast(targets)
     hit = _null_safe_join(laid, targets, ["_pid", *keys])
     within = Window.partitionBy("_pid", *keys, "_which").orderBy("_v") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
