@@ -7,6 +7,8 @@ hash the bytes); for tables it can be any DataFrame with those columns.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,27 +86,46 @@ def manifest_rows(plan: DataFrame, operator_id: str = "data_engineer") -> DataFr
         F.current_timestamp().alias("ingestion_timestamp"))
 
 
+def write_run(df: DataFrame, path: str, run: str) -> None:
+    """Write ``df`` as partition ``run=<run>`` of ``path``, replacing only that partition.
+
+    Replaying the same run (a retried job, a re-executed micro-batch)
+    overwrites its own output instead of appending a second copy.
+    """
+    (df.withColumn("run", F.lit(run)).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(path))
+
+
+def read_manifest(spark: SparkSession, manifest_path: str) -> DataFrame:
+    """Stored manifest rows (empty before the first run)."""
+    cols = [f.name for f in MANIFEST_SCHEMA.fields]
+    try:
+        return spark.read.parquet(manifest_path).select(*cols)
+    except Exception:  # first run: no manifest yet
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+
+
 def land(spark: SparkSession, drop_zone: str, bronze_path: str, manifest_path: str,
-         operator_id: str = "data_engineer", api_pattern: str | None = None) -> DataFrame:
+         operator_id: str = "data_engineer", api_pattern: str | None = None,
+         run: str | None = None) -> DataFrame:
     """Land new and changed files; returns the ingest plan.
 
-    The file contents are written first, the manifest second: a crash in
-    between re-lands the files on the next run instead of losing them.
-    Running twice lands nothing the second time.
+    Contents are written before manifest rows, each into this run's own
+    partition: a crash in between re-lands the files on the next run, and
+    repeating a run id replaces its output.  Running twice lands nothing
+    the second time.
     """
     listing = list_files(spark, drop_zone, api_pattern)
-    try:
-        manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(manifest_path)
-    except Exception:  # first run: no manifest yet
-        manifest = spark.createDataFrame([], MANIFEST_SCHEMA)
-    plan = plan_ingest(listing, manifest)
+    plan = plan_ingest(listing, read_manifest(spark, manifest_path))
     # keep one fixed plan for both writes below
     plan = materialize(plan, "ingest-plan")
+    run = run or f"batch-{uuid.uuid4().hex}"
     todo = plan.where(F.col("action") != "unchanged")
     contents = spark.read.format("binaryFile").load(drop_zone).select("path", "content")
-    todo.join(contents, "path").select("object_name", "content", "content_md5", "source_system") \
-        .write.mode("append").parquet(bronze_path)
-    manifest_rows(todo, operator_id).write.mode("append").parquet(manifest_path)
+    write_run(todo.join(contents, "path")
+                  .select("object_name", "content", "content_md5", "source_system"),
+              bronze_path, run)
+    write_run(manifest_rows(todo, operator_id), manifest_path, run)
     return plan
 
 

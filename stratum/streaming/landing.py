@@ -2,19 +2,22 @@
 
 The drop zone is read as a ``binaryFile`` stream; every micro-batch is
 classified against the manifest with the same plan as the batch job
-(``plans.bronze.plan_ingest``) and new or changed files are appended, file
-contents before manifest rows.  The stream's own checkpoint (in the shared
+(``plans.bronze.plan_ingest``) and new or changed files are written, file
+contents before manifest rows, into a partition named after the batch: a
+micro-batch that is re-executed after a failure replaces its own output.  The stream's own checkpoint (in the shared
 folder) records which files were seen, so a restart resumes without
 re-landing; ``trigger(availableNow=True)`` processes what is there and stops.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import base_name
-from ..plans.bronze import MANIFEST_SCHEMA, extension_filter, manifest_rows, plan_ingest
+from ..plans.bronze import extension_filter, manifest_rows, plan_ingest, read_manifest, write_run
 from ..session import scratch_path
 
 BINARY_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
@@ -26,22 +29,25 @@ def start_landing(spark: SparkSession, drop_zone: str, bronze_path: str, manifes
     stream = (spark.readStream.format("binaryFile").schema(BINARY_SCHEMA).load(drop_zone)
               .where(extension_filter("path")))
 
+    checkpoint = checkpoint or scratch_path(spark, "landing-stream")
+    # stable per checkpoint, so a restarted stream re-writes its own batches
+    stream_tag = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+
     def land_batch(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
-        try:
-            manifest = s.read.schema(MANIFEST_SCHEMA).parquet(manifest_path)
-        except Exception:  # first batch: no manifest yet
-            manifest = s.createDataFrame([], MANIFEST_SCHEMA)
+        manifest = read_manifest(s, manifest_path)
         listing = batch.select(
             "path", base_name("path").alias("object_name"), "content",
             F.md5("content").alias("content_md5"), F.col("length").alias("size"),
             F.lit("local_file_system").alias("source_system"))
         todo = plan_ingest(listing, manifest).where(F.col("action") != "unchanged")
-        todo.select("object_name", "content", "content_md5", "source_system") \
-            .write.mode("append").parquet(bronze_path)
-        manifest_rows(todo.drop("content"), operator_id).write.mode("append").parquet(manifest_path)
+        run = f"stream-{stream_tag}-{batch_id}"
+        # a re-executed micro-batch overwrites its own run partition
+        write_run(todo.select("object_name", "content", "content_md5", "source_system"),
+                  bronze_path, run)
+        write_run(manifest_rows(todo.drop("content"), operator_id), manifest_path, run)
 
     writer = (stream.writeStream.foreachBatch(land_batch)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "landing-stream")))
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()

@@ -153,3 +153,17 @@ def test_gold_build_writes_and_rereads_dimensions(spark):
     import pytest
     with pytest.raises(ValueError):
         check_contract(bad, "silver.executive_profiles")
+
+
+def test_replayed_run_replaces_its_output(spark):
+    base = tempfile.mkdtemp(prefix="replay-")
+    zone = os.path.join(base, "zone")
+    os.makedirs(zone)
+    _write(os.path.join(zone, "a.csv"), b"1\n")
+    out, man = os.path.join(base, "bronze"), os.path.join(base, "manifest")
+    bronze.land(spark, zone, out, man, run="r1")
+    # the same run again (e.g. retried after a crash before it finished)
+    from stratum.plans.bronze import write_run
+    again = spark.read.parquet(out).where("run = 'r1'").drop("run")
+    write_run(again, out, "r1")
+    assert spark.read.parquet(out).count() == 1
