@@ -14,7 +14,8 @@ rows) runs in one task.  ``exact_median`` instead
 
 ``agg_with_median`` defaults to ``auto``: Spark's aggregate when a size
 check proves every group small, the distributed path otherwise;
-``builtin`` and ``distributed`` force one of them.
+``builtin`` and ``distributed`` force one of them, and ``approx``
+(``percentile_approx``, mergeable sketches) is available only on request.
 """
 
 from __future__ import annotations
@@ -34,7 +35,9 @@ DEFAULT_STRATEGY = "auto"
 DEFAULT_MAX_GROUP_ROWS = 2_000_000
 # Largest target table (two rows per group) broadcast to the layout join.
 BROADCAST_TARGET_ROWS = 1_000_000
-STRATEGY_CONF = "stratum.median.strategy"          # auto | builtin | distributed
+STRATEGY_CONF = "stratum.median.strategy"          # auto | builtin | distributed | approx
+# ``approx`` (percentile_approx) is never chosen automatically: results differ.
+APPROX_ACCURACY = 10_000
 MAX_GROUP_CONF = "stratum.median.maxGroupRows"
 
 
@@ -114,7 +117,7 @@ def median_strategy(df: DataFrame, keys: list[str], strategy: str | None = None,
     """
     spark = df.sparkSession
     strategy = strategy or spark.conf.get(STRATEGY_CONF, DEFAULT_STRATEGY)
-    if strategy in ("builtin", "distributed"):
+    if strategy in ("builtin", "distributed", "approx"):
         return strategy
     limit = max_group_rows or int(spark.conf.get(MAX_GROUP_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
     if rows_upper_bound is not None and rows_upper_bound <= limit:
@@ -139,6 +142,10 @@ def agg_with_median(df: DataFrame, keys: list[str], aggs: list[Column], value: s
     grouped = df.groupBy(*keys) if keys else df.groupBy()
     # A percentile buffer inside the distinct-aggregate plan would be built
     # for every (group, distinct value) pair: keep it apart.
+    if how == "approx":
+        # explicit opt-in only: a sketch per group, relative rank error 1/accuracy
+        med_col = F.percentile_approx(F.col(value).cast("double"), 0.5, APPROX_ACCURACY)
+        return grouped.agg(*aggs, med_col.alias(alias))
     if how == "builtin" and not has_distinct:
         return grouped.agg(*aggs, F.median(value).alias(alias))
     base = grouped.agg(*aggs)

@@ -97,3 +97,11 @@ def test_dense_key_strategies_agree(spark):
         out = assign_dense_keys(part, ["p_brand", "p_name"], key="k", strategy=s)
         res.append(sorted((r.k, r.p_partkey) for r in out.collect()))
     assert res[0] == res[1] == res[2]
+
+
+def test_approx_median_only_on_request(spark):
+    df = spark.range(0, 10001).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("v"))
+    exact = {r.g: r.m for r in agg_with_median(df, ["g"], [], "v", "m").collect()}
+    approx = {r.g: r.m for r in agg_with_median(df, ["g"], [], "v", "m", strategy="approx").collect()}
+    assert exact == {0: 5000.0, 1: 5000.0}
+    assert all(abs(approx[g] - exact[g]) <= 10001 / 10_000 + 1 for g in exact)
