@@ -49,8 +49,3 @@ def path_then_star(triples: DataFrame, first: str, star: str) -> DataFrame:
     return (one.join(up, one["o"] == up["node"])
             .select(F.col("s").alias("entity"), F.col("anc").alias("class")).distinct())
 
-
-def label(triples_or_labels: DataFrame, id_col: str, lang: str = "en") -> DataFrame:
-    """Label lookup table (id, text) for one language."""
-    return (triples_or_labels.where(F.col("lang") == lang)
-            .select(F.col("id").alias(id_col), F.col("text").alias(f"{id_col}_label")))

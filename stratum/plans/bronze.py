@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from ..functions.numeric import kb_text, safe_pct
 from ..functions.text import base_name, year_in_name
 from ..session import materialize
+from ..sources.files import read_binary
 
 # --- fixed values that must equal the reference's --------------------------
 SUPPORTED_EXTENSIONS = (".csv", ".json", ".xml", ".xlsx", ".txt")
@@ -48,8 +49,7 @@ def list_files(spark: SparkSession, drop_zone: str, api_pattern: str | None = No
     Columns: path, object_name (base name), content_md5, size,
     modification_time, source_system.
     """
-    files = spark.read.format("binaryFile").load(drop_zone)
-    files = files.where(extension_filter("path"))
+    files = read_binary(spark, drop_zone).where(extension_filter("path"))
     src = F.lit(SOURCE_LOCAL)
     if api_pattern:
         src = F.when(F.col("path").rlike(api_pattern), F.lit(SOURCE_API)).otherwise(src)
@@ -121,7 +121,7 @@ def land(spark: SparkSession, drop_zone: str, bronze_path: str, manifest_path: s
     plan = materialize(plan, "ingest-plan")
     run = run or f"batch-{uuid.uuid4().hex}"
     todo = plan.where(F.col("action") != "unchanged")
-    contents = spark.read.format("binaryFile").load(drop_zone).select("path", "content")
+    contents = read_binary(spark, drop_zone).select("path", "content")
     write_run(todo.join(contents, "path")
                   .select("object_name", "content", "content_md5", "source_system"),
               bronze_path, run)

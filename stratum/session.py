@@ -78,22 +78,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"scratch-{name}-{token}")
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the shared checkpoint folder and cut its lineage.
-
-    Used where two branches of a plan must see one physical layout (values
-    derived from partition ids) and where recomputation after a lost
-    executor must not change results.  Never a local checkpoint.
-    """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialize(df: DataFrame, name: str = "mat") -> DataFrame:
     """Write ``df`` once as a parquet table in the shared folder and read it back.
 
-    Cuts the lineage like a reliable checkpoint, but computes the plan once
-    (an eager RDD checkpoint runs it twice unless cached) and stores it
+    Cuts the lineage like a reliable ``checkpoint()``, but computes the plan
+    once (an eager RDD checkpoint runs it twice unless cached) and stores it
     columnar.  Values derived from the physical layout (partition ids) must
     be columns of ``df``: they are then fixed for every later use.
     """
