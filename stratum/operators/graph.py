@@ -3,8 +3,8 @@
 ``closure`` is the property path ``p*`` (zero or more steps) as a semi-naive
 fixpoint: each round joins only the newest pairs (the frontier) to the
 edges and keeps pairs not seen before (left anti join), so cycles end.
-Each round's state is written to the shared folder, cutting the lineage
-(a lost executor re-reads it instead of replaying all rounds).
+Each round's new pairs are written to the shared folder, cutting the
+lineage (a lost executor re-reads them instead of replaying all rounds).
 """
 
 from __future__ import annotations
@@ -19,24 +19,38 @@ def edges(triples: DataFrame, predicate: str) -> DataFrame:
     return triples.where(F.col("p") == predicate).select("s", "o").distinct()
 
 
-def closure(edge: DataFrame, start: DataFrame | None = None, max_rounds: int = 1000) -> DataFrame:
+def closure(edge: DataFrame, start: DataFrame | None = None, max_rounds: int = 1000,
+            compact_every: int = 8) -> DataFrame:
     """All (node, ancestor) pairs reachable by zero or more ``edge`` steps.
 
     ``start`` (a one-column DataFrame ``node``) limits the sources; by
     default every node that appears as a subject.  Zero-step pairs
     (node, node) are included, as in a ``*`` property path.
+
+    Each round stores only its new pairs; the pairs seen so far are the
+    union of the stored rounds, compacted into one stored table every
+    ``compact_every`` rounds so the plan stays small on deep graphs.
     """
     e = edge.select(F.col("s").alias("_s"), F.col("o").alias("_o"))
     nodes = (start if start is not None else edge.select(F.col("s").alias("node"))).distinct()
-    reach = materialize(nodes.select("node", F.col("node").alias("anc")), "closure")
-    frontier = reach
-    for _ in range(max_rounds):
+    frontier = materialize(nodes.select("node", F.col("node").alias("anc")), "closure")
+    parts = [frontier]
+
+    def seen():
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    for rnd in range(1, max_rounds + 1):
         step = (frontier.join(e, frontier["anc"] == e["_s"])
                 .select("node", F.col("_o").alias("anc")).distinct())
-        fresh = materialize(step.join(reach, ["node", "anc"], "left_anti"), "closure")
+        fresh = materialize(step.join(seen(), ["node", "anc"], "left_anti"), "closure")
         if fresh.isEmpty():
-            return reach
-        reach = materialize(reach.unionByName(fresh), "closure")
+            return seen()
+        parts.append(fresh)
+        if rnd % compact_every == 0:
+            parts = [materialize(seen(), "closure")]
         frontier = fresh
     raise RuntimeError("closure did not converge")
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import closure, edges, path_then_star
-from ..sources.tables import Tables
+from ..sources.tables import Tables, spread
 
 # --- fixed values that must equal the reference's --------------------------
 INSTANCE_OF, SUBCLASS_OF, EXECUTIVE, EDUCATED_AT, DEGREE = "P31", "P279", "P169", "P69", "P512"
@@ -34,7 +34,8 @@ def _id(prefix: str, col: str):
 
 def triples_from_tables(t: Tables) -> tuple[DataFrame, DataFrame]:
     cust, orders, nation, region = t.customer, t.orders, t.nation, t.region
-    li, supp = t.lineitem, t.supplier
+    # building string ids is per-row work: spread an under-split scan
+    li, supp = spread(t.lineitem.select("l_orderkey", "l_suppkey")), t.supplier
     tri = [
         cust.select(_id("c:", "c_custkey").alias("s"), F.lit(INSTANCE_OF).alias("p"),
                     _id("n:", "c_nationkey").alias("o")),
@@ -89,8 +90,10 @@ def bgp_join(triples: DataFrame, labels: DataFrame, target_class: str = "root",
     kind_ok = (edges(triples, INSTANCE_OF).where(F.col("o").isin(*kinds))
                .select(F.col("s").alias("university")).distinct())
     degree = edges(triples, DEGREE).select(F.col("s").alias("executive"), F.col("o").alias("degree"))
-    m = (companies.join(execs, "company").join(study, "executive")
-         .join(kind_ok, "university", "left_semi")
+    # stream the largest input (executive -> university edges, cut by the
+    # kinds first); the company and executive sides join onto it
+    m = (study.join(kind_ok, "university", "left_semi")
+         .join(execs, "executive").join(companies, "company")
          .join(degree, "executive", "left"))
     lab = labels.where(F.col("lang") == lang).select("id", "text")
 
