@@ -167,3 +167,24 @@ def test_replayed_run_replaces_its_output(spark):
     again = spark.read.parquet(out).where("run = 'r1'").drop("run")
     write_run(again, out, "r1")
     assert spark.read.parquet(out).count() == 1
+
+
+def test_closure_deep_chain_with_compaction(spark):
+    n = 20   # deeper than the compaction interval
+    edges = [(f"v{i}", f"v{i + 1}") for i in range(n)] + [("v5", "v2")]   # plus a cycle
+    e = spark.createDataFrame(edges, "s string, o string")
+    got = {(r.node, r.anc) for r in closure(e, compact_every=3).collect()}
+    adj = {}
+    for s_, o in edges:
+        adj.setdefault(s_, set()).add(o)
+    want = set()
+    for start in adj:
+        seen, todo = {start}, [start]
+        while todo:
+            x = todo.pop()
+            for y in adj.get(x, ()):
+                if y not in seen:
+                    seen.add(y)
+                    todo.append(y)
+        want |= {(start, y) for y in seen}
+    assert got == want
