@@ -66,14 +66,17 @@ def _small_enough(df: DataFrame, limit: int) -> bool:
 
 def assign_dense_keys(df: DataFrame, order: list, key: str = "key", start: int = 1,
                       complete_order: bool = True, partitions: int | None = None,
-                      strategy: str | None = None) -> DataFrame:
+                      strategy: str | None = None,
+                      rows_upper_bound: int | None = None) -> DataFrame:
     """``ROW_NUMBER() OVER (ORDER BY order)`` as a bigint key.
 
     With ``complete_order`` the remaining columns are appended to the order
     so ties are broken the same way on every run.  ``distributed`` uses
     :func:`with_global_position`; ``window`` a global window (one task);
-    ``auto`` (default) the window only when a limited count proves the input
-    small, else the distributed path.
+    ``auto`` (default) the window only when the input is proven small - by
+    ``rows_upper_bound`` when the caller knows one, else by a limited count -
+    and the distributed path otherwise (a bound above the limit skips the
+    count).
     """
     order = list(order)
     if complete_order:
@@ -83,7 +86,10 @@ def assign_dense_keys(df: DataFrame, order: list, key: str = "key", start: int =
     how = strategy or conf.get(STRATEGY_CONF, DEFAULT_STRATEGY)
     if how == "auto":
         limit = int(conf.get(MAX_WINDOW_CONF, str(DEFAULT_MAX_WINDOW_ROWS)))
-        how = "window" if _small_enough(df, limit) else "distributed"
+        if rows_upper_bound is not None:
+            how = "window" if rows_upper_bound <= limit else "distributed"
+        else:
+            how = "window" if _small_enough(df, limit) else "distributed"
     if how == "window":
         w = Window.orderBy(*[_order_col(c) for c in order])
         out = df.withColumn(key, (F.row_number().over(w) + F.lit(start - 1)).cast("bigint"))

