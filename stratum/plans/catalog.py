@@ -311,25 +311,28 @@ def q_bgp_join(spark, sf_dir):
 
 # --- file sources ---------------------------------------------------------------
 
-NATION_SCHEMA = "n_nationkey INT, n_name STRING, n_regionkey INT"
+CUSTOMER_SCHEMA = ("c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+                   "c_mktsegment STRING")
+CUSTOMER_SQL = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
 
 
-@register("csv_roundtrip", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@register("csv_roundtrip", CUSTOMER_SQL)
 def q_csv_roundtrip(spark, sf_dir):
-    """``nation`` written as delimited text to the shared folder and read back."""
+    """``customer`` written as delimited text to the shared folder and read back."""
     path = scratch_path(spark, "csv")
-    files.write_csv(Tables(spark, sf_dir).nation, path)
-    return files.read_csv(spark, path, NATION_SCHEMA)
+    files.write_csv(Tables(spark, sf_dir).customer, path)
+    return files.read_csv(spark, path, CUSTOMER_SCHEMA)
 
 
 PREAMBLE = ["QS World University Rankings,", "exported from the ranking sheet,"]
 
 
-@register("preamble_scan", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@register("preamble_scan", CUSTOMER_SQL)
 def q_preamble_scan(spark, sf_dir):
-    """``nation`` written with two preamble lines before its header and read back."""
+    """``customer`` written with two preamble lines before each header and read back."""
     path = scratch_path(spark, "preamble")
-    fixtures.write_with_preamble(Tables(spark, sf_dir).nation, path, PREAMBLE)
+    fixtures.write_with_preamble(Tables(spark, sf_dir).customer, path, PREAMBLE)
     df = files.read_with_preamble(spark, path, header_row=len(PREAMBLE),
-                                  types={"n_nationkey": "int", "n_regionkey": "int"})
-    return df.select("n_nationkey", "n_name", "n_regionkey")
+                                  types={"c_custkey": "bigint", "c_nationkey": "int",
+                                         "c_acctbal": "double"})
+    return df.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")

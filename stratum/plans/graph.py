@@ -71,8 +71,10 @@ def subclass_closure(triples: DataFrame) -> DataFrame:
 
 
 def class_closure(triples: DataFrame) -> DataFrame:
-    """Reflexive-transitive closure of the subclass edges (node, ancestor)."""
-    return closure(edges(triples, SUBCLASS_OF))
+    """Every node with all its ancestors over is-a edges (instance-of or
+    subclass-of), zero steps included: ``?x (P31|P279)* ?y``."""
+    isa = triples.where(F.col("p").isin(INSTANCE_OF, SUBCLASS_OF)).select("s", "o").distinct()
+    return closure(isa)
 
 
 def bgp_join(triples: DataFrame, labels: DataFrame, target_class: str = "root",
