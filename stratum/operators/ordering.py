@@ -39,6 +39,8 @@ def with_global_position(df: DataFrame, order: list, name: str = "_pos",
     row per partition) gives each partition its offset, broadcast back.
     ``order`` must be total (unique) for the positions to be reproducible.
     """
+    if {"_mid", "_pid", "_local", "_off", "_n"} & set(df.columns):
+        raise ValueError("columns _mid, _pid, _local, _off and _n are reserved")
     cols = [_order_col(c) for c in order]
     n = range_partitions(df, partitions)
     tagged = (df.repartitionByRange(n, *cols)
@@ -108,6 +110,8 @@ def best_per_key(df: DataFrame, key, rank: str, tiebreak: list[str] | None = Non
     before the shuffle.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if {"_null", "_r", "_rank", "_best"} & set(df.columns):
+        raise ValueError("columns _null, _r, _rank and _best are reserved by best_per_key")
     tiebreak = list(tiebreak or [c for c in df.columns if c not in keys and c != rank])
     rest = [c for c in df.columns if c not in keys and c != rank and c not in tiebreak]
     r = F.col(rank) if ascending else -F.col(rank)

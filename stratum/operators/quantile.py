@@ -41,6 +41,10 @@ APPROX_ACCURACY = 10_000
 MAX_GROUP_CONF = "stratum.median.maxGroupRows"
 
 
+_INTERNAL = {"_v", "_c", "_pid", "_cnt", "_before", "_n", "_t", "_which", "_k", "_klocal",
+             "_cum", "_lo", "_hi", "_all"}
+
+
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner"):
     if not keys:
         return left.withColumn("_all", F.lit(0)).join(
@@ -61,6 +65,9 @@ def exact_median(df: DataFrame, keys: list[str], value: str, alias: str = "media
     ``quantile_cont(0.5)``: lower + (upper - lower) * 0.5.
     """
     keys = list(keys)
+    clash = set(keys) & _INTERNAL
+    if clash:
+        raise ValueError(f"group columns {sorted(clash)} clash with internal names")
     n_part = range_partitions(df, partitions)
     v = F.col(value).cast("double")
     pairs = (df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull())

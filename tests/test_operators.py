@@ -105,3 +105,12 @@ def test_approx_median_only_on_request(spark):
     approx = {r.g: r.m for r in agg_with_median(df, ["g"], [], "v", "m", strategy="approx").collect()}
     assert exact == {0: 5000.0, 1: 5000.0}
     assert all(abs(approx[g] - exact[g]) <= 10001 / 10_000 + 1 for g in exact)
+
+
+def test_reserved_names_are_rejected(spark):
+    import pytest
+    df = spark.createDataFrame([(1, 2.0)], "_v int, v double")
+    with pytest.raises(ValueError):
+        exact_median(df, ["_v"], "v")
+    with pytest.raises(ValueError):
+        best_per_key(spark.createDataFrame([(1, 2.0)], "_rank int, r double"), "_rank", "r")
