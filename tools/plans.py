@@ -13,7 +13,8 @@ from stratum.plans import catalog  # noqa: E402
 from stratum.session import build_session  # noqa: E402
 
 NAMES = ["industry_dominance", "age_effect", "value_by_tier", "factor_dominance",
-         "rank_correlation", "name_key", "best_per_key", "ingest_manifest"]
+         "rank_correlation", "name_key", "best_per_key", "ingest_manifest", "gold_fact",
+         "bgp_join"]
 
 
 def main():
