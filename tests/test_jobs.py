@@ -58,3 +58,31 @@ def test_sql_over_registered_gold_views(spark):
     top = jobs.run_analyses(spark, f"{base}/gold")["industry_valuation_dominance"]
     assert {(r.industry, r.n) for r in sql.collect()} == \
         {(r.industry, r.total_companies) for r in top.collect()}
+
+
+def test_cli_stages_end_to_end(spark):
+    """bronze -> silver -> gold -> analyses through the command-line entry point."""
+    from stratum.plans import fixtures
+    from stratum.sources.tables import Tables
+    from conftest import SF001
+    base = tempfile.mkdtemp(prefix="cli-")
+    zone = os.path.join(base, "zone")
+    part = Tables(spark, SF001).part
+    startups = fixtures.startups_from_part(part).select(
+        F.col("Company_Age_Years").cast("string").alias("Rank"), "Company", "Valuation_Formatted",
+        "Valuation_Tier", "Industry", "Country", "Continent", "City", "Founders",
+        F.col("Year_Founded").cast("string").alias("Year_Founded"),
+        F.col("Company_Age_Years").cast("string").alias("Company_Age_Years"),
+        F.lit("Private").alias("Status"), F.lit("test").alias("Data_Source"),
+        F.lit("2/12/2026").alias("Collection_Date"))
+    startups.coalesce(1).write.option("header", True).csv(zone)
+    csv_file = next(os.path.join(zone, f) for f in os.listdir(zone) if f.endswith(".csv"))
+    jobs.main(["bronze", "--drop-zone", zone, "--bronze", f"{base}/bronze", "--manifest", f"{base}/manifest"])
+    assert spark.read.parquet(f"{base}/manifest").count() == 1
+    jobs.main(["silver", "--startups", csv_file, "--silver", f"{base}/silver"])
+    jobs.main(["gold", "--silver", f"{base}/silver", "--gold", f"{base}/gold"])
+    jobs.main(["analyses", "--gold", f"{base}/gold", "--out", f"{base}/out"])
+    companies = spark.read.parquet(f"{base}/gold/dim_company").count()
+    assert companies == part.count()
+    ages = spark.read.parquet(f"{base}/out/company_age_and_grit_effect")
+    assert ages.agg(F.sum("total_companies")).first()[0] == companies
