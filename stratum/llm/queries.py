@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle
+from .chunks import repeated_spans
+from .decontaminate import contaminated
 from .minhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +27,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op5_bbit_minhash(spark, sf_dir):
     return near_duplicates(_table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
+@query
+def op9_spaced_seeds(spark, sf_dir):
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_gear_chunks(spark, sf_dir):
+    return repeated_spans(_table(spark, sf_dir, "documents"))
