@@ -30,3 +30,56 @@ reach(doc_id, r) AS (
 SELECT doc_id, n AS n_shingles, min(r) AS component_id, doc_id = min(r) AS kept
 FROM reach JOIN sizes USING (doc_id) GROUP BY doc_id, n
 """
+
+# exact dynamic programme over (buckets used, last length); ties take the smallest predecessor
+SQL["op1_length_buckets"] = r"""
+WITH RECURSIVE lens AS MATERIALIZED (
+  SELECT doc_id, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS n
+  FROM documents),
+hist AS (SELECT n, count(*) AS c FROM lens WHERE n > 0 GROUP BY n),
+pre AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY n) AS i, n, sum(c) OVER (ORDER BY n)::BIGINT AS docs,
+         sum(c * n) OVER (ORDER BY n)::BIGINT AS toks FROM hist),
+dp(k, i, best) AS (
+  SELECT 1, i, {'cost': n * docs - toks, 'prev': 0::BIGINT, 'bounds': [n]} FROM pre
+  UNION ALL
+  SELECT k, i, {'cost': best.cost, 'prev': best.prev, 'bounds': list_append(best.bounds, n)} FROM (
+    SELECT dp.k + 1 AS k, p.i AS i, p.n AS n,
+           min({'cost': dp.best.cost + p.n * (p.docs - q.docs) - (p.toks - q.toks), 'prev': dp.i,
+                'bounds': dp.best.bounds}) AS best
+    FROM dp JOIN pre q ON q.i = dp.i JOIN pre p ON p.i > dp.i
+    WHERE dp.k < 8 GROUP BY ALL)),
+final AS (SELECT unnest(best.bounds) AS b, generate_subscripts(best.bounds, 1) - 1 AS bucket FROM dp
+          WHERE i = (SELECT max(i) FROM pre) AND k = (SELECT least(8, max(i)) FROM pre)),
+placed AS (
+  SELECT doc_id, n, (SELECT min(bucket) FROM final WHERE b >= n AND n > 0) AS bucket FROM lens),
+ranked AS (
+  SELECT p.*, b, greatest(1, 16384 // b) AS fit, row_number() OVER (PARTITION BY p.bucket ORDER BY n, doc_id) - 1 AS r
+  FROM placed p LEFT JOIN final f ON p.bucket = f.bucket)
+SELECT doc_id, n AS n_tokens, bucket, b AS bucket_length, CASE WHEN b IS NOT NULL THEN r // fit END AS batch,
+       CASE WHEN b IS NOT NULL THEN r % fit END AS slot, coalesce(b, 0) - n AS padding FROM ranked
+"""
+
+SQL["op9_spaced_seeds"] = r"""
+WITH dw AS (
+  SELECT doc_id, w, generate_subscripts(ws, 1) - 1 AS p, unnest(ws) AS word FROM (
+    SELECT doc_id, 0 AS w, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+    FROM documents)),
+bw AS (
+  SELECT item_id, len(ws) AS n, generate_subscripts(ws, 1) - 1 AS q, unnest(ws) AS word FROM (
+    SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+    FROM benchmark)),
+hits AS (SELECT doc_id, item_id, p - q AS d, p, q, n FROM dw JOIN bw USING (word)),
+groups AS (
+  SELECT *, CASE WHEN n >= 11 THEN lead(q, 10) OVER w - q <= 12
+                 WHEN n >= 5 THEN q = 0 AND count(*) OVER (PARTITION BY doc_id, item_id, d) = n END AS opens
+  FROM hits WINDOW w AS (PARTITION BY doc_id, item_id, d ORDER BY q)),
+inside AS (
+  SELECT *, bool_or(coalesce(opens, false)) OVER (PARTITION BY doc_id, item_id, d ORDER BY q
+                                                  ROWS BETWEEN 10 PRECEDING AND CURRENT ROW) AS covered
+  FROM groups)
+SELECT doc_id, item_id, count(DISTINCT q) AS n_matched, min(p) AS first_word, max(p) AS last_word
+FROM inside WHERE covered GROUP BY doc_id, item_id
+"""

@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from . import oracle
 from .chunks import repeated_spans
 from .decontaminate import contaminated
+from .lm import pseudo_likelihood
 from .minhash import near_duplicates
+from .packing import packed
+from .tokens import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = dict(oracle.SQL)
@@ -37,3 +40,20 @@ def op9_spaced_seeds(spark, sf_dir):
 @query
 def op10_gear_chunks(spark, sf_dir):
     return repeated_spans(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_length_buckets(spark, sf_dir):
+    return packed(_table(spark, sf_dir, "documents"), buckets=8, token_budget=16384)
+
+
+@query
+def op4_token_counts(spark, sf_dir):
+    import public_tokenizers
+
+    return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
+@query
+def op7_pseudo_likelihood(spark, sf_dir):
+    return pseudo_likelihood(_table(spark, sf_dir, "documents"))

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 _SEED = 20240611
 _rng = np.random.Generator(np.random.PCG64(_SEED))
 _CODES = _rng.integers(1, 2**64, 256, dtype=np.uint64)
