@@ -118,10 +118,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     1. one pass makes each document's 64-bit shingle set, K minima, BITS low bits of each packed into
        longs, BANDS band keys and a 128-bit digest of the set;
     2. equal sets form one class by digest, so copies cost one aggregate row, not pairs;
-    3. every band bucket links its members to its smallest member: candidates grow with bucket size, not its
-       square; the packed signatures' corrected estimate (six standard deviations of slack) and the set
-       sizes drop the hopeless ones, and the rest are confirmed on full sets;
-    4. members still outside their bucket's main component meet a few other members of the bucket, and
+    3. every band bucket pairs its members with its lead, the member that meets most others in all its buckets:
+       candidates grow with bucket size, not its square; the packed signatures' corrected estimate (five standard
+       deviations of slack) and the set sizes drop the hopeless ones, and the rest are confirmed on full sets;
+    4. members still outside their bucket's main component meet a few other outsiders of the bucket, and
        finally every bucket's remaining outsiders are compared with all members of other components, so no
        link between candidates is lost.
 
@@ -137,12 +137,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         sigs.where("id IS NOT NULL AND n > 0").groupBy("d1", "d2", "n", "sig", "bands").agg(F.min("id").alias("rep")),
         "classes")
     exploded = classes.select("rep", F.explode("bands").alias("key"))
-    buckets = exploded.groupBy("key").agg(F.min("rep").alias("lead"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    members, member_path = store(exploded.join(buckets, "key"), "members")
+    crowds, crowd_path = store(
+        exploded.join(exploded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "key"), "crowds")
+    # the member that meets most others over all its buckets is closest to the middle of its group
+    crowd = crowds.groupBy("rep").agg(F.sum("size").alias("crowd"))
+    ranked, ranked_path = store(crowds.join(crowd, "rep").select(
+        "key", "rep", "size", F.struct((-F.col("crowd")).alias("far"), F.col("rep").alias("rep")).alias("rank")), "ranked")
+    leads = ranked.groupBy("key").agg(F.min("rank.far").alias("far")).join(
+        ranked.select("key", F.col("rank.far").alias("far"), "rep"), ["key", "far"]).groupBy("key").agg(F.min("rep").alias("lead"))
+    members, member_path = store(ranked.join(leads, "key").select("key", "rep", "size", "rank", "lead"), "members")
+    unstore(spark, crowd_path)
+    unstore(spark, ranked_path)
     texts, text_path = store(
         source.join(members.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"), "texts")
     sizes = classes.select("rep", "n", "sig")
-    slack = 6 * (0.25 / K) ** 0.5 / (1 - 2.0 ** -BITS)
+    agree = 2.0 ** -BITS + (1 - 2.0 ** -BITS) * percent / 100
+    slack = 5 * (agree * (1 - agree) / K) ** 0.5 / (1 - 2.0 ** -BITS)
 
     def confirmed(pairs: DataFrame, name: str) -> tuple[DataFrame, str]:
         near = pairs.distinct() \
@@ -154,8 +164,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .join(texts.select(F.col("id").alias("u"), F.col("text").alias("tu")), "u").select("u", "v", "tu", "tv")
         return store(wide.mapInArrow(_confirm(width, percent), "u long, v long").distinct(), name)
 
-    links, link_path = confirmed(members.where("rep <> lead").select(F.col("lead").alias("u"), F.col("rep").alias("v")),
-                                 "links")
+    links, link_path = confirmed(
+        members.where("rep <> lead").select(F.least("lead", "rep").alias("u"), F.greatest("lead", "rep").alias("v")), "links")
     paths = [link_path]
     of, of_path = components(links)
 
@@ -163,15 +173,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         label = of.select(F.col("node").alias("rep"), "component")
         lead = of.select(F.col("node").alias("lead"), F.col("component").alias("main"))
         return members.where("size > 2").join(label, "rep", "left").join(lead, "lead", "left").select(
-            "key", "rep", "lead", F.coalesce("component", "rep").alias("comp"), F.coalesce("main", "lead").alias("main"))
+            "key", "rep", "rank", "lead", F.coalesce("component", "rep").alias("comp"), F.coalesce("main", "lead").alias("main"))
 
     for step in ("meet", "rest"):
         inside, inside_path = store(labelled(), "labelled")
         out = inside.where("comp <> main")
         if step == "meet":
-            heads = inside.groupBy("key").agg(
-                *(F.min_by(F.struct("rep", "comp"), F.xxhash64("rep", "key", F.lit(s))).alias(f"h{s}") for s in (1, 2, 3)))
-            pairs = out.join(heads, "key").select("rep", "comp", F.explode(F.array("h1", "h2", "h3")).alias("h")) \
+            heads = out.groupBy("key").agg(F.min_by(F.struct("rep", "comp"), F.col("rank.far")).alias("h0"), *(
+                F.min_by(F.struct("rep", "comp"), F.xxhash64("rep", "key", F.lit(s))).alias(f"h{s}") for s in (1, 2)))
+            pairs = out.join(heads, "key").select("rep", "comp", F.explode(F.array("h0", "h1", "h2")).alias("h")) \
                 .where("h.comp <> comp").select(F.least("rep", "h.rep").alias("u"), F.greatest("rep", "h.rep").alias("v"))
         else:
             withsig = inside.join(out.select("key").distinct(), "key", "left_semi").join(sizes, "rep")

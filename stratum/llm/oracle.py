@@ -83,3 +83,47 @@ inside AS (
 SELECT doc_id, item_id, count(DISTINCT q) AS n_matched, min(p) AS first_word, max(p) AS last_word
 FROM inside WHERE covered GROUP BY doc_id, item_id
 """
+
+SQL["op2_adaptive_quality"] = r"""
+WITH words AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls
+  FROM documents),
+windows AS (
+  SELECT doc_id, unnest(range(1, len(ws) - 3)) AS i, ws FROM words WHERE len(ws) > 4),
+grams AS (SELECT doc_id, i, ws[i:i + 4] AS g FROM windows),
+twice AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS k FROM grams),
+covered AS (SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2, i + 3, i + 4]) AS p FROM twice WHERE k > 1),
+rep AS (SELECT doc_id, count(*) AS r FROM covered GROUP BY 1),
+base AS (
+  SELECT w.doc_id, lang, source, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) AS n_lines,
+         len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(r, 0) AS n_repeat_words
+  FROM words w LEFT JOIN rep ON rep.doc_id = w.doc_id),
+vals AS MATERIALIZED (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+         CASE WHEN word_chars > 0 THEN n_symbols * 1000 // word_chars ELSE 0 END AS symbols,
+         CASE WHEN n_lines > 0 THEN n_dup_lines * 1000 // n_lines ELSE 0 END AS dup_lines,
+         CASE WHEN n_words > 0 THEN word_chars * 100 // n_words ELSE 0 END AS word_length
+  FROM base),
+each AS (
+  SELECT lang, source, 'symbols' AS rule, symbols AS v FROM vals WHERE NOT base_failed
+  UNION ALL SELECT lang, source, 'dup_lines', dup_lines FROM vals WHERE NOT base_failed
+  UNION ALL SELECT lang, source, 'word_length', word_length FROM vals WHERE NOT base_failed),
+bins AS (
+  SELECT *, (v // greatest(1, 1 << greatest(0, len(bin(v)) - 6))) * greatest(1, 1 << greatest(0, len(bin(v)) - 6)) AS b FROM each),
+quart AS (
+  SELECT lang, source, rule, quantile_disc(b, 0.25) AS q1, quantile_disc(b, 0.75) AS q3 FROM bins GROUP BY ALL),
+tops AS (
+  SELECT lang, source,
+         max(greatest(100, q3 + 6 * (q3 - q1))) FILTER (rule = 'symbols') AS top_symbols,
+         max(greatest(300, q3 + 6 * (q3 - q1))) FILTER (rule = 'dup_lines') AS top_dup_lines,
+         max(greatest(1200, q3 + 6 * (q3 - q1))) FILTER (rule = 'word_length') AS top_word_length
+  FROM quart GROUP BY ALL)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       coalesce(NOT base_failed AND symbols <= top_symbols AND dup_lines <= top_dup_lines
+                AND word_length <= top_word_length, false) AS kept,
+       n_lines, symbols, dup_lines, word_length, top_symbols, top_dup_lines, top_word_length
+FROM vals LEFT JOIN tops ON vals.lang IS NOT DISTINCT FROM tops.lang AND vals.source IS NOT DISTINCT FROM tops.source
+"""

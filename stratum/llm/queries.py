@@ -12,6 +12,7 @@ from .decontaminate import contaminated
 from .lm import pseudo_likelihood
 from .minhash import near_duplicates
 from .packing import packed
+from .quality import quality
 from .tokens import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +58,8 @@ def op4_token_counts(spark, sf_dir):
 @query
 def op7_pseudo_likelihood(spark, sf_dir):
     return pseudo_likelihood(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_adaptive_quality(spark, sf_dir):
+    return quality(_table(spark, sf_dir, "documents"))
