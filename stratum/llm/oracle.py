@@ -127,3 +127,36 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        n_lines, symbols, dup_lines, word_length, top_symbols, top_dup_lines, top_word_length
 FROM vals LEFT JOIN tops ON vals.lang IS NOT DISTINCT FROM tops.lang AND vals.source IS NOT DISTINCT FROM tops.source
 """
+
+_PROBE = "'</s>[INST] ok [/INST]'"
+
+
+def _escape(x: str) -> str:
+    out = f"replace({x}, '\\', '\\0')"
+    for k, c in enumerate("<[]", 1):
+        out = f"replace({out}, '{c}', '\\{k}')"
+    return out
+
+
+SQL["op8_chat_machine"] = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', {_PROBE} UNION ALL SELECT -1, 1, 'assistant', {_PROBE}),
+numbered AS (
+  SELECT *, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY conv_id) AS n,
+         coalesce(lag(role) OVER w, '') AS before, lag(role) OVER w IS NULL AS opens FROM turns
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+judged AS (
+  SELECT *, CASE WHEN opens THEN role IN ('system', 'user') WHEN role = 'user' THEN before IN ('system', 'assistant')
+                 ELSE role = 'assistant' AND before = 'user' END AS fits FROM numbered),
+conv AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY i) AS turns,
+         coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '') AS loss,
+         sum(length('<s>[INST:' || {_escape('role')} || ']' || {_escape('text')} || '</s>')) AS formatted_chars,
+         min(i) FILTER (NOT fits) AS bad, arg_max(role, i) IN ('user', 'assistant') AS ends_well
+  FROM judged GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+       formatted_chars::BIGINT AS formatted_chars, bad IS NULL AND ends_well AS valid,
+       coalesce(bad, CASE WHEN NOT ends_well THEN n_turns END)::INTEGER AS first_bad_turn
+FROM conv
+"""

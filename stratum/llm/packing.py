@@ -83,10 +83,10 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buck
     sizes, size_path = store(docs.select(F.col(id_col).cast("long").alias("id"), n.alias("n")), "lengths")
     rows = sizes.where("n > 0").groupBy(on_grid(F.col("n")).alias("n")).count().orderBy("n").collect()
     bounds = optimal_boundaries(np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64), buckets)
-    bucket, bound = F.lit(None).cast("int"), F.lit(None).cast("long")
+    bucket, bound = F.lit(None).cast("long"), F.lit(None).cast("long")
     for k in reversed(range(len(bounds))):
         here = (F.col("n") > 0) & (F.col("n") <= bounds[k])
-        bucket, bound = F.when(here, k).otherwise(bucket), F.when(here, F.lit(bounds[k])).otherwise(bound)
+        bucket, bound = F.when(here, F.lit(k).cast("long")).otherwise(bucket), F.when(here, F.lit(bounds[k])).otherwise(bound)
     placed = sizes.select("id", "n", bucket.alias("bucket"), bound.cast("long").alias("bucket_length"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     laid, laid_path = store(

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle
+from .chat import formatted, read_back
 from .chunks import repeated_spans
 from .decontaminate import contaminated
 from .lm import pseudo_likelihood
@@ -14,6 +15,7 @@ from .minhash import near_duplicates
 from .packing import packed
 from .quality import quality
 from .tokens import token_counts
+from .urls import filter_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = dict(oracle.SQL)
@@ -63,3 +65,17 @@ def op7_pseudo_likelihood(spark, sf_dir):
 @query
 def op2_adaptive_quality(spark, sf_dir):
     return quality(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_boosted_urls(spark, sf_dir):
+    return filter_urls(_table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+@query
+def op8_chat_machine(spark, sf_dir):
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "</s>[INST] ok [/INST]"
+    turns = turns.unionByName(spark.createDataFrame(
+        [(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string"))
+    return read_back(formatted(turns))
