@@ -10,6 +10,7 @@ from . import oracle
 from .chat import formatted, read_back
 from .chunks import repeated_spans
 from .decontaminate import contaminated
+from .licences import licence_paragraphs
 from .lm import pseudo_likelihood
 from .minhash import near_duplicates
 from .packing import packed
@@ -79,3 +80,8 @@ def op8_chat_machine(spark, sf_dir):
     turns = turns.unionByName(spark.createDataFrame(
         [(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string"))
     return read_back(formatted(turns))
+
+
+@query
+def op3_licence_paragraphs(spark, sf_dir):
+    return licence_paragraphs(_table(spark, sf_dir, "documents"))
