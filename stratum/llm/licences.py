@@ -80,9 +80,9 @@ def grams(words: str) -> Column:
 
 
 def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, paragraph, words): the lines of every text that have a word, numbered from 0 among all its lines."""
+    """(id, paragraph, words): the lines of every text, numbered from 0."""
     return docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(text_col, "\n")).alias("paragraph", "line")) \
-        .withColumn("words", tokens(F.col("line"))).where(F.size("words") > 0).drop("line")
+        .withColumn("words", tokens(F.col("line"))).drop("line")
 
 
 def template_sentences(spark: SparkSession) -> DataFrame:
@@ -92,7 +92,8 @@ def template_sentences(spark: SparkSession) -> DataFrame:
 
 def logits(rows: DataFrame, keys: list[str], weights: DataFrame) -> DataFrame:
     """(keys, logit array) of every row of ``rows(keys, grams)`` that has an n-gram of the model; without intercepts."""
-    hits = rows.select(*keys, F.explode("grams").alias("gram")).join(F.broadcast(weights), "gram")
+    # the outer form: for the other the optimiser adds a filter that makes the n-grams again inside their own lambda
+    hits = rows.select(*keys, F.explode_outer("grams").alias("gram")).join(F.broadcast(weights), "gram")
     return hits.groupBy(*keys).agg(*(F.sum(F.col("w")[c]).alias(f"s{c}") for c in range(len(FAMILIES)))).select(
         *keys, F.array(*(F.col(f"s{c}") for c in range(len(FAMILIES)))).alias("logit"))
 
@@ -122,7 +123,7 @@ def train(docs: DataFrame, id_col: str, text_col: str):
         .orderBy(F.xxhash64("id"), "id").limit(NEGATIVE_DOCS)
     known = sentences.select(F.explode(F.expr("transform(sequence(0, greatest(0, size(words) - 2)), i -> concat(words[i], ' ', "
                                               "coalesce(get(words, i + 1), '')))")).alias("g")).agg(F.collect_set("g").alias("known"))
-    lines = paragraphs(some, "id", "text").select("words", grams("words").alias("grams")).crossJoin(F.broadcast(known))
+    lines = paragraphs(some, "id", "text").where(F.size("words") > 0).select("words", grams("words").alias("grams")).crossJoin(F.broadcast(known))
     pairs = F.filter("grams", lambda g: F.contains(g, F.lit(" ")))
     negative = lines.where(F.size(F.array_intersect(pairs, F.col("known"))) * 2 <= F.size(pairs)).select(
         F.lit(float(len(FAMILIES) - 1)).alias("label"), "words")

@@ -14,30 +14,31 @@ from .store import store, unstore
 BITS = 2                    # low bits kept of every minimum
 BANDS, ROWS = 40, 5         # a pair at similarity 0.8 misses all bands once in 7 million
 K = BANDS * ROWS
+FINE = 1024                 # minima of a candidate's packed signature
 LANES = 64 // BITS          # minima per packed long
-LONGS = -(-K // LANES)
+LONGS = FINE // LANES
 _rng = np.random.Generator(np.random.PCG64(77))
-_XOR = _rng.integers(0, 2**32, (K, 1), dtype=np.uint32)
-_MUL = _rng.integers(0, 2**32, (K, 1), dtype=np.uint32) | np.uint32(1)
+_XOR = _rng.integers(0, 2**32, (K + FINE, 1), dtype=np.uint32)
+_MUL = _rng.integers(0, 2**32, (K + FINE, 1), dtype=np.uint32) | np.uint32(1)
 _ODD = _rng.integers(0, 2**64, ROWS + 1, dtype=np.uint64) | np.uint64(1)
 _EVEN_BITS = 0x5555555555555555
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
-    """The K minima of one shingle set under K fixed permutations."""
+def minima(shingles: np.ndarray, first: int, count: int) -> np.ndarray:
+    """The minima of one shingle set under permutations first .. first + count - 1."""
     x = (shingles >> np.uint64(32)).astype(np.uint32)
-    low = np.full(K, 0xFFFFFFFF, dtype=np.uint32)
-    for i in range(0, len(x), 1024):
-        np.minimum(low, ((x[i:i + 1024] ^ _XOR) * _MUL).min(axis=1), out=low)
+    low = np.full(count, 0xFFFFFFFF, dtype=np.uint32)
+    xor, mul = _XOR[first:first + count], _MUL[first:first + count]
+    step = max(64, (1 << 18) // count)
+    for i in range(0, len(x), step):
+        np.minimum(low, ((x[i:i + step] ^ xor) * mul).min(axis=1), out=low)
     return low
 
 
 def pack(low: np.ndarray) -> np.ndarray:
     """The lowest BITS bits of each minimum, packed into longs."""
-    bits = np.zeros((len(low), LONGS * LANES), dtype=np.uint64)
-    bits[:, :K] = low & np.uint32(2**BITS - 1)
-    shift = np.arange(LANES, dtype=np.uint64) * np.uint64(BITS)
-    return np.bitwise_or.reduce(bits.reshape(-1, LONGS, LANES) << shift, axis=2)
+    bits = (low & np.uint32(2**BITS - 1)).astype(np.uint64).reshape(len(low), LONGS, LANES)
+    return np.bitwise_or.reduce(bits << (np.arange(LANES, dtype=np.uint64) * np.uint64(BITS)), axis=2)
 
 
 def band_keys(low: np.ndarray) -> np.ndarray:
@@ -48,26 +49,36 @@ def band_keys(low: np.ndarray) -> np.ndarray:
     return wh.mix(h)
 
 
+def _lists(x: np.ndarray) -> pa.Array:
+    return pa.FixedSizeListArray.from_arrays(pa.array(x.view(np.int64).ravel()), x.shape[1]).cast(pa.list_(pa.int64()))
+
+
+def _sets(batches, width: int):
+    for batch in batches:
+        buf, at = wh.text_bytes(batch.column(1))
+        for i, j in wh.row_groups(at):
+            starts, _, h = wh.hash_words(buf[at[i]:at[j]], at[i:j + 1] - at[i])
+            cut = np.searchsorted(starts, at[i:j + 1] - at[i])
+            yield batch.column(0).slice(i, j - i), [wh.shingle_set(h[a:b], width) for a, b in zip(cut[:-1], cut[1:])]
+
+
+def _bands(width: int):
+    def run(batches):
+        for ids, sets in _sets(batches, width):
+            n = np.array([len(s) for s in sets], dtype=np.int64)
+            d1 = np.array([s.sum() for s in sets], dtype=np.uint64)
+            d2 = np.array([np.bitwise_xor.reduce(wh.mix(s * _ODD[0])) for s in sets], dtype=np.uint64)
+            keys = _lists(band_keys(np.stack([minima(s, 0, K) for s in sets])))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), keys],
+                                             names=["id", "n", "d1", "d2", "bands"])
+    return run
+
+
 def _signatures(width: int):
     def run(batches):
-        for batch in batches:
-            buf, at = wh.text_bytes(batch.column(1))
-            for i, j in wh.row_groups(at):
-                starts, _, h = wh.hash_words(buf[at[i]:at[j]], at[i:j + 1] - at[i])
-                cut = np.searchsorted(starts, at[i:j + 1] - at[i])
-                sets = [wh.shingle_set(h[a:b], width) for a, b in zip(cut[:-1], cut[1:])]
-                low = np.stack([minima(s) for s in sets])
-                n = np.array([len(s) for s in sets], dtype=np.int64)
-                d1 = np.array([s.sum() for s in sets], dtype=np.uint64)
-                d2 = np.array([np.bitwise_xor.reduce(wh.mix(s * _ODD[0])) for s in sets], dtype=np.uint64)
-                full = n > 0
-                lists = [pa.FixedSizeListArray.from_arrays(pa.array(x.view(np.int64).ravel()), x.shape[1])
-                         .cast(pa.list_(pa.int64())) for x in (pack(low), band_keys(low))]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array(n), pa.array(d1.view(np.int64)),
-                     pa.array(d2.view(np.int64)), *(x if full.all() else pa.array(x.to_pylist(), x.type, mask=~full)
-                                                    for x in lists)],
-                    names=["id", "n", "d1", "d2", "sig", "bands"])
+        for ids, sets in _sets(batches, width):
+            yield pa.RecordBatch.from_arrays([ids, pa.array([len(s) for s in sets], pa.int64()),
+                                              _lists(pack(np.stack([minima(s, K, FINE) for s in sets])))], names=["rep", "n", "sig"])
     return run
 
 
@@ -105,7 +116,7 @@ def estimate(a: str, b: str):
         x = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(_EVEN_BITS))
         differ = differ + F.bit_count(x)
     chance = 2.0 ** -BITS
-    return (1 - differ / F.lit(float(K)) - chance) / (1 - chance)
+    return (1 - differ / F.lit(float(FINE)) - chance) / (1 - chance)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
@@ -115,8 +126,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Two documents are linked when 100 * |intersection| >= percent * |union| of their distinct
     ``width``-word shingle sets (A-Z lower-cased; a shorter text is one shingle).  Method:
 
-    1. one pass makes each document's 64-bit shingle set, K minima, BITS low bits of each packed into
-       longs, BANDS band keys and a 128-bit digest of the set;
+    1. one pass makes each document's 64-bit shingle set, BANDS band keys from K minima and a 128-bit digest of
+       the set; documents that share a bucket get a signature, the BITS low bits of FINE more minima in longs;
     2. equal sets form one class by digest, so copies cost one aggregate row, not pairs;
     3. every band bucket pairs its members with its lead, the member that meets most others in all its buckets:
        candidates grow with bucket size, not its square; the packed signatures' corrected estimate (five standard
@@ -132,9 +143,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sigs, sig_path = store(source.mapInArrow(
-        _signatures(width), "id long, n long, d1 long, d2 long, sig array<long>, bands array<long>"), "sig")
+        _bands(width), "id long, n long, d1 long, d2 long, bands array<long>"), "sets")
     classes, class_path = store(
-        sigs.where("id IS NOT NULL AND n > 0").groupBy("d1", "d2", "n", "sig", "bands").agg(F.min("id").alias("rep")),
+        sigs.where("id IS NOT NULL AND n > 0").groupBy("d1", "d2", "n", "bands").agg(F.min("id").alias("rep")),
         "classes")
     exploded = classes.select("rep", F.explode("bands").alias("key"))
     crowds, crowd_path = store(
@@ -150,9 +161,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     unstore(spark, ranked_path)
     texts, text_path = store(
         source.join(members.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"), "texts")
-    sizes = classes.select("rep", "n", "sig")
+    sizes, size_path = store(texts.mapInArrow(_signatures(width), "rep long, n long, sig array<long>"), "signatures")
     agree = 2.0 ** -BITS + (1 - 2.0 ** -BITS) * percent / 100
-    slack = 5 * (agree * (1 - agree) / K) ** 0.5 / (1 - 2.0 ** -BITS)
+    slack = 5 * (agree * (1 - agree) / FINE) ** 0.5 / (1 - 2.0 ** -BITS)
 
     def confirmed(pairs: DataFrame, name: str) -> tuple[DataFrame, str]:
         near = pairs.distinct() \
@@ -198,7 +209,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             continue
         unstore(spark, of_path)
         of, of_path = components(links)
-    for path in (member_path, text_path, *paths):
+    for path in (member_path, text_path, size_path, *paths):
         unstore(spark, path)
 
     label = classes.select("d1", "d2", "n", "rep").join(of.withColumnRenamed("node", "rep"), "rep", "left").select(
