@@ -1,29 +1,63 @@
-"""The corpus pipeline: documents through the training-text operators, stage by stage."""
+"""The corpus pipeline: documents through five training-text operators, stage by stage.
+
+Every stage takes all rows its predecessor kept and, but for the last, returns the columns of ``documents``.
+Rows with a null doc_id pass the stages that decide by id (they cannot be named in a decision); the quality rules
+judge them like any row.  An empty table passes through as one.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from stratum.llm.chunks import remove_spans, repeated_spans
+from stratum.llm.decontaminate import contaminated
 from stratum.llm.minhash import near_duplicates
+from stratum.llm.packing import packed
+from stratum.llm.quality import filtered
 from stratum.llm.store import store
 
-# content-defined chunking has no SQL form; tests compare each stage with a brute-force version
+# gear-hash chunking has no SQL form; tests compare the stages with brute-force versions
 ORACLE_SQL = None
 
 
-def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup on five-word shingles at 0.8: one document of each group stays."""
-    kept = near_duplicates(docs, width=5, percent=80).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL"))
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality rules: documents that the base rules or their group's adaptive thresholds reject go."""
+    return filtered(docs)
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """MinHash near-dedup on five-word shingles at 0.8: the smallest doc_id of each group stays."""
+    gone = near_duplicates(docs, width=5, percent=80).where("NOT kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Substring dedup: stretches of 50 words or more that repeat an earlier one are cut out of the texts."""
+    return remove_spans(docs, repeated_spans(docs))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: documents that overlap a benchmark item go."""
+    hit = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
+    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packing: each document's length bucket, batch and place in it."""
+    return packed(docs)
 
 
 STAGES = [
-    ("near_dedup", dedup_stage),
+    ("quality_rules", quality_stage),
+    ("near_dedup", near_dedup_stage),
+    ("substring_dedup", substring_stage),
+    ("decontamination", decontamination_stage),
+    ("packing", packing_stage),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage for ``sf_dir``'s documents; each other stage's result is a written table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

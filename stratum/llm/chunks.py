@@ -169,13 +169,13 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         runs.select(F.col("fid").alias("id"), (F.col("s") - F.col("far")).alias("s"), (F.col("e") - F.col("far")).alias("e"))
     ).distinct().groupBy("id").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
     slices, slice_path = store(source.join(wanted, "id").select("id", "text", "spans").mapInArrow(
-        _slices, "id long, s long, e long, left binary, right binary, words long, broken boolean"), "slices")
+        _slices, "id long, s long, e long, left binary, right binary, words long, broken boolean"), "slices", 1000)
     there = slices.select(F.col("id").alias("fid"), F.col("s").alias("fs"), F.col("e").alias("fe"),
                           F.col("left").alias("fleft"), F.col("right").alias("fright"))
     pairs = runs.withColumn("fs", F.col("s") - F.col("far")).withColumn("fe", F.col("e") - F.col("far")) \
         .join(slices, ["id", "s", "e"]).join(there, ["fid", "fs", "fe"])
     grown, _ = store(pairs.mapInArrow(
-        _grow(min_words), "id long, start long, end long, n_words long, first_id long, first_start long").distinct(), "spans")
+        _grow(min_words), "id long, start long, end long, n_words long, first_id long, first_start long").distinct(), "spans", 2000)
     for path in (copy_path, run_path, slice_path):
         unstore(docs.sparkSession, path)
     return grown.select(F.col("id").alias(id_col), "start", "end", "n_words", F.col("first_id").alias("first_doc_id"),

@@ -136,7 +136,7 @@ def forward(p: dict, around: np.ndarray, target: np.ndarray, grad: dict | None =
             ids = around[k][by]
             first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
             grad["emb"][k][ids[first]] += np.add.reduceat(dh[by], first, axis=0)
-    out = np.empty(n, dtype=np.float32)
+    out = np.empty(n, dtype=logs.dtype)
     out[order] = logs
     return out
 

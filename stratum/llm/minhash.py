@@ -143,7 +143,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sigs, sig_path = store(source.mapInArrow(
-        _bands(width), "id long, n long, d1 long, d2 long, bands array<long>"), "sets")
+        _bands(width), "id long, n long, d1 long, d2 long, bands array<long>"), "sets", 1000)
     classes, class_path = store(
         sigs.where("id IS NOT NULL AND n > 0").groupBy("d1", "d2", "n", "bands").agg(F.min("id").alias("rep")),
         "classes")
@@ -161,7 +161,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     unstore(spark, ranked_path)
     texts, text_path = store(
         source.join(members.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"), "texts")
-    sizes, size_path = store(texts.mapInArrow(_signatures(width), "rep long, n long, sig array<long>"), "signatures")
+    sizes, size_path = store(texts.mapInArrow(_signatures(width), "rep long, n long, sig array<long>"), "signatures", 1000)
     agree = 2.0 ** -BITS + (1 - 2.0 ** -BITS) * percent / 100
     slack = 5 * (agree * (1 - agree) / FINE) ** 0.5 / (1 - 2.0 ** -BITS)
 
@@ -173,7 +173,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .where(estimate("us", "vs") >= percent / 100 - slack).select("u", "v")
         wide = near.join(texts.select(F.col("id").alias("v"), F.col("text").alias("tv")), "v") \
             .join(texts.select(F.col("id").alias("u"), F.col("text").alias("tu")), "u").select("u", "v", "tu", "tv")
-        return store(wide.mapInArrow(_confirm(width, percent), "u long, v long").distinct(), name)
+        return store(wide.mapInArrow(_confirm(width, percent), "u long, v long").distinct(), name, 100)
 
     links, link_path = confirmed(
         members.where("rep <> lead").select(F.least("lead", "rep").alias("u"), F.greatest("lead", "rep").alias("v")), "links")

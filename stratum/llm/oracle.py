@@ -112,7 +112,7 @@ each AS (
   UNION ALL SELECT lang, source, 'dup_lines', dup_lines FROM vals WHERE NOT base_failed
   UNION ALL SELECT lang, source, 'word_length', word_length FROM vals WHERE NOT base_failed),
 bins AS (
-  SELECT *, (v // greatest(1, 1 << greatest(0, len(bin(v)) - 6))) * greatest(1, 1 << greatest(0, len(bin(v)) - 6)) AS b FROM each),
+  SELECT *, (v // step + 1) * step - 1 AS b FROM (SELECT *, 1 << greatest(0, len(bin(v)) - 6) AS step FROM each)),
 quart AS (
   SELECT lang, source, rule, quantile_disc(b, 0.25) AS q1, quantile_disc(b, 0.75) AS q3 FROM bins GROUP BY ALL),
 tops AS (

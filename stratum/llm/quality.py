@@ -66,9 +66,9 @@ def ratios(m) -> dict[str, Column]:
 
 
 def sketch_bin(value: str) -> str:
-    """SQL of the smallest value in ``value``'s bin: exact below 64, then 32 bins for each doubling."""
-    return f"({value} div greatest(1, shiftleft(1L, length(bin({value})) - {SHARP + 1}))) * " \
-           f"greatest(1, shiftleft(1L, length(bin({value})) - {SHARP + 1}))"
+    """SQL of the largest value in ``value``'s bin: exact below 64, then 32 bins for each doubling."""
+    step = f"shiftleft(1L, greatest(0, length(bin({value})) - {SHARP + 1}))"
+    return f"(({value} div {step}) + 1) * {step} - 1"
 
 
 def sketches(values: DataFrame, keys: list[str], rules: list[str]) -> DataFrame:

@@ -9,14 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import shared_dir
 
 
-def store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def store(df: DataFrame, name: str, batch_rows: int | None = None) -> tuple[DataFrame, str]:
     """Write ``df`` once below ``spark.checkpoint.dir``; the table read back, and its path.
 
-    A written table cuts the lineage and survives lost executors.
+    A written table cuts the lineage and survives lost executors.  ``batch_rows`` bounds the rows that Python
+    tasks hold at a time while it is written, for rows with long texts.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_BATCH)
+    try:
+        if batch_rows:
+            spark.conf.set(_BATCH, str(batch_rows))
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
     return spark.read.schema(df.schema).parquet(path), path
 
 
