@@ -40,8 +40,6 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     spark = build_session(f"local[{cpus}]", app="stratum-bench", shuffle_partitions=cpus,
                           extra={"spark.driver.memory": "16g"})
-    if os.environ.get("BENCH_MEDIAN_STRATEGY"):
-        spark.conf.set("stratum.median.strategy", os.environ["BENCH_MEDIAN_STRATEGY"])
     # warm-up (JVM, codegen caches); not timed
     catalog.QUERIES["slug_id"](spark, sf_dir).collect()
     runs = int(os.environ.get("BENCH_RUNS", "2"))

@@ -21,13 +21,20 @@ def round_half(col, digits: int) -> Column:
     return F.round(_c(col) * F.lit(p), 0) / F.lit(p) + F.lit(0.0)
 
 
+# optional sign, digits with an optional fraction, optional exponent
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
 def coerce_numeric(col, to: str = "bigint") -> Column:
-    """Parse text as a number, null when it does not parse.
+    """Parse text as a decimal number, null when it is not one.
 
-    ``double``: any number text.  ``bigint``: integral values only (a
-    fractional or out-of-range value is null).
+    Type suffixes and hexadecimal forms, which the JVM would accept (``7D``,
+    ``12f``, ``0x1p3``), are not numbers.  ``double``: any number text.
+    ``bigint``: integral values in range, others null; use ``double`` where
+    fractions may occur.
     """
-    num = _c(col).cast("string").try_cast("double")
+    text = _c(col).cast("string")
+    num = F.when(text.rlike(NUMBER), text.try_cast("double"))
     if to == "double":
         return num
     fits = (num == F.floor(num)) & (F.abs(num) < F.lit(9.2e18))

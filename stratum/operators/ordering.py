@@ -15,13 +15,6 @@ from ..session import materialize, range_partitions
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition id << 33 | row index
 
-STRATEGY_CONF = "stratum.denseKeys.strategy"        # auto | window | distributed
-MAX_WINDOW_CONF = "stratum.denseKeys.maxWindowRows"
-DEFAULT_STRATEGY = "auto"
-# With ``auto``, inputs proven to hold at most this many rows are numbered
-# by one window task (a bounded amount of work in one task).
-DEFAULT_MAX_WINDOW_ROWS = 1_000_000
-
 
 def _order_col(c) -> Column:
     if isinstance(c, str):
@@ -33,7 +26,8 @@ def with_global_position(df: DataFrame, order: list, name: str = "_pos",
                          partitions: int | None = None) -> DataFrame:
     """Add a 0-based position in the total ``order`` (distributed).
 
-    Range-partition on the order, sort inside partitions, tag every row with
+    Store ``df`` once (range sampling would compute it twice), range-partition
+    the table on the order, sort inside partitions, tag every row with
     ``monotonically_increasing_id`` and materialise that layout to the shared
     checkpoint folder; then one tiny per-partition count table (at most one
     row per partition) gives each partition its offset, broadcast back.
@@ -42,6 +36,7 @@ def with_global_position(df: DataFrame, order: list, name: str = "_pos",
     if {"_mid", "_pid", "_local", "_off", "_n"} & set(df.columns):
         raise ValueError("columns _mid, _pid, _local, _off and _n are reserved")
     cols = [_order_col(c) for c in order]
+    df = materialize(df, "unordered")
     n = range_partitions(df, partitions)
     tagged = (df.repartitionByRange(n, *cols)
               .sortWithinPartitions(*cols)
@@ -61,41 +56,18 @@ def with_global_position(df: DataFrame, order: list, name: str = "_pos",
               .drop("_mid", "_pid", "_local", "_off")
 
 
-def _small_enough(df: DataFrame, limit: int) -> bool:
-    """Proof that ``df`` holds at most ``limit`` rows (a limited count)."""
-    return df.limit(limit + 1).count() <= limit
-
-
 def assign_dense_keys(df: DataFrame, order: list, key: str = "key", start: int = 1,
-                      complete_order: bool = True, partitions: int | None = None,
-                      strategy: str | None = None,
-                      rows_upper_bound: int | None = None) -> DataFrame:
+                      complete_order: bool = True, partitions: int | None = None) -> DataFrame:
     """``ROW_NUMBER() OVER (ORDER BY order)`` as a bigint key.
 
     With ``complete_order`` the remaining columns are appended to the order
-    so ties are broken the same way on every run.  ``distributed`` uses
-    :func:`with_global_position`; ``window`` a global window (one task);
-    ``auto`` (default) the window only when the input is proven small - by
-    ``rows_upper_bound`` when the caller knows one, else by a limited count -
-    and the distributed path otherwise (a bound above the limit skips the
-    count).
+    so ties are broken the same way on every run.  One plan at every size:
+    :func:`with_global_position`, no window over the whole table.
     """
     order = list(order)
     if complete_order:
         named = {o for o in order if isinstance(o, str)}
         order += [c for c in df.columns if c not in named]
-    conf = df.sparkSession.conf
-    how = strategy or conf.get(STRATEGY_CONF, DEFAULT_STRATEGY)
-    if how == "auto":
-        limit = int(conf.get(MAX_WINDOW_CONF, str(DEFAULT_MAX_WINDOW_ROWS)))
-        if rows_upper_bound is not None:
-            how = "window" if rows_upper_bound <= limit else "distributed"
-        else:
-            how = "window" if _small_enough(df, limit) else "distributed"
-    if how == "window":
-        w = Window.orderBy(*[_order_col(c) for c in order])
-        out = df.withColumn(key, (F.row_number().over(w) + F.lit(start - 1)).cast("bigint"))
-        return out.select(key, *df.columns)
     out = with_global_position(df, order, "_pos", partitions)
     out = out.withColumn(key, F.col("_pos") + F.lit(start)).drop("_pos")
     return out.select(key, *[c for c in df.columns])
@@ -103,10 +75,10 @@ def assign_dense_keys(df: DataFrame, order: list, key: str = "key", start: int =
 
 def best_per_key(df: DataFrame, key, rank: str, tiebreak: list[str] | None = None,
                  ascending: bool = True) -> DataFrame:
-    """Keep one row per ``key``: lowest ``rank`` (nulls last), ties by ``tiebreak``.
+    """Keep one row per ``key``: lowest ``rank``, ties by ``tiebreak``, nulls last in both.
 
-    ``min(struct(rank IS NULL, rank, tiebreak..., rest...))`` per key: the
-    leading flag puts null ranks last, partial aggregation combines rows
+    ``min(struct(rank IS NULL, rank, tiebreak IS NULL, tiebreak..., rest...))``
+    per key: the flags put nulls last, partial aggregation combines rows
     before the shuffle.
     """
     keys = [key] if isinstance(key, str) else list(key)
@@ -116,8 +88,9 @@ def best_per_key(df: DataFrame, key, rank: str, tiebreak: list[str] | None = Non
     rest = [c for c in df.columns if c not in keys and c != rank and c not in tiebreak]
     r = F.col(rank) if ascending else -F.col(rank)
     packed = F.struct(F.col(rank).isNull().alias("_null"), r.alias("_r"),
-                      *[F.col(c) for c in tiebreak], *[F.col(c) for c in rest],
-                      F.col(rank).alias("_rank"))
+                      *[x for i, c in enumerate(tiebreak)
+                        for x in (F.col(c).isNull().alias(f"_null{i}"), F.col(c))],
+                      *[F.col(c) for c in rest], F.col(rank).alias("_rank"))
     best = df.groupBy(*keys).agg(F.min(packed).alias("_best"))
     return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in tiebreak + rest],
                        F.col("_best._rank").alias(rank)).select(*df.columns)

@@ -1,21 +1,12 @@
 """Exact median per group that does not hold a whole group in one task.
 
-Spark's ``median``/``percentile`` buffers every distinct value of a group in
-one aggregation buffer, so the final merge of a hot group (a third of all
-rows) runs in one task.  ``exact_median`` instead
-
-1. collapses equal (group, value) pairs with a partial aggregate,
-2. range-partitions those pairs on (group, value) and materialises the
-   layout (a hot group is spread over many partitions),
-3. counts rows per (partition, group) - a table with at most
-   partitions + groups rows - and finds, per group, the partition chunk
-   holding the lower and the upper middle position,
-4. scans only those chunks with a running count to pick the two values.
-
-``agg_with_median`` defaults to ``auto``: Spark's aggregate when a size
-check proves every group small, the distributed path otherwise;
-``builtin`` and ``distributed`` force one of them, and ``approx``
-(``percentile_approx``, mergeable sketches) is available only on request.
+Spark's ``median`` buffers every distinct value of a group, so a hot group's
+final merge runs in one task.  Here a mergeable sketch (``percentile_approx``)
+brackets each group's middle, and only the values inside the bracket are
+sorted: with a rank error of at most 1/ACCURACY and a bracket of 2 * MARGIN,
+about a five-hundredth of a group's values, one row for each distinct value.
+Values below the bracket count as one row.  The result is exact at every size,
+and there is one plan for all sizes.
 """
 
 from __future__ import annotations
@@ -25,24 +16,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize, range_partitions
+from ..session import materialize
 
-# ``auto``: the in-memory aggregate only for groups proven small by a size
-# check (one aggregate returning one number), the distributed path for the
-# rest - so a hot group never lands in one task.
-DEFAULT_STRATEGY = "auto"
-# With ``auto``, groups up to this many rows use the in-memory aggregate.
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
-# Largest target table (two rows per group) broadcast to the layout join.
-BROADCAST_TARGET_ROWS = 1_000_000
-STRATEGY_CONF = "stratum.median.strategy"          # auto | builtin | distributed | approx
-# ``approx`` (percentile_approx) is never chosen automatically: results differ.
-APPROX_ACCURACY = 10_000
-MAX_GROUP_CONF = "stratum.median.maxGroupRows"
+ACCURACY = 10_000
+MARGIN = 0.001
 
-
-_INTERNAL = {"_v", "_c", "_pid", "_cnt", "_before", "_n", "_t", "_which", "_k", "_klocal",
-             "_cum", "_lo", "_hi", "_all"}
+_INTERNAL = {"_v", "_c", "_n", "_range", "_cum", "_lo", "_hi", "_all"}
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner"):
@@ -56,108 +35,43 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, alias: str = "median",
-                 partitions: int | None = None) -> DataFrame:
+def exact_median(df: DataFrame, keys: list[str], value: str, alias: str = "median") -> DataFrame:
     """One row per group of ``keys``: the interpolated median of ``value``.
 
     Nulls are skipped; a group with no non-null value is absent (join it
     back with a left join to get null).  Equal to ``median`` /
-    ``quantile_cont(0.5)``: lower + (upper - lower) * 0.5.
+    ``quantile_cont(0.5)``: lower + (upper - lower) * 0.5.  ``df`` is read
+    twice: give it a stored table if it is dear to compute.
     """
     keys = list(keys)
     clash = set(keys) & _INTERNAL
     if clash:
         raise ValueError(f"group columns {sorted(clash)} clash with internal names")
-    n_part = range_partitions(df, partitions)
-    v = F.col(value).cast("double")
-    pairs = (df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull())
-             .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    order = [F.asc_nulls_last(k) for k in keys] + [F.asc("_v")]
-    laid = (pairs.repartitionByRange(n_part, *order)
-            .withColumn("_pid", F.spark_partition_id()))
-    # one physical layout for both uses below
-    laid = materialize(laid, "median")
-
-    chunks = laid.groupBy("_pid", *keys).agg(F.sum("_c").alias("_cnt"))
-    by_group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    chunks = chunks.withColumns({
-        "_before": F.coalesce(F.sum("_cnt").over(
-            by_group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        "_n": F.sum("_cnt").over(by_group),
-    })
-    half = (F.col("_n") - 1) / F.lit(2)
-    targets = chunks.select(
-        "_pid", *keys, "_before", "_cnt",
-        F.explode(F.array(
-            F.struct(F.lit(0).alias("_which"), F.floor(half).cast("bigint").alias("_k")),
-            F.struct(F.lit(1).alias("_which"), F.ceil(half).cast("bigint").alias("_k")),
-        )).alias("_t"))
-    targets = (targets.where((F.col("_before") <= F.col("_t._k")) &
-                             (F.col("_t._k") < F.col("_before") + F.col("_cnt")))
-               .select("_pid", *keys, F.col("_t._which").alias("_which"),
-                       (F.col("_t._k") - F.col("_before")).alias("_klocal")))
-
-    # at most two rows per group; broadcast them when a count proves the
-    # table small, so the large layout is never shuffled for this join
-    if targets.count() <= BROADCAST_TARGET_ROWS:
-        targets = F.broadcast(targets)
-    hit = _null_safe_join(laid, targets, ["_pid", *keys])
-    within = Window.partitionBy("_pid", *keys, "_which").orderBy("_v") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hit = hit.withColumn("_cum", F.sum("_c").over(within))
-    picked = hit.where((F.col("_cum") - F.col("_c") <= F.col("_klocal")) &
-                       (F.col("_klocal") < F.col("_cum")))
-    grouped = picked.groupBy(*keys) if keys else picked.groupBy()
-    med = grouped.agg(F.min(F.when(F.col("_which") == 0, F.col("_v"))).alias("_lo"),
-                      F.min(F.when(F.col("_which") == 1, F.col("_v"))).alias("_hi"))
+    values = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    near = F.percentile_approx("_v", [0.5 - MARGIN, 0.5 + MARGIN], ACCURACY)
+    brackets = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), near.alias("_range")).where("_n > 0")
+    hit = _null_safe_join(values, brackets, keys).where(F.col("_v") <= F.col("_range")[1])
+    below = F.when(F.col("_v") < F.col("_range")[0], F.lit(float("-inf"))).otherwise(F.col("_v"))
+    pairs = hit.groupBy(*keys, "_n", below.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    running = Window.partitionBy(*keys, "_n").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pairs = pairs.withColumn("_cum", F.sum("_c").over(running))
+
+    def at(position: Column) -> Column:
+        return F.min(F.when(F.col("_cum") > position, F.col("_v")))
+
+    med = pairs.groupBy(*keys, "_n").agg(at(F.floor((F.col("_n") - 1) / 2)).alias("_lo"),
+                                         at(F.ceil((F.col("_n") - 1) / 2)).alias("_hi"))
     return med.select(*keys, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.lit(0.5)).alias(alias))
 
 
-def median_strategy(df: DataFrame, keys: list[str], strategy: str | None = None,
-                    max_group_rows: int | None = None, rows_upper_bound: int | None = None) -> str:
-    """``builtin`` when the largest group is proven small, else ``distributed``.
-
-    The proof is either ``rows_upper_bound`` (a known bound on the input's
-    row count, e.g. the stored fact's count when every join is N:1) or one
-    aggregate returning a single number (the largest group size); nothing
-    else reaches the driver.
-    """
-    spark = df.sparkSession
-    strategy = strategy or spark.conf.get(STRATEGY_CONF, DEFAULT_STRATEGY)
-    if strategy in ("builtin", "distributed", "approx"):
-        return strategy
-    limit = max_group_rows or int(spark.conf.get(MAX_GROUP_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
-    if rows_upper_bound is not None and rows_upper_bound <= limit:
-        return "builtin"
-    sizes = (df.groupBy(*keys) if keys else df.groupBy()).agg(F.count(F.lit(1)).alias("_n"))
-    largest = sizes.agg(F.max("_n")).first()[0] or 0
-    return "builtin" if largest <= limit else "distributed"
-
-
 def agg_with_median(df: DataFrame, keys: list[str], aggs: list[Column], value: str,
-                    alias: str = "_median", strategy: str | None = None,
-                    max_group_rows: int | None = None,
-                    rows_upper_bound: int | None = None,
-                    has_distinct: bool = False) -> DataFrame:
-    """``groupBy(keys).agg(*aggs, median(value))`` with a scale-safe median.
-
-    Set ``has_distinct`` when ``aggs`` hold a distinct aggregate: the median
-    is then computed in its own aggregate and joined back by the keys.
+                    alias: str = "_median") -> DataFrame:
+    """``groupBy(keys).agg(*aggs, median(value))`` with the exact median above.
+
+    ``df`` is computed once and stored; the aggregates and the median's two
+    passes read the columns they need from that table.
     """
     keys = list(keys)
-    how = median_strategy(df, keys, strategy, max_group_rows, rows_upper_bound)
-    grouped = df.groupBy(*keys) if keys else df.groupBy()
-    # A percentile buffer inside the distinct-aggregate plan would be built
-    # for every (group, distinct value) pair: keep it apart.
-    if how == "approx":
-        # explicit opt-in only: a sketch per group, relative rank error 1/accuracy
-        med_col = F.percentile_approx(F.col(value).cast("double"), 0.5, APPROX_ACCURACY)
-        return grouped.agg(*aggs, med_col.alias(alias))
-    if how == "builtin" and not has_distinct:
-        return grouped.agg(*aggs, F.median(value).alias(alias))
-    base = grouped.agg(*aggs)
-    if how == "builtin":
-        med = grouped.agg(F.median(value).alias(alias))
-    else:
-        med = exact_median(df, keys, value, alias)
-    return _null_safe_join(base, med, keys, "left")
+    stored = materialize(df, "median")
+    base = stored.groupBy(*keys).agg(*aggs)
+    return _null_safe_join(base, exact_median(stored, keys, value, alias), keys, "left")

@@ -10,10 +10,8 @@ Scale notes
 * joins to dimensions are left to Catalyst/AQE: a dimension is broadcast
   only when its measured size is under the broadcast threshold, otherwise
   sort-merge with AQE skew splitting;
-* medians go through ``agg_with_median`` (distributed exact median for
-  groups that are not proven small).  ``rows_bound`` is a known upper
-  bound on the fact's rows; joins to dimensions are N:1 on their unique
-  surrogate keys, so no group of an analysis can exceed it.
+* medians go through ``agg_with_median``: the joined rows are stored once,
+  the aggregates and the exact median read that table.
 """
 
 from __future__ import annotations
@@ -34,7 +32,7 @@ def _names(unit: float):
     return (f"total_valuation_{w}_usd", f"avg_valuation_{w}_usd", f"median_valuation_{w}_usd")
 
 
-def age_effect(fact: DataFrame, unit: float = 1e9, median_strategy: str | None = None, rows_bound: int | None = None) -> DataFrame:
+def age_effect(fact: DataFrame, unit: float = 1e9) -> DataFrame:
     """Company age bucket vs valuation and grit (companies counted once)."""
     total, avg, med = _names(unit)
     v = F.col("valuation_usd")
@@ -51,7 +49,7 @@ def age_effect(fact: DataFrame, unit: float = 1e9, median_strategy: str | None =
         round_half(F.avg("experience_grit_index"), 2).alias("avg_grit_index"),
         round_half(F.sum(v) / unit, 2).alias(total),
         round_half(F.avg(v) / unit, 2).alias(avg),
-    ], "valuation_usd", _MED, median_strategy, rows_upper_bound=rows_bound)
+    ], "valuation_usd", _MED)
     out = out.withColumn(med, round_half(F.col(_MED) / unit, 2))
     return out.select("company_age_bucket", "total_companies", "avg_company_age_years",
                       "avg_grit_index", total, avg, med) \
@@ -59,8 +57,7 @@ def age_effect(fact: DataFrame, unit: float = 1e9, median_strategy: str | None =
 
 
 def industry_dominance(fact: DataFrame, dim_company: DataFrame, unit: float = 1e9,
-                       min_companies: int = 2, top: int = 10,
-                       median_strategy: str | None = None, rows_bound: int | None = None) -> DataFrame:
+                       min_companies: int = 2, top: int = 10) -> DataFrame:
     """Top industries by average company valuation (industries with >= 2 companies)."""
     total, avg, med = _names(unit)
     v = F.col("valuation_usd")
@@ -75,7 +72,7 @@ def industry_dominance(fact: DataFrame, dim_company: DataFrame, unit: float = 1e
         round_half(F.sum(v) / unit, 2).alias(total),
         round_half(F.avg(v) / unit, 2).alias(avg),
         round_half(F.avg("experience_grit_index"), 2).alias("avg_grit_index"),
-    ], "valuation_usd", _MED, median_strategy, rows_upper_bound=rows_bound)
+    ], "valuation_usd", _MED)
     out = (out.where(F.col("total_companies") >= min_companies)
               .withColumn(med, round_half(F.col(_MED) / unit, 2)))
     # top-k: TakeOrderedAndProject, industry breaks ties
@@ -83,14 +80,14 @@ def industry_dominance(fact: DataFrame, dim_company: DataFrame, unit: float = 1e
               .orderBy(F.desc_nulls_last(avg), F.asc_nulls_last("industry")).limit(top)
 
 
-def grit_by_tier(fact: DataFrame, dim_executive: DataFrame, unit: float = 1e9,
-                 median_strategy: str | None = None, rows_bound: int | None = None) -> DataFrame:
+def grit_by_tier(fact: DataFrame, dim_executive: DataFrame, unit: float = 1e9) -> DataFrame:
     """Education tier x grit level cross-tab."""
     total, avg, med = _names(unit)
     v = F.col("valuation_usd")
     tiers = dim_executive.select("executive_key", F.col("tier_flag").alias("university_tier")) \
         .where(F.col("university_tier").isNotNull() & (F.col("university_tier") != TIER_UNKNOWN))
     base = (fact.where((v > 0) & F.col("experience_grit_index").isNotNull())
+            .select("company_key", "executive_key", "valuation_usd", "company_age_years", "experience_grit_index")
             .join(tiers, "executive_key")
             .withColumn("grit_level", grit_level("experience_grit_index")))
     out = agg_with_median(base, ["university_tier", "grit_level"], [
@@ -100,16 +97,14 @@ def grit_by_tier(fact: DataFrame, dim_executive: DataFrame, unit: float = 1e9,
         round_half(F.avg("experience_grit_index"), 2).alias("avg_grit_index"),
         round_half(F.sum(v) / unit, 2).alias(total),
         round_half(F.avg(v) / unit, 2).alias(avg),
-    ], "valuation_usd", _MED, median_strategy, rows_upper_bound=rows_bound,
-        has_distinct=True)
+    ], "valuation_usd", _MED)
     out = out.withColumn(med, round_half(F.col(_MED) / unit, 2))
     return out.select("university_tier", "grit_level", "executive_company_pairs", "total_companies",
                       "avg_company_age_years", "avg_grit_index", total, avg, med) \
               .orderBy(F.desc_nulls_last(avg), "university_tier", "grit_level")
 
 
-def rank_correlation(fact: DataFrame, dim_executive: DataFrame, unit: float = 1e9,
-                     median_strategy: str | None = None, rows_bound: int | None = None) -> DataFrame:
+def rank_correlation(fact: DataFrame, dim_executive: DataFrame, unit: float = 1e9) -> DataFrame:
     """Correlation of founder rank (and 1/rank) with log valuation, one row."""
     _, avg, med = _names(unit)
     v = F.col("valuation_usd")
@@ -126,13 +121,11 @@ def rank_correlation(fact: DataFrame, dim_executive: DataFrame, unit: float = 1e
         round_half(guarded_corr(F.lit(1.0) / q, log_v), 4).alias("corr_qs_quality_vs_log_valuation"),
         round_half(F.avg(q), 2).alias("avg_qs_rank"),
         round_half(F.avg(v) / unit, 2).alias(avg),
-    ], "valuation_usd", _MED, median_strategy, rows_upper_bound=rows_bound,
-        has_distinct=True)
+    ], "valuation_usd", _MED)
     return out.withColumn(med, round_half(F.col(_MED) / unit, 2)).drop(_MED)
 
 
-def value_by_tier(fact: DataFrame, dim_executive: DataFrame, unit: float = 1e9,
-                  median_strategy: str | None = None, rows_bound: int | None = None) -> DataFrame:
+def value_by_tier(fact: DataFrame, dim_executive: DataFrame, unit: float = 1e9) -> DataFrame:
     """Valuation summary per founder education tier."""
     total, avg, med = _names(unit)
     v = F.col("valuation_usd")
@@ -147,8 +140,7 @@ def value_by_tier(fact: DataFrame, dim_executive: DataFrame, unit: float = 1e9,
         round_half(F.sum(v) / unit, 2).alias(total),
         round_half(F.avg(v) / unit, 2).alias(avg),
         round_half(F.avg(F.ln(v)), 4).alias("avg_log_valuation"),
-    ], "valuation_usd", _MED, median_strategy, rows_upper_bound=rows_bound,
-        has_distinct=True)
+    ], "valuation_usd", _MED)
     out = out.withColumn(med, round_half(F.col(_MED) / unit, 2))
     return out.select("tier_flag", "executive_company_pairs", "total_companies", "total_executives",
                       total, avg, med, "avg_log_valuation") \

@@ -64,13 +64,13 @@ def list_files(spark: SparkSession, drop_zone: str, api_pattern: str | None = No
 def plan_ingest(listing: DataFrame, manifest: DataFrame) -> DataFrame:
     """Classify every listed object: ``new``, ``changed`` or ``unchanged``.
 
-    A left join of the listing to the stored manifest on the object name
-    (both sides shuffle on the key, or the manifest is broadcast when AQE
-    measures it small).  The manifest holds the content MD5 itself, so a
-    multi-part upload never looks changed.
+    A left join of the listing to the newest manifest row of each object
+    (a partial aggregate; then both sides shuffle on the name, or the manifest is
+    broadcast when AQE measures it small).  The manifest holds the content
+    MD5 itself, so a multi-part upload never looks changed.
     """
-    m = manifest.select(F.col("object_name").alias("_name"),
-                        F.col("original_md5").alias("_stored_md5"))
+    newest = F.max_by("original_md5", F.struct("ingestion_timestamp", "original_md5"))
+    m = manifest.groupBy(F.col("object_name").alias("_name")).agg(newest.alias("_stored_md5"))
     j = listing.join(m, listing["object_name"] == m["_name"], "left")
     action = (F.when(F.col("_name").isNull(), F.lit("new"))
               .when(F.col("_stored_md5") != F.col("content_md5"), F.lit("changed"))
@@ -97,12 +97,20 @@ def write_run(df: DataFrame, path: str, run: str) -> None:
 
 
 def read_manifest(spark: SparkSession, manifest_path: str) -> DataFrame:
-    """Stored manifest rows (empty before the first run)."""
-    cols = [f.name for f in MANIFEST_SCHEMA.fields]
-    try:
-        return spark.read.parquet(manifest_path).select(*cols)
-    except Exception:  # first run: no manifest yet
+    """Stored manifest rows; empty before the first run, an error if what is there cannot be read."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(manifest_path)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
         return spark.createDataFrame([], MANIFEST_SCHEMA)
+    return spark.read.parquet(manifest_path).select(*[f.name for f in MANIFEST_SCHEMA.fields])
+
+
+def current_objects(spark: SparkSession, bronze_path: str, manifest_path: str) -> DataFrame:
+    """The landed objects as they are now: of every object, the content of its newest manifest row."""
+    newest = F.max_by("original_md5", F.struct("ingestion_timestamp", "original_md5"))
+    now = read_manifest(spark, manifest_path).groupBy("object_name").agg(newest.alias("content_md5"))
+    landed = spark.read.parquet(bronze_path)
+    return landed.join(now, ["object_name", "content_md5"], "left_semi") \
+        .dropDuplicates(["object_name", "content_md5"])
 
 
 def land(spark: SparkSession, drop_zone: str, bronze_path: str, manifest_path: str,
@@ -121,7 +129,8 @@ def land(spark: SparkSession, drop_zone: str, bronze_path: str, manifest_path: s
     plan = materialize(plan, "ingest-plan")
     run = run or f"batch-{uuid.uuid4().hex}"
     todo = plan.where(F.col("action") != "unchanged")
-    contents = read_binary(spark, drop_zone).select("path", "content")
+    # only supported files are opened; the paths to land are the small side of the join
+    contents = read_binary(spark, drop_zone).where(extension_filter("path")).select("path", "content")
     write_run(todo.join(contents, "path")
                   .select("object_name", "content", "content_md5", "source_system"),
               bronze_path, run)

@@ -33,31 +33,31 @@ def register(name: str, oracle: str | None = None):
 @register("age_effect", ANALYSES["age_effect"])
 def q_age_effect(spark, sf_dir):
     s = star(spark, sf_dir)
-    return analytics.age_effect(s.fact, unit=UNIT, rows_bound=s.fact_rows)
+    return analytics.age_effect(s.fact, unit=UNIT)
 
 
 @register("industry_dominance", ANALYSES["industry_dominance"])
 def q_industry_dominance(spark, sf_dir):
     s = star(spark, sf_dir)
-    return analytics.industry_dominance(s.fact, s.dim_company, unit=UNIT, rows_bound=s.fact_rows)
+    return analytics.industry_dominance(s.fact, s.dim_company, unit=UNIT)
 
 
 @register("grit_by_tier", ANALYSES["grit_by_tier"])
 def q_grit_by_tier(spark, sf_dir):
     s = star(spark, sf_dir)
-    return analytics.grit_by_tier(s.fact, s.dim_executive, unit=UNIT, rows_bound=s.fact_rows)
+    return analytics.grit_by_tier(s.fact, s.dim_executive, unit=UNIT)
 
 
 @register("rank_correlation", ANALYSES["rank_correlation"])
 def q_rank_correlation(spark, sf_dir):
     s = star(spark, sf_dir)
-    return analytics.rank_correlation(s.fact, s.dim_executive, unit=UNIT, rows_bound=s.fact_rows)
+    return analytics.rank_correlation(s.fact, s.dim_executive, unit=UNIT)
 
 
 @register("value_by_tier", ANALYSES["value_by_tier"])
 def q_value_by_tier(spark, sf_dir):
     s = star(spark, sf_dir)
-    return analytics.value_by_tier(s.fact, s.dim_executive, unit=UNIT, rows_bound=s.fact_rows)
+    return analytics.value_by_tier(s.fact, s.dim_executive, unit=UNIT)
 
 
 @register("factor_dominance", ANALYSES["factor_dominance"])
@@ -179,14 +179,6 @@ def _gold_inputs(spark, sf_dir):
     return stored["startups"], stored["executives"]
 
 
-def _startup_rows(spark, sf_dir, startups):
-    """Row count of the stored startups (one count per session and scale)."""
-    key = (id(spark), ("startup-rows", sf_dir))
-    if key not in fixtures._STORED:
-        fixtures._STORED[key] = {"rows": startups.count()}
-    return fixtures._STORED[key]["rows"]
-
-
 @_sg("explode_founders")
 def q_explode_founders(spark, sf_dir):
     startups, _ = _gold_inputs(spark, sf_dir)
@@ -196,7 +188,7 @@ def q_explode_founders(spark, sf_dir):
 @_sg("gold_dim_company")
 def q_gold_dim_company(spark, sf_dir):
     startups, _ = _gold_inputs(spark, sf_dir)
-    return gold.dim_company(startups, _startup_rows(spark, sf_dir, startups))
+    return gold.dim_company(startups)
 
 
 @_sg("gold_dim_executive")
@@ -209,7 +201,7 @@ def q_gold_dim_executive(spark, sf_dir):
 def q_gold_fact(spark, sf_dir):
     startups, execs = _gold_inputs(spark, sf_dir)
     founders = gold.explode_founders(startups)
-    dc = gold.dim_company(startups, _startup_rows(spark, sf_dir, startups))
+    dc = gold.dim_company(startups)
     de = gold.dim_executive(founders, execs)
     return gold.fact_valuation_grit(startups, founders, dc, de)
 
@@ -218,7 +210,7 @@ def q_gold_fact(spark, sf_dir):
 def q_coverage_check(spark, sf_dir):
     startups, execs = _gold_inputs(spark, sf_dir)
     founders = gold.explode_founders(startups)
-    dc = gold.dim_company(startups, _startup_rows(spark, sf_dir, startups))
+    dc = gold.dim_company(startups)
     de = gold.dim_executive(founders, execs)
     fact = gold.fact_valuation_grit(startups, founders, dc, de)
     return gold.coverage_check(startups, fact, dc)
@@ -313,15 +305,18 @@ def q_bgp_join(spark, sf_dir):
 
 CUSTOMER_SCHEMA = ("c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
                    "c_mktsegment STRING")
+# quotes, separators, padding, line ends and nulls that a delimited file must give back
+NOTE_SQL = ("CASE c_custkey % 6 WHEN 0 THEN 'a\"b ' || c_name WHEN 1 THEN 'x,\"y\",' || c_name WHEN 2 THEN '  ' || c_name || ' ' "
+            "WHEN 3 THEN c_name || chr(10) || 'next' WHEN 4 THEN '\"' END")
 CUSTOMER_SQL = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
 
 
-@register("csv_roundtrip", CUSTOMER_SQL)
+@register("csv_roundtrip", CUSTOMER_SQL.replace(" FROM", f", {NOTE_SQL} AS c_note FROM"))
 def q_csv_roundtrip(spark, sf_dir):
-    """``customer`` written as delimited text to the shared folder and read back."""
+    """``customer`` with awkward notes, written as delimited text to the shared folder and read back."""
     path = scratch_path(spark, "csv")
-    files.write_csv(Tables(spark, sf_dir).customer, path)
-    return files.read_csv(spark, path, CUSTOMER_SCHEMA)
+    files.write_csv(Tables(spark, sf_dir).customer.withColumn("c_note", F.expr(NOTE_SQL)), path)
+    return files.read_csv(spark, path, CUSTOMER_SCHEMA + ", c_note STRING")
 
 
 PREAMBLE = ["QS World University Rankings,", "exported from the ranking sheet,"]

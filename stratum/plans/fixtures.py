@@ -22,7 +22,6 @@ class Star:
     fact: DataFrame
     dim_company: DataFrame
     dim_executive: DataFrame
-    fact_rows: int | None = None   # known when the star is stored
 
 
 def dim_company(part: DataFrame) -> DataFrame:
@@ -106,10 +105,7 @@ def star(spark: SparkSession, sf_dir: str, stored: bool = True) -> Star:
         s = build_star(spark, sf_dir)
         return {"fact": s.fact, "dim_company": s.dim_company, "dim_executive": s.dim_executive}
     out = stored_tables(spark, ("star", sf_dir), build)
-    key = (id(spark), ("star-rows", sf_dir))
-    if key not in _STORED:
-        _STORED[key] = {"rows": out["fact"].count()}   # one count of the stored table
-    return Star(out["fact"], out["dim_company"], out["dim_executive"], _STORED[key]["rows"])
+    return Star(out["fact"], out["dim_company"], out["dim_executive"])
 
 
 # --- raw (bronze-like) analogue inputs for the silver and gold jobs ---------
@@ -236,14 +232,16 @@ def prior_manifest(documents: DataFrame) -> DataFrame:
     This is input *state*, not a filter on the query: the ingest query lists
     and classifies every document; the key rule only decides which of them
     an earlier run had already landed (absent -> ``new``) and which were
-    landed with other content (-> ``changed``).
+    landed with other content (-> ``changed``).  Every object has an older
+    row with other content as well, as manifests only grow.
     """
     listing = document_listing(documents)
     k = F.col("doc_id")
-    return listing.where(k % 7 != 0).select(
-        "object_name",
-        F.when(k % 5 == 0, F.md5(F.concat(F.col("object_name"), F.lit("#v0"))))
-         .otherwise(F.col("content_md5")).alias("original_md5"))
+    newest = F.when(k % 5 == 0, F.md5(F.concat(F.col("object_name"), F.lit("#v0")))).otherwise(F.col("content_md5"))
+    older = F.md5(F.concat(F.col("object_name"), F.lit("#old")))
+    return listing.where(k % 7 != 0).select("object_name", F.inline(F.array(
+        F.struct(newest.alias("original_md5"), F.lit("2026-02-01").cast("timestamp").alias("ingestion_timestamp")),
+        F.struct(older.alias("original_md5"), F.lit("2026-01-01").cast("timestamp").alias("ingestion_timestamp")))))
 
 
 def footprint_sizes(documents: DataFrame) -> DataFrame:
@@ -255,14 +253,16 @@ def footprint_sizes(documents: DataFrame) -> DataFrame:
                             comp.alias("component"), F.col("n_chars").alias("size"))
 
 
-def write_with_preamble(df: DataFrame, path: str, preamble: list[str], parts: int = 4) -> None:
+def write_with_preamble(df: DataFrame, path: str, preamble: list[str],
+                        parts: int | None = None) -> None:
     """Write ``df`` as CSV text files that each start with ``preamble`` and a header.
 
-    Rows are spread over ``parts`` file groups by a hash of the first column;
+    Rows are spread over ``parts`` file groups (the shuffle partitions' number by default) by a hash of the first column;
     each group is one partition directory whose single file holds its
     preamble and header lines first (ordered by a line-rank column), so no
     file is written by a task that sees more than its own group.
     """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = df.columns
     line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
     body = df.select(F.pmod(F.hash(F.col(cols[0])), F.lit(parts)).alias("_part"),

@@ -32,15 +32,14 @@ def explode_founders(startups: DataFrame) -> DataFrame:
     return rows.withColumn("founder_match_key", F.lower(F.trim("founder_name"))).dropDuplicates()
 
 
-def dim_company(startups: DataFrame, rows_bound: int | None = None) -> DataFrame:
-    """Distinct companies with dense keys; ``rows_bound`` bounds the startup rows."""
+def dim_company(startups: DataFrame) -> DataFrame:
+    """Distinct companies with dense keys."""
     base = (startups.where(F.col("Company").isNotNull())
             .select(F.col("Company").alias("company_name"), F.col("Industry").alias("industry"),
                     F.col("Country").alias("country"), F.col("Continent").alias("continent"),
                     F.col("City").alias("city"))
             .distinct())
-    keyed = assign_dense_keys(base, ["company_name"], key="company_key",
-                              rows_upper_bound=rows_bound)
+    keyed = assign_dense_keys(base, ["company_name"], key="company_key")
     return keyed.select("company_key", slug("company_name").alias("company_id"), "company_name",
                         "industry", "country", "continent", "city")
 
@@ -108,7 +107,7 @@ def build_gold(startups: DataFrame, executives: DataFrame, money_scale: float =
     are exactly the stored ones and the lineage is cut at each write.
     """
     founders = explode_founders(startups)
-    dc = dim_company(startups, rows_bound=startups.count())
+    dc = dim_company(startups)
     de = dim_executive(founders, executives)
     if path:
         spark = startups.sparkSession

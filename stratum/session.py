@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,8 +75,7 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder for written intermediate tables."""
     base = shared_dir(spark)
-    token = next(tempfile._get_candidate_names())
-    return os.path.join(base, f"scratch-{name}-{token}")
+    return os.path.join(base, f"scratch-{name}-{uuid.uuid4().hex}")
 
 
 def materialize(df: DataFrame, name: str = "mat") -> DataFrame:
@@ -92,18 +92,24 @@ def materialize(df: DataFrame, name: str = "mat") -> DataFrame:
     return spark.read.parquet(path)
 
 
-def range_partitions(df: DataFrame, requested: int | None = None) -> int:
-    """Partition count for a range repartition of ``df``.
+PARTITION_BYTES = 64 << 20
 
-    At least ``spark.sql.shuffle.partitions`` and at least the partition
-    count ``df`` already has (at scale: its input splits), so a range
-    partition stays about one input split in size however large the input.
+
+def range_partitions(stored: DataFrame, requested: int | None = None) -> int:
+    """Partition count for a range repartition of a stored table.
+
+    At least ``spark.sql.shuffle.partitions`` and one for every 64 MB of the
+    table's files, so a partition stays one input split in size however
+    large the table.  Only the files' sizes are listed; no job runs.
     """
     if requested:
         return requested
-    conf = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    try:
-        current = df.rdd.getNumPartitions()
-    except Exception:  # sessions without the RDD API
-        current = 0
-    return max(1, conf, current)
+    spark = stored.sparkSession
+    conf = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    folders = {os.path.dirname(f) for f in stored.inputFiles()}
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    size = 0
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        size += path.getFileSystem(hadoop).getContentSummary(path).getLength()
+    return max(1, conf, -(-size // PARTITION_BYTES))

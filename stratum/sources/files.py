@@ -3,63 +3,78 @@
 from __future__ import annotations
 
 import csv
-import io
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# one dialect for both directions: doubled quotes inside quoted fields, white space kept, lines end at \n
+_DIALECT = {"quote": '"', "escape": '"', "encoding": "UTF-8", "ignoreLeadingWhiteSpace": "false",
+            "ignoreTrailingWhiteSpace": "false"}
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str,
-             header: bool = True) -> DataFrame:
-    """Delimited text with a header, quoted fields and an optional UTF-8 BOM.
+             header: bool = True, multi_line: bool = True) -> DataFrame:
+    """Delimited text with quoted fields and an optional UTF-8 BOM.
 
-    The schema is always given (never inferred); Spark drops the BOM.
+    Columns are bound by header name: the file's header is read (the first
+    line only), its columns are parsed as text under their own names, and the columns of ``schema``
+    are picked and cast.  A column that the header lacks is an error.
+    Without a header, columns bind by position.  ``multi_line`` lets quoted
+    fields hold newlines; a file is then one task, so for files of many GB
+    without such fields turn it off.
     """
-    return (spark.read.schema(schema).option("header", header).option("quote", '"')
-            .option("escape", '"').option("encoding", "UTF-8").csv(path))
+    want = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    reader = spark.read.options(**_DIALECT).option("multiLine", multi_line)
+    if not header:
+        return reader.schema(want).csv(path)
+    top = spark.read.options(**_DIALECT).option("multiLine", multi_line).option("header", True).csv(path)
+    names = [c.lstrip("\ufeff") for c in top.columns]
+    missing = [f.name for f in want.fields if f.name not in names]
+    if missing:
+        raise ValueError(f"columns {missing} are not in the header {names}")
+    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    rows = reader.option("header", True).option("enforceSchema", True).schema(text).csv(path)
+    return rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in want.fields])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Delimited text that ``read_csv`` gives back, but for empty strings, which come back as null."""
+    df.write.mode("overwrite").options(**_DIALECT).option("header", True).csv(path)
 
 
 def read_with_preamble(spark: SparkSession, path: str, header_row: int = 2,
                        types: dict | None = None) -> DataFrame:
-    """Delimited text whose header is on row ``header_row`` (0-based).
+    """Delimited text whose header is on line ``header_row`` (0-based) of every file.
 
-    The first ``header_row + 1`` lines are read on the driver (a bounded
-    read: that many lines) to learn the column names and the preamble; the
-    body is read by executors with an all-string schema, the preamble and
-    header lines are removed by a predicate, and ``types`` casts columns.
-    Every file of ``path`` is expected to start with the same preamble.
+    The first ``header_row + 1`` lines are read on the driver to learn the
+    column names.  Executors drop a file's first lines by their position, so
+    a body line that looks like the preamble, or holds only empty fields, is
+    kept; blank lines are not rows.  Fields follow the dialect of
+    ``write_csv``, one line per record.  ``types`` casts columns.
     """
     head = [r[0] for r in spark.read.text(path).limit(header_row + 1).collect()]
-    if head and head[0].startswith("﻿"):
-        head[0] = head[0][1:]
-    parsed = [next(csv.reader(io.StringIO(line))) for line in head]
-    names = [n.strip() or f"_c{i}" for i, n in enumerate(parsed[header_row])]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    body = spark.read.schema(schema).option("header", False).csv(path)
-    first = F.regexp_replace(F.col(names[0]), "^﻿", "")
-
-    def same_as(values):
-        cond = F.lit(True)
-        for i, n in enumerate(names):
-            v = values[i] if i < len(values) else None
-            c = first if i == 0 else F.col(n)
-            cond = cond & (c.isNull() if v in (None, "") else (c == F.lit(v)))
-        return cond
-
-    drop = F.lit(False)
-    for values in parsed:
-        drop = drop | same_as(values)
-    out = body.where(~drop)
+    names = next(csv.reader([head[header_row].lstrip("\ufeff")]))
+    names = [n.strip() or f"_c{i}" for i, n in enumerate(names)]
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"))
+    # a file's lines stand in order, and its first block starts with its first line: one row per file
+    first = lines.where("block = 0").groupBy("file").agg(F.min("at").alias("first"))
+    body = lines.join(first.withColumnRenamed("file", "of"), F.col("file") == F.col("of"), "left").where(
+        (F.col("block") > 0) | (F.col("at") - F.col("first") > header_row)).where(F.trim("value") != "")
+    options = {k: v for k, v in _DIALECT.items() if k != "encoding"}
+    out = body.select(F.from_csv("value", _ddl(names), options).alias("row")).select("row.*")
     for name, typ in (types or {}).items():
         out = out.withColumn(name, F.col(name).cast(typ))
     return out
 
 
+def _ddl(names: list[str]) -> str:
+    return ", ".join("`" + n.replace("`", "``") + "` string" for n in names)
+
+
 def read_binary(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     reader = spark.read.format("binaryFile")
     if glob:

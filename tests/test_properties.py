@@ -36,7 +36,7 @@ rows = st.lists(st.tuples(st.integers(0, 5), st.one_of(st.none(), st.integers(0,
 @given(data=rows)
 def test_dense_keys_are_an_ordered_permutation(spark, data):
     df = spark.createDataFrame(data, "g int, r int, u long").dropDuplicates()
-    out = assign_dense_keys(df, ["g", "r"], key="k", strategy="distributed", partitions=3).collect()
+    out = assign_dense_keys(df, ["g", "r"], key="k", partitions=3).collect()
     ks = sorted(r.k for r in out)
     assert ks == list(range(1, len(out) + 1))
     by_key = sorted(out, key=lambda r: r.k)
@@ -61,7 +61,7 @@ def test_best_per_key_matches_sorted_first(spark, data):
                      min_size=1, max_size=120))
 def test_exact_median_matches_pandas(spark, data):
     df = spark.createDataFrame(data, "g int, v double")
-    got = {r.g: r.m for r in exact_median(df, ["g"], "v", "m", partitions=4).collect()}
+    got = {r.g: r.m for r in exact_median(df, ["g"], "v", "m").collect()}
     pdf = pd.DataFrame(data, columns=["g", "v"]).dropna()
     want = pdf.groupby("g")["v"].median().to_dict()
     assert set(got) == set(want)

@@ -39,10 +39,10 @@ def test_best_per_key_combines_before_the_shuffle(spark):
 
 def test_distributed_median_holds_no_percentile_buffer(spark):
     df = hot_frame(spark)
-    out = agg_with_median(df, ["g"], [F.count(F.lit(1)).alias("n")], "v", "m",
-                          strategy="distributed")
+    out = agg_with_median(df, ["g"], [F.count(F.lit(1)).alias("n")], "v", "m")
     p = plan(out)
-    assert "percentile" not in p.split("== Physical Plan ==")[1]
+    phys = p.split("== Physical Plan ==")[1]
+    assert "percentile(" not in phys and "median(" not in phys
     got = {r.g: r.m for r in out.collect()}
     want = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
     assert got == want
@@ -50,7 +50,7 @@ def test_distributed_median_holds_no_percentile_buffer(spark):
 
 def test_hot_group_median_and_keys_correct(spark):
     df = hot_frame(spark)
-    hot = exact_median(df.where(F.col("g") == "hot"), [], "v", "m", partitions=8).first().m
+    hot = exact_median(df.where(F.col("g") == "hot"), [], "v", "m").first().m
     assert hot == df.where(F.col("g") == "hot").agg(F.median("v")).first()[0]
-    keyed = assign_dense_keys(df, ["g", "u"], key="k", strategy="distributed", partitions=8)
+    keyed = assign_dense_keys(df, ["g", "u"], key="k", partitions=8)
     assert keyed.agg(F.countDistinct("k"), F.min("k"), F.max("k")).first() == (30000, 1, 30000)
