@@ -142,19 +142,24 @@ def _university(nation_name, variant):
             .otherwise(F.concat(F.lit("University  of "), nation_name, F.lit(" & Tech"))))
 
 
+def _place():
+    """A nation's places: one for every 40 supplier keys, so institutions grow with the table."""
+    return F.concat(F.col("n_name"), F.lit(" "), F.expr("s_suppkey div 40").cast("string"))
+
+
 def raw_profiles(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     """Executive profile extract: one row per supplier plus duplicates and second degrees."""
     k = F.col("s_suppkey")
-    j = supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"])
+    j = supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"]).withColumn("place", _place())
     base = j.select(
         F.when(k % 13 == 0, F.lit("NA")).otherwise(F.concat(F.lit("Company "), F.col("n_name")))
          .alias("companyLabel"),
         F.concat(F.lit(" "), F.col("s_name"), F.lit(" ")).alias("executiveLabel"),
-        F.when(k % 17 == 0, F.lit("N/A")).otherwise(_university(F.col("n_name"), k % 4))
+        F.when(k % 17 == 0, F.lit("N/A")).otherwise(_university(F.col("place"), k % 4))
          .alias("universityLabel"),
         F.when(k % 3 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("Degree "), (k % 3).cast("string"))).alias("degreeLabel"),
-        k.alias("_k"), F.col("n_name").alias("_n"),
+        k.alias("_k"), F.col("place").alias("_n"),
     )
     # rows are only added: exact duplicates of some rows, and a second
     # education row for others (the whole supplier table is always present)
@@ -175,12 +180,12 @@ def rank_text(key):
 
 
 def raw_rankings(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    """Ranking sheet: one row per supplier, institution named after its nation."""
+    """Ranking sheet: one row per supplier, institution named after its place."""
     k = F.col("s_suppkey")
     j = (supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"])
-         .join(region, nation["n_regionkey"] == region["r_regionkey"]))
-    inst = F.when(k % 2 == 0, F.concat(F.lit("University of "), F.col("n_name"))) \
-        .otherwise(F.concat(F.lit("University of "), F.col("n_name"), F.lit(" ("), F.col("r_name"), F.lit(")")))
+         .join(region, nation["n_regionkey"] == region["r_regionkey"]).withColumn("place", _place()))
+    inst = F.when(k % 2 == 0, F.concat(F.lit("University of "), F.col("place"))) \
+        .otherwise(F.concat(F.lit("University of "), F.col("place"), F.lit(" ("), F.col("r_name"), F.lit(")")))
     return j.select(k.alias("Row"), inst.alias("Institution Name"), rank_text(k).alias("QS Rank 2026"))
 
 
@@ -193,7 +198,7 @@ def startups_from_part(part: DataFrame) -> DataFrame:
 
     founders = (F.when(k % 11 == 0, F.lit(None).cast("string"))
                 .when(k % 13 == 0, F.lit(" , "))
-                .otherwise(F.concat(sup(k % 97), F.lit(", "), sup((k * 7) % 89))))
+                .otherwise(F.concat(sup(F.expr("p_partkey div 20")), F.lit(", "), sup(F.expr("1 + p_partkey div 31")))))
     price = F.col("p_retailprice")
     return part.select(
         F.concat(F.col("p_name"), F.lit(" #"), _s("p_partkey")).alias("Company"),
