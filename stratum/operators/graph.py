@@ -64,3 +64,16 @@ def path_then_star(triples: DataFrame, first: str, star: str) -> DataFrame:
     return (one.join(up, one["o"] == up["node"])
             .select(F.col("s").alias("entity"), F.col("anc").alias("class")).distinct())
 
+
+def instances_below(triples: DataFrame, first: str, star: str, target: str) -> DataFrame:
+    """``?x first/star* target`` as (entity): the walk starts at the target.
+
+    Only the target's own descendants are followed, backwards along ``star``;
+    the entities then need one semi join, so no entity-to-ancestor pairs are
+    made.
+    """
+    spark = triples.sparkSession
+    up = edges(triples, star).select(F.col("o").alias("s"), F.col("s").alias("o"))
+    start = spark.createDataFrame([(target,)], "node string")
+    classes = closure(up, start=start).select(F.col("anc").alias("o")).distinct()
+    return edges(triples, first).join(classes, "o", "left_semi").select(F.col("s").alias("entity")).distinct()

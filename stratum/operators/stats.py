@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -60,16 +60,17 @@ def variance_decomposition(df: DataFrame, value: str, factors: list[str]) -> Dat
     aggregate.
     """
     g = factor_group_stats(df, value, factors)
-    per_factor = Window.partitionBy("factor_name")
-    g = g.withColumn("_mean", F.sum("_s").over(per_factor) / F.sum("_nv").over(per_factor))
+    # two small aggregates over the group table: first each factor's overall mean (one row per factor, joined
+    # back), then both sums of squares; a wide factor is never sorted or buffered in one task
+    means = g.groupBy("factor_name").agg((F.sum("_s") / F.sum("_nv")).alias("_mean"))
+    g = g.join(means, "factor_name")
     dev = F.pow(F.col("group_mean") - F.col("_mean"), 2)
-    g = g.withColumn("_total_ss", F.sum(F.coalesce(F.col("_m2"), F.lit(0.0)) +
-                                         F.coalesce(F.col("_nv") * dev, F.lit(0.0))).over(per_factor))
-    kept = g.where(F.col("factor_value").isNotNull())
-    return kept.groupBy("factor_name").agg(
-        F.count(F.lit(1)).alias("group_count"),
-        F.sum("n").alias("observation_count"),
-        F.sum(F.col("n") * dev).alias("between_group_sum_squares"),
-        F.max("_total_ss").alias("total_sum_squares"),
-    ).withColumn("variance_explained_ratio",
+    named = F.col("factor_value").isNotNull()
+    return g.groupBy("factor_name").agg(
+        F.count_if(named).alias("group_count"),
+        F.sum(F.when(named, F.col("n"))).alias("observation_count"),
+        F.sum(F.when(named, F.col("n") * dev)).alias("between_group_sum_squares"),
+        F.sum(F.coalesce(F.col("_m2"), F.lit(0.0)) + F.coalesce(F.col("_nv") * dev, F.lit(0.0)))
+         .alias("total_sum_squares"),
+    ).where("group_count > 0").withColumn("variance_explained_ratio",
                  F.col("between_group_sum_squares") / F.nullif(F.col("total_sum_squares"), F.lit(0.0)))

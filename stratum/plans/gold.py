@@ -51,9 +51,11 @@ def dim_executive(founders: DataFrame, executives: DataFrame) -> DataFrame:
                           F.col("degreeLabel").alias("highest_degree"),
                           F.col("QS_Rank_Num").alias("qs_world_ranking"),
                           F.col("University_Tier_Flag").alias("tier_flag"))
-    f = founders.select(F.col("founder_name").alias("executive_name"), "founder_match_key")
+    # one row per founder before the join: a founder of many companies is no hot join key
+    f = founders.select(F.col("founder_name").alias("executive_name"), "founder_match_key") \
+        .where(F.col("executive_name").isNotNull()).distinct()
     joined = f.join(e, f["founder_match_key"] == e["_key"], "left")
-    cand = joined.where(F.col("executive_name").isNotNull()).select(
+    cand = joined.select(
         "executive_name", "highest_education_institution",
         F.coalesce("highest_degree", F.lit(DEGREE_UNKNOWN)).alias("highest_degree"),
         "qs_world_ranking",

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.graph import closure, edges, path_then_star
+from ..operators.graph import closure, edges, instances_below, path_then_star
 from ..sources.tables import Tables, spread
 
 # --- fixed values that must equal the reference's --------------------------
@@ -85,8 +85,8 @@ def bgp_join(triples: DataFrame, labels: DataFrame, target_class: str = "root",
     a left join for the optional degree and left joins to the label table
     (an id without a label in ``lang`` is its own label).
     """
-    companies = (subclass_closure(triples).where(F.col("class") == target_class)
-                 .select(F.col("entity").alias("company")).distinct())
+    companies = instances_below(triples, INSTANCE_OF, SUBCLASS_OF, target_class) \
+        .select(F.col("entity").alias("company"))
     execs = edges(triples, EXECUTIVE).select(F.col("s").alias("company"), F.col("o").alias("executive"))
     study = edges(triples, EDUCATED_AT).select(F.col("s").alias("executive"), F.col("o").alias("university"))
     kind_ok = (edges(triples, INSTANCE_OF).where(F.col("o").isin(*kinds))
