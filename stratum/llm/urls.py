@@ -94,14 +94,14 @@ def fit(labelled: DataFrame, boosting: Boosting) -> Column:
 
     base = math.log(mean / (1 - mean))
     score = F.lit(base)
-    binned = labelled.select("y", *FEATURES, F.array(*(F.struct(
-        F.lit(f).alias("f"), sum(((F.col(f) > c).cast("int") for c in cuts[f]), F.lit(0)).alias("b")) for f in FEATURES)).alias("x"))
+    binned, path = store(labelled.select("y", *FEATURES, F.array(*(F.struct(
+        F.lit(f).alias("f"), sum(((F.col(f) > c).cast("int") for c in cuts[f]), F.lit(0)).alias("b")) for f in FEATURES)).alias("x")).coalesce(4), "binned")
     for _ in range(boosting.trees):
         p = 1 / (1 + F.exp(-score))
-        rows, path = store(binned.withColumn("g", F.col("y") - p).withColumn("h", p * (1 - p)), "gradients")
+        rows = binned.withColumn("g", F.col("y") - p).withColumn("h", p * (1 - p))
         splits: dict[int, tuple[str, float]] = {}      # node -> (feature, bound); children 2k + 1 (at most) and 2k + 2
         open_nodes, values = {0}, {}
-        for level in range(boosting.depth + 1):
+        for _level in range(boosting.depth):
             leaf = _leaf(splits, 0)
             sums = rows.select(leaf.alias("leaf"), F.explode("x").alias("x"), "g", "h").groupBy("leaf", "x.f", "x.b").agg(
                 F.sum("g").alias("g"), F.sum("h").alias("h")).collect()
@@ -110,8 +110,8 @@ def fit(labelled: DataFrame, boosting: Boosting) -> Column:
                 one = [r for r in here if r.f == FEATURES[0]]
                 g, h = sum(r.g for r in one), sum(r.h for r in one)
                 values[node] = boosting.rate * g / (h + boosting.ridge)
-                best = (1e-6, None, None)
-                for f in FEATURES if level < boosting.depth else ():
+                best = (1e-6, None, None, 0.0, 0.0)
+                for f in FEATURES:
                     gl = hl = 0.0
                     by = {r.b: r for r in here if r.f == f}
                     for b, bound in enumerate(cuts[f]):
@@ -119,15 +119,18 @@ def fit(labelled: DataFrame, boosting: Boosting) -> Column:
                             gl, hl = gl + by[b].g, hl + by[b].h
                         gain = gl * gl / (hl + boosting.ridge) + (g - gl) ** 2 / (h - hl + boosting.ridge) - g * g / (h + boosting.ridge)
                         if gain > best[0] + 1e-9 and hl > 1e-3 and h - hl > 1e-3:
-                            best = (gain, f, bound)
+                            best = (gain, f, bound, gl, hl)
                 open_nodes.discard(node)
                 if best[1] is not None:
-                    splits[node] = best[1:]
+                    _, f, bound, gl, hl = best
+                    splits[node] = (f, bound)
                     open_nodes |= {2 * node + 1, 2 * node + 2}
+                    values[2 * node + 1] = boosting.rate * gl / (hl + boosting.ridge)
+                    values[2 * node + 2] = boosting.rate * (g - gl) / (h - hl + boosting.ridge)
             if not open_nodes:
                 break
-        unstore(labelled.sparkSession, path)
         score = score + _leaf(splits, 0, values)
+    unstore(labelled.sparkSession, path)
     return score
 
 
