@@ -8,6 +8,7 @@ judge them like any row.  An empty table passes through as one.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratum.llm.chunks import remove_spans, repeated_spans
 from stratum.llm.decontaminate import contaminated
@@ -32,8 +33,9 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Substring dedup: stretches of 50 words or more that repeat an earlier one are cut out of the texts."""
-    return remove_spans(docs, repeated_spans(docs))
+    """Substring dedup: stretches of 50 words or more that repeat an earlier one are cut out; n_chars follows."""
+    out = remove_spans(docs, repeated_spans(docs))
+    return out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
