@@ -45,7 +45,7 @@ def run_silver(spark: SparkSession, startups_csv: str, silver_dir: str,
                 else spark.createDataFrame([], _strings(PROFILE_COLUMNS)))
     rankings = (files.read_with_preamble(spark, rankings_csv, header_row=rankings_header_row)
                 if rankings_csv else spark.createDataFrame([], _strings(["Institution", "Rank"])))
-    silver.write_table(startups, f"{silver_dir}/unicorn_startups", fmt)
+    silver.write_table(startups, f"{silver_dir}/unicorn_startups", fmt, contract="silver.unicorn_startups")
     silver.write_table(silver.executive_profiles(profiles, rankings),
                        f"{silver_dir}/executive_profiles", fmt, contract="silver.executive_profiles")
 

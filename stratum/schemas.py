@@ -8,6 +8,10 @@ from pyspark.sql import types as T
 S, D, L = T.StringType(), T.DoubleType(), T.LongType()
 
 CONTRACTS = {
+    "silver.unicorn_startups": [
+        ("Rank", L), ("Company", S), ("Valuation_Formatted", S), ("Valuation_Tier", S), ("Industry", S),
+        ("Country", S), ("Continent", S), ("City", S), ("Founders", S), ("Year_Founded", L),
+        ("Company_Age_Years", L), ("Status", S), ("Data_Source", S), ("Collection_Date", S)],
     "silver.executive_profiles": [
         ("companyLabel", S), ("executiveLabel", S), ("universityLabel", S), ("degreeLabel", S),
         ("QS_Rank_Num", D), ("University_Tier_Flag", S)],

@@ -1,13 +1,6 @@
-"""Stage jobs end to end on a startups CSV in the original 14-column layout.
-
-Set ``STARTUPS_CSV`` to the published 144-row file to run these tests.  The
-goldens are the counts known for that file: 144 companies, 118 industries
-(10 with at least two companies), 177 company-founder pairs over 176
-founders, age buckets 7/42/80/15 and a valuation total of 2015.1 billion.
-Executive profiles and rankings are not published, so every founder is
-``Unknown Education`` here.
-"""
+"""Stage jobs end to end on generated files in the original layouts (14 startup columns, profiles, a ranking sheet)."""
 
+import csv
 import os
 import tempfile
 
@@ -16,45 +9,62 @@ from pyspark.sql import functions as F
 
 from stratum import jobs
 
-STARTUPS = os.environ.get("STARTUPS_CSV", "")
+N = 60
+
+
+@pytest.fixture(scope="module")
+def inputs(tmp_path_factory):
+    base = tmp_path_factory.mktemp("inputs")
+    rows = [[k, f" Acme {k} ", f"${k}.5B", "Unicorn", "N/A" if k % 10 == 0 else f"Industry {k % 7}", f"Country {k % 4}", "X", "Y",
+             "" if k % 6 == 0 else f"Ann {k % 9}, Bob \"B\" {k}", 2000 + k % 20, (k % 30) + 1, "Active", "list", "2026-01-01"]
+            for k in range(1, N + 1)]
+    with open(base / "startups.csv", "w", newline="") as f:
+        out = csv.writer(f)
+        out.writerow(jobs.STARTUP_COLUMNS)
+        out.writerows(rows)
+    with open(base / "profiles.csv", "w", newline="") as f:
+        out = csv.writer(f)
+        out.writerow(reversed(jobs.PROFILE_COLUMNS))         # another order: columns bind by name
+        out.writerows([["", f"University of {k % 5}", f"Ann {k}", "Acme"] for k in range(9)])
+    (base / "rankings.csv").write_text("Rankings\n\nInstitution Name,QS Rank 2026\n" + "".join(
+        f"University of {k},={k * 40 + 1}\n" for k in range(4)))
+    return base, rows
 
 
-@pytest.mark.skipif(not (STARTUPS and os.path.exists(STARTUPS)), reason="STARTUPS_CSV not set")
-def test_silver_gold_analyses_on_published_startups(spark):
+def test_silver_gold_analyses_on_generated_files(spark, inputs):
+    files, rows = inputs
     base = tempfile.mkdtemp(prefix="jobs-")
-    jobs.run_silver(spark, STARTUPS, f"{base}/silver")
+    jobs.run_silver(spark, str(files / "startups.csv"), f"{base}/silver", str(files / "profiles.csv"), str(files / "rankings.csv"))
     s = spark.read.parquet(f"{base}/silver/unicorn_startups")
-    assert s.count() == 144
-    assert dict(s.dtypes)["Rank"] == "bigint" and dict(s.dtypes)["Company_Age_Years"] == "bigint"
+    assert s.count() == N and s.where("Industry IS NULL").count() == N // 10
+    p = {r.executiveLabel: (r.QS_Rank_Num, r.degreeLabel) for r in spark.read.parquet(f"{base}/silver/executive_profiles").collect()}
+    assert p == {f"Ann {k}": (None if k % 5 == 4 else k % 5 * 40 + 1.0, "Unknown") for k in range(9)}
     dc, de, fact = jobs.run_gold(spark, f"{base}/silver", f"{base}/gold")
-    assert dc.count() == 144
-    assert dc.select("industry").distinct().count() == 118
-    assert fact.count() == 177
-    assert de.select("executive_name").distinct().count() == 176
-    assert {r[0] for r in de.select("tier_flag").distinct().collect()} == {"Unknown Education"}
+    pairs = sum(1 if k % 6 == 0 else 2 for k in range(1, N + 1))
+    assert (dc.count(), fact.count()) == (N, pairs)
+    names = {x.strip() for r in rows for x in r[8].split(",") if x.strip()} | {"Unknown Founder"}
+    assert {r[0] for r in de.select("executive_name").collect()} == names
     out = jobs.run_analyses(spark, f"{base}/gold")
-    age = {r.company_age_bucket: r.total_companies
-           for r in out["company_age_and_grit_effect"].collect()}
-    assert age == {"0-5 Years": 7, "6-10 Years": 42, "11-20 Years": 80, "20+ Years": 15}
+    age = {r.company_age_bucket: r.total_companies for r in out["company_age_and_grit_effect"].collect()}
+    ages = [r[10] for r in rows]
+    assert age == {"0-5 Years": sum(a <= 5 for a in ages), "6-10 Years": sum(5 < a <= 10 for a in ages),
+                   "11-20 Years": sum(10 < a <= 20 for a in ages), "20+ Years": sum(a > 20 for a in ages)}
     total = out["company_age_and_grit_effect"].agg(F.sum("total_valuation_billion_usd")).first()[0]
-    assert abs(total - 2015.1) < 0.05
-    assert out["industry_valuation_dominance"].count() == 10
-    assert out["factor_dominance_comparison"].count() == 4
-    # no ranked or tiered founders without profiles: empty tier reports, null correlation
-    assert out["valuation_by_university_tier"].count() == 0
-    assert out["qs_rank_correlation_with_valuation"].first().ranked_observations == 0
+    assert abs(total - sum(k + 0.5 for k in range(1, N + 1))) < 0.05
+    assert out["industry_valuation_dominance"].count() == 7 and out["factor_dominance_comparison"].count() == 4
+    ranked = [r for r in rows if r[8] and (r[0] % 9) % 5 != 4]
+    assert out["qs_rank_correlation_with_valuation"].first().ranked_observations == len(ranked)
 
 
-@pytest.mark.skipif(not (STARTUPS and os.path.exists(STARTUPS)), reason="STARTUPS_CSV not set")
-def test_sql_over_registered_gold_views(spark):
+def test_sql_over_registered_gold_views(spark, inputs):
     base = tempfile.mkdtemp(prefix="views-")
-    jobs.run_silver(spark, STARTUPS, f"{base}/silver")
+    jobs.run_silver(spark, str(inputs[0] / "startups.csv"), f"{base}/silver")
     jobs.run_gold(spark, f"{base}/silver", f"{base}/gold")
     jobs.register_views(spark, f"{base}/gold")
     sql = spark.sql("""
         SELECT c.industry, COUNT(DISTINCT f.company_key) AS n
         FROM fact_valuation_grit f JOIN dim_company c ON f.company_key = c.company_key
-        WHERE f.valuation_usd > 0 GROUP BY c.industry HAVING COUNT(DISTINCT f.company_key) >= 2""")
+        WHERE f.valuation_usd > 0 AND c.industry IS NOT NULL GROUP BY c.industry HAVING COUNT(DISTINCT f.company_key) >= 2""")
     top = jobs.run_analyses(spark, f"{base}/gold")["industry_valuation_dominance"]
     assert {(r.industry, r.n) for r in sql.collect()} == \
         {(r.industry, r.total_companies) for r in top.collect()}
