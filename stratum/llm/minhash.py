@@ -14,7 +14,7 @@ from .store import store, unstore
 BITS = 2                    # low bits kept of every minimum
 BANDS, ROWS = 40, 5         # a pair at similarity 0.8 misses all bands once in 7 million
 K = BANDS * ROWS
-FINE = 1024                 # minima of a candidate's packed signature
+FINE = 2048                 # minima of a candidate's packed signature
 LANES = 64 // BITS          # minima per packed long
 LONGS = FINE // LANES
 _rng = np.random.Generator(np.random.PCG64(77))
@@ -133,8 +133,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        candidates grow with bucket size, not its square; the packed signatures' corrected estimate (five standard
        deviations of slack) and the set sizes drop the hopeless ones, and the rest are confirmed on full sets;
     4. members still outside their bucket's main component meet a few other outsiders of the bucket, and
-       finally every bucket's remaining outsiders are compared with all members of other components, so no
-       link between candidates is lost.
+       finally every bucket's remaining outsiders are compared with all members of other components, each
+       pair in one of its shared buckets, so no link between candidates is lost.
 
     Null or wordless text has an empty set and is linked with nothing.  A null id keeps its row with a null
     component and kept = true.  Rows that repeat an id are one document: linked if any of its texts is.
@@ -195,11 +195,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             pairs = out.join(heads, "key").select("rep", "comp", F.explode(F.array("h0", "h1", "h2")).alias("h")) \
                 .where("h.comp <> comp").select(F.least("rep", "h.rep").alias("u"), F.greatest("rep", "h.rep").alias("v"))
         else:
-            withsig = inside.join(out.select("key").distinct(), "key", "left_semi").join(sizes, "rep")
-            left = withsig.where("comp <> main").select("key", *(F.col(c).alias("o_" + c) for c in ("rep", "comp", "n", "sig")))
+            withsig = inside.join(out.select("key").distinct(), "key", "left_semi").join(sizes, "rep") \
+                .join(classes.select("rep", "bands"), "rep")
+            left = withsig.where("comp <> main").select(
+                "key", *(F.col(c).alias("o_" + c) for c in ("rep", "comp", "n", "sig", "bands")))
             pairs = left.join(withsig, "key").where("comp <> o_comp AND rep <> lead AND (comp = main OR rep < o_rep)") \
                 .where(F.col("n") * 100 >= F.col("o_n") * percent).where(F.col("o_n") * 100 >= F.col("n") * percent) \
                 .where(estimate("sig", "o_sig") >= percent / 100 - slack) \
+                .where(F.array_min(F.array_intersect("bands", "o_bands")) == F.col("key")) \
                 .select(F.least("rep", "o_rep").alias("u"), F.greatest("rep", "o_rep").alias("v"))
         more, more_path = confirmed(pairs, "links")
         unstore(spark, inside_path)
