@@ -13,7 +13,8 @@ from .store import store, unstore
 RADIUS = 24       # a cut is a byte whose gear hash is the largest within this distance
 WINDOW = 32       # bytes that a 32-bit gear hash remembers
 LONGEST = 256     # longer chunks (periodic text has no largest hash) are split evenly from their start
-CONTEXT = 512     # bytes beside a run of equal chunks that are compared directly
+CONTEXT = 512     # bytes beside a run of equal stretches that are compared directly
+BEFORE, AFTER = 2 * RADIUS + WINDOW, 2 * RADIUS + 1    # bytes on both sides of a cut that decide it, ties included
 _GEAR = np.random.Generator(np.random.PCG64(5)).integers(0, 2**32, 256, dtype=np.uint32)
 
 
@@ -74,17 +75,79 @@ def digests(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _chunks(batches):
+    """(digest, id, s) of every chunk between two cuts that nearby bytes alone decide."""
     for batch in batches:
         buf, rows = wh.text_bytes(batch.column(1))
         for i, j in wh.row_groups(rows, 4 * wh.BLOCK):
             parts = [buf[rows[r]:rows[r + 1]] for r in range(i, j)]
-            at = [bounds(p) for p in parts]
-            d = [digests(p, a) for p, a in zip(parts, at)]
-            n = np.array([len(a) - 1 for a in at])
+            at = [cuts(p) for p in parts]
+            fit = [np.diff(a) <= LONGEST for a in at]
+            d = [digests(p, a)[f] for p, a, f in zip(parts, at, fit)]
+            n = np.array([len(x) for x in d])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(d).view(np.int64)), batch.column(0).take(pa.array(i + np.repeat(np.arange(j - i), n))),
-                 pa.array(np.concatenate([a[:-1] for a in at]).astype(np.int64)),
-                 pa.array(np.concatenate([a[1:] for a in at]).astype(np.int64))], names=["digest", "id", "s", "e"])
+                 pa.array(np.concatenate([a[:-1][f] for a, f in zip(at, fit)]).astype(np.int64))], names=["digest", "id", "s"])
+
+
+def least_stretches(text: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the shortest stretches of ``min_words`` words: from a word's last byte to the first byte of the
+    word ``min_words`` - 1 further on.  Every stretch of so many words, whole or cut at its ends, contains one."""
+    word = wh.IS_WORD[text]
+    first, last = word.copy(), word.copy()
+    first[1:] &= ~word[:-1]
+    last[:-1] &= ~word[1:]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    n = max(0, len(starts) - min_words + 1)
+    return ends[:n] - 1, starts[min_words - 1:] + 1
+
+
+def may_repeat(text: np.ndarray, s: np.ndarray, e: np.ndarray, repeated: np.ndarray) -> np.ndarray:
+    """False for stretches [s, e) that hold a whole chunk, with all bytes that decide its cuts, which occurs nowhere else."""
+    at = cuts(text)
+    low, high = at[:-1], at[1:]
+    alone = (high - low <= LONGEST) & ~np.isin(low, repeated)
+    low, high = low[alone] - BEFORE, high[alone] + AFTER
+    k = np.searchsorted(low, s)
+    return np.append(high, np.iinfo(np.int64).max)[k] > e
+
+
+def stretch_digests(buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """64-bit digests of the stretches [s, e), both ascending, by prefix sums over blocks of them."""
+    out, i = [np.zeros(0, np.uint64)], 0
+    while i < len(s):
+        j = max(i + 1, int(np.searchsorted(e, s[i] + wh.BLOCK, "right")))
+        part, a, b = buf[s[i]:e[j - 1]], s[i:j] - s[i], e[i:j] - s[i]
+        total = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum(wh._CODES[part] * wh._pow(wh._ROOT, len(part))[:len(part)], out=total[1:])
+        out.append(wh.mix((total[b] - total[a]) * wh._pow(wh._INVERSE, len(part))[a] + (b - a).astype(np.uint64)))
+        i = j
+    return np.concatenate(out)
+
+
+def _stretches(min_words: int):
+    """(digest, id, s, e, prev) of the shortest stretches that may repeat; prev: the same one's last place in the text, or -1."""
+    def run(batches):
+        for batch in batches:
+            buf, rows = wh.text_bytes(batch.column(1))
+            repeated = batch.column(2)
+            for r in range(batch.num_rows):
+                text = buf[rows[r]:rows[r + 1]]
+                s, e = least_stretches(text, min_words)
+                if not len(s):
+                    continue
+                here = repeated[r].values
+                keep = may_repeat(text, s, e, here.to_numpy(zero_copy_only=False) if here is not None else np.zeros(0, np.int64))
+                s, e = s[keep], e[keep]
+                d = stretch_digests(text, s, e)
+                order = np.argsort(d, kind="stable")
+                same = d[order][1:] == d[order][:-1]
+                prev = np.full(len(s), -1, np.int64)
+                prev[order[1:][same]] = s[order[:-1][same]]
+                if len(s):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(d.view(np.int64)), batch.column(0).take(pa.array(np.full(len(s), r))), pa.array(s.astype(np.int64)),
+                         pa.array(e.astype(np.int64)), pa.array(prev)], names=["digest", "id", "s", "e", "prev"])
+    return run
 
 
 def _slices(batches):
@@ -149,22 +212,35 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     words, are equal to those from ``first_start`` in ``first_doc_id``: a smaller id, or an earlier place in the
     same text.  The earliest copy of a passage is never reported as a repeat, so removing all spans keeps one.
 
-    Method: each text is cut where the gear hash of the last 32 bytes is the largest within 24 bytes to either
-    side.  Such cuts depend on nearby bytes alone, so an insertion shifts no distant chunk.  Chunks are grouped by digest
-    (partial aggregates; the most common chunk is one row per task), the copies are joined to their first occurrence,
-    neighbouring copies at one distance form runs, and each run is grown by comparing the bytes on both sides.
+    Method: every stretch of ``min_words`` words contains a shortest one, from the last byte of its first word to the
+    first byte of its last word.  Two texts share the long one only if they share the short one, so grouping the
+    shortest stretches by digest finds all repeats, and the first holder of each is the first holder of a whole
+    stretch.  To group few of them, each text is first cut where the gear hash of the last 32 bytes is the largest
+    within 24 bytes to either side.  Such cuts depend on nearby bytes alone: a stretch that holds a chunk, and the bytes
+    that decide its two cuts, repeats only if the chunk does.  Stretches with a chunk that occurs once go; those that
+    hold no chunk stay.  The others are joined to their first holder, or in a text that has them before to their last place
+    there; neighbours at one distance form runs, and each run is grown by comparing the bytes on both sides.
 
-    Null and empty texts have no chunks; null ids are left out; rows that repeat an id and its text count as one; of
+    Null and empty texts have no stretches; null ids are left out; rows that repeat an id and its text count as one; of
     different texts under one id, spans beyond a text's end are ignored.  Other columns are ignored.
     """
+    if min_words < 2:
+        raise ValueError("min_words must be 2 or more")
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
-    chunks = source.mapInArrow(_chunks, "digest long, id long, s long, e long")
-    firsts = chunks.groupBy("digest").agg(F.min("id").alias("fid"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    copies, copy_path = store(chunks.join(firsts, "digest"), "copies")
-    origin = copies.where("id = fid").groupBy("digest").agg(F.min("s").alias("fs"))
-    again = copies.join(origin, "digest").where("id <> fid OR s <> fs").select("id", "s", "e", "fid", (F.col("s") - F.col("fs")).alias("far"))
-    # runs: consecutive copies at one distance; the rows of one document's text only
+    chunks = source.mapInArrow(_chunks, "digest long, id long, s long")
+    often = chunks.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    repeated = chunks.join(often, "digest").groupBy("id").agg(F.collect_list("s").alias("repeated"))
+    found, found_path = store(source.join(repeated, "id", "left").select("id", "text", "repeated").mapInArrow(
+        _stretches(min_words), "digest long, id long, s long, e long, prev long"), "stretches", 1000)
+    fresh = found.where("prev < 0").drop("prev")
+    firsts = fresh.groupBy("digest").agg(
+        F.min("id").alias("fid"), F.min_by("s", "id").alias("fs"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    again = fresh.join(firsts, "digest").where("id <> fid OR s > fs").select(
+        "id", "s", "e", "fid", (F.col("s") - F.col("fs")).alias("far")).unionAll(
+        found.where("prev >= 0").select("id", "s", "e", F.col("id").alias("fid"), (F.col("s") - F.col("prev")).alias("far")))
+    # runs: overlapping stretches at one distance; the rows of one document's text only
     runs, run_path = store(_runs(again), "runs")
+    unstore(docs.sparkSession, found_path)
     wanted = runs.select("id", "s", "e").unionAll(
         runs.select(F.col("fid").alias("id"), (F.col("s") - F.col("far")).alias("s"), (F.col("e") - F.col("far")).alias("e"))
     ).distinct().groupBy("id").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
@@ -176,22 +252,21 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .join(slices, ["id", "s", "e"]).join(there, ["fid", "fs", "fe"])
     grown, _ = store(pairs.mapInArrow(
         _grow(min_words), "id long, start long, end long, n_words long, first_id long, first_start long").distinct(), "spans", 2000)
-    for path in (copy_path, run_path, slice_path):
+    for path in (run_path, slice_path):
         unstore(docs.sparkSession, path)
     return grown.select(F.col("id").alias(id_col), "start", "end", "n_words", F.col("first_id").alias("first_doc_id"),
                         "first_start")
 
 
 def _runs(again: DataFrame) -> DataFrame:
-    """Join copies that touch each other at one distance from one earlier text into runs (id, fid, far, s, e).
+    """Join stretches that overlap at one distance from one earlier text into runs (id, fid, far, s, e).
 
-    A copy starts a run when no copy ends where it starts, and ends one when none starts where it ends.  The
-    window's key holds the distance, so its groups are stretches of one text pair.
+    A stretch starts a run when the one before it ends earlier; equal ones change nothing.  The window's key
+    holds the distance, so its groups are stretches of one text pair.
     """
     from pyspark.sql import Window
 
     w = Window.partitionBy("id", "fid", "far").orderBy("s", "e")
-    again = again.distinct()
     new = again.withColumn("new", (F.coalesce(F.lag("e").over(w), F.lit(-1)) < F.col("s")).cast("long"))
     return new.withColumn("run", F.sum("new").over(w)).groupBy("id", "fid", "far", "run").agg(
         F.min("s").alias("s"), F.max("e").alias("e")).drop("run")

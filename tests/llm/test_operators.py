@@ -159,6 +159,31 @@ def test_repeated_spans_are_equal_and_complete(docs, texts, empty):
     assert chunks.repeated_spans(empty).count() == 0
 
 
+def test_repeats_of_short_words_are_found(spark):
+    rng = random.Random(12)
+
+    def short(n, longest):
+        return " ".join("".join(rng.choice("abcdefghij0123") for _ in range(rng.randint(1, longest))) for _ in range(n))
+
+    rows = []
+    for k in range(60):
+        passage = short(50, 1 + k % 3)
+        rows += [(k, f"{short(30, 3)} {passage} {short(20, 3)}"), (1000 + k, f"{short(9 + k, 3)} {passage} {short(15, 3)}")]
+    rows += [(2000, "0 1 " * 300), (2001, "x" * 90 + " 0 1" * 200)]          # periods of a few bytes
+    raw = {k: t.encode() for k, t in rows}
+    covered, first = defaultdict(set), set()
+    for s in chunks.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect():
+        assert raw[s.doc_id][s.start:s.end] == raw[s.first_doc_id][s.first_start:s.first_start + s.end - s.start] and s.n_words >= 50
+        covered[s.doc_id] |= set(range(s.start, s.end))
+    for k in sorted(raw):          # all stretches of 50 whole words, repeats inside one text as well
+        at = [m.span() for m in re.finditer(BLANK.encode(), raw[k])]
+        for i in range(len(at) - 49):
+            g = raw[k][at[i][0]:at[i + 49][1]]
+            assert g not in first or set(range(at[i][0], at[i + 49][1])) <= covered[k], k
+            first.add(g)
+    assert all(covered[1000 + k] and k not in covered for k in range(60)) and covered[2000] and covered[2001]
+
+
 def test_removing_spans_keeps_rows_columns_and_one_copy(docs, texts):
     out = chunks.remove_spans(docs, chunks.repeated_spans(docs))
     assert out.columns == docs.columns and out.count() == docs.count()
