@@ -11,7 +11,7 @@ from . import wordhash as wh
 from .components import components
 from .store import store, unstore
 
-BITS = 2                    # low bits kept of every minimum
+BITS = 2                    # low bits kept of every minimum's mixed value
 BANDS, ROWS = 40, 5         # a pair at similarity 0.8 misses all bands once in 7 million
 K = BANDS * ROWS
 FINE = 2048                 # minima of a candidate's packed signature
@@ -36,8 +36,11 @@ def minima(shingles: np.ndarray, first: int, count: int) -> np.ndarray:
 
 
 def pack(low: np.ndarray) -> np.ndarray:
-    """The lowest BITS bits of each minimum, packed into longs."""
-    bits = (low & np.uint32(2**BITS - 1)).astype(np.uint64).reshape(len(low), LONGS, LANES)
+    """The lowest BITS bits of each minimum's mixed value, packed into longs.
+
+    Unmixed, they would hang on the shingles' own low bits alone: two shingles would agree under all permutations or none.
+    """
+    bits = (wh.mix(low.astype(np.uint64)) & np.uint64(2**BITS - 1)).reshape(len(low), LONGS, LANES)
     return np.bitwise_or.reduce(bits << (np.arange(LANES, dtype=np.uint64) * np.uint64(BITS)), axis=2)
 
 

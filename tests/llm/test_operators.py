@@ -98,6 +98,21 @@ def test_signature_estimate_follows_similarity():
         assert ((a == b).mean() - j) < 0.08
 
 
+def test_small_sets_at_the_threshold_are_linked(spark):
+    rng = random.Random(21)
+    rows = []
+    for k in range(400):          # two-word shingles: 4 of 5, 8 of 10, and 12 of 15 by leaving out the last words
+        w = [f"w{rng.randrange(10**9)}" for _ in range((6, 11, 16)[k % 3])]
+        rows += [(k, " ".join(w)), (1000 + k, " ".join(w[:-(len(w) - 1) // 5]))]
+    rows += [(5000 + k, " ".join(f"w{rng.randrange(10**9)}" for _ in range(6))) for k in range(20)]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string"), width=2, percent=80).collect()}
+    sets = {k: {tuple(t.split()[i:i + 2]) for i in range(len(t.split()) - 1)} for k, t in rows}
+    linked = {max(a, b): min(a, b) for a, b in itertools.combinations(sets, 2)
+              if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert len(linked) == 400 and got == {k: linked.get(k, k) for k in sets}
+
+
 def test_masks_find_every_stretch_of_eleven_in_thirteen():
     for span in (11, 12, 13):
         for bad in itertools.combinations(range(1, span - 1), span - 11):
