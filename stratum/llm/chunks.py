@@ -125,7 +125,8 @@ def stretch_digests(buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray
 
 
 def _stretches(min_words: int):
-    """(digest, id, s, e, prev) of the shortest stretches that may repeat; prev: the same one's last place in the text, or -1."""
+    """(digest, id, s, n, prev) of the shortest stretches [s, s + n) that may repeat; prev: the same one's last place in the
+    text, or -1."""
     def run(batches):
         for batch in batches:
             buf, rows = wh.text_bytes(batch.column(1))
@@ -146,7 +147,7 @@ def _stretches(min_words: int):
                 if len(s):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(d.view(np.int64)), batch.column(0).take(pa.array(np.full(len(s), r))), pa.array(s.astype(np.int64)),
-                         pa.array(e.astype(np.int64)), pa.array(prev)], names=["digest", "id", "s", "e", "prev"])
+                         pa.array((e - s).astype(np.int64)), pa.array(prev)], names=["digest", "id", "s", "n", "prev"])
     return run
 
 
@@ -231,13 +232,14 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     often = chunks.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     repeated = chunks.join(often, "digest").groupBy("id").agg(F.collect_list("s").alias("repeated"))
     found, found_path = store(source.join(repeated, "id", "left").select("id", "text", "repeated").mapInArrow(
-        _stretches(min_words), "digest long, id long, s long, e long, prev long"), "stretches", 1000)
+        _stretches(min_words), "digest long, id long, s long, n long, prev long"), "stretches", 1000)
     fresh = found.where("prev < 0").drop("prev")
-    firsts = fresh.groupBy("digest").agg(
-        F.min("id").alias("fid"), F.min_by("s", "id").alias("fs"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    # the first holder of all 50 words, not of a part of them that some earlier text has alone
+    firsts = fresh.groupBy("digest").agg(F.min("id").alias("fid"), F.min_by("s", "id").alias("fs"))
     again = fresh.join(firsts, "digest").where("id <> fid OR s > fs").select(
-        "id", "s", "e", "fid", (F.col("s") - F.col("fs")).alias("far")).unionAll(
-        found.where("prev >= 0").select("id", "s", "e", F.col("id").alias("fid"), (F.col("s") - F.col("prev")).alias("far")))
+        "id", "s", (F.col("s") + F.col("n")).alias("e"), "fid", (F.col("s") - F.col("fs")).alias("far")).unionAll(
+        found.where("prev >= 0").select("id", "s", (F.col("s") + F.col("n")).alias("e"), F.col("id").alias("fid"),
+                                        (F.col("s") - F.col("prev")).alias("far")))
     # runs: overlapping stretches at one distance; the rows of one document's text only
     runs, run_path = store(_runs(again), "runs")
     unstore(docs.sparkSession, found_path)

@@ -199,6 +199,22 @@ def test_repeats_of_short_words_are_found(spark):
     assert all(covered[1000 + k] and k not in covered for k in range(60)) and covered[2000] and covered[2001]
 
 
+def test_repeats_made_of_pieces_of_earlier_texts_are_found(spark):
+    rng = random.Random(31)
+    rows, passages = [], {}
+    for k in range(0, 800, 100):
+        w = sentence(rng, 60).split(" ")
+        passages[k] = " ".join(w).encode()
+        rows += [(k + 1, " ".join([sentence(rng, 20), *w[:45], sentence(rng, 20)])), (k + 2, " ".join([sentence(rng, 25), *w[15:], sentence(rng, 9)])),
+                 (k + 5, " ".join([sentence(rng, 30), *w, sentence(rng, 10)])), (k + 9, " ".join([sentence(rng, 12), *w, sentence(rng, 30)]))]
+    raw = {k: t.encode() for k, t in rows}
+    got = chunks.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.first_doc_id) for r in got} == {(k + 9, k + 5) for k in passages}
+    for k, passage in passages.items():
+        at = raw[k + 9].index(passage)
+        assert any(r.doc_id == k + 9 and r.start <= at and at + len(passage) <= r.end for r in got)
+
+
 def test_removing_spans_keeps_rows_columns_and_one_copy(docs, texts):
     out = chunks.remove_spans(docs, chunks.repeated_spans(docs))
     assert out.columns == docs.columns and out.count() == docs.count()
