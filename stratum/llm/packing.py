@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 
 from .store import store, unstore
 
-EXACT = 1 << 16       # lengths up to here are boundary candidates themselves, longer ones 1/256 of their power of two apart
-
 
 def word_count(text_col: str) -> Column:
     """Words (runs of characters other than 0x20 and 0x09-0x0D) of a text; null counts none."""
@@ -18,12 +16,6 @@ def word_count(text_col: str) -> Column:
     return (F.size(words) - edges).cast("long")
 
 
-def on_grid(n: Column) -> Column:
-    """``n`` rounded up to the boundary grid: all lengths to EXACT, then 256 steps for each doubling."""
-    step = F.greatest(F.lit(1), F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(n, F.lit(1)))) - 8)).cast("long")
-    return F.when(n <= EXACT, n).otherwise(((n + step - 1) / step).cast("long") * step)
-
-
 def optimal_boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
     """Upper bounds of at most ``buckets`` buckets with the least total padding, from a sorted histogram.
 
@@ -68,9 +60,9 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buck
            token_budget: int = 16384, length: Column | None = None) -> DataFrame:
     """Per document: id_col, n_tokens, bucket, bucket_length, batch, slot, padding.
 
-    ``length`` is the token count to pack by, words by default.  The histogram of all lengths (one row per grid
-    length, so a few tens of thousands at most) goes to the driver, where dynamic programming picks the bucket bounds with
-    the least padding.  Inside a bucket, documents in order of (length, id) fill batches of
+    ``length`` is the token count to pack by, words by default.  The histogram of all lengths goes to the driver
+    (one row per distinct length: at most the square root of twice the corpus's tokens), where dynamic programming picks
+    the bucket bounds with the least padding.  Inside a bucket, documents in order of (length, id) fill batches of
     max(1, token_budget // bucket_length) documents, each padded to ``bucket_length``; a document longer than the
     budget is a batch of its own.
 
@@ -81,7 +73,7 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buck
     spark = docs.sparkSession
     n = word_count(text_col) if length is None else F.coalesce(length, F.lit(0)).cast("long")
     sizes, size_path = store(docs.select(F.col(id_col).cast("long").alias("id"), n.alias("n")), "lengths")
-    rows = sizes.where("n > 0").groupBy(on_grid(F.col("n")).alias("n")).count().orderBy("n").collect()
+    rows = sizes.where("n > 0").groupBy("n").count().orderBy("n").collect()
     bounds = optimal_boundaries(np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64), buckets)
     bucket, bound = F.lit(None).cast("long"), F.lit(None).cast("long")
     for k in reversed(range(len(bounds))):

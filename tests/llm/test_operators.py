@@ -301,6 +301,22 @@ def test_packing_places_every_document(docs, texts, empty):
     assert packing.packed(empty).count() == 0
 
 
+def test_packing_of_very_long_texts_matches_its_sql(spark):
+    import duckdb
+
+    from stratum.llm import oracle
+
+    sizes = [3, 5, 5, 900, 65_537, 65_600, 65_791, 65_793, 65_793, 70_001, 70_100, 70_301, 131_073, 131_500, 131_585]
+    rows = [(k, "a " * n) for k, n in enumerate(sizes)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    cur = con.execute(oracle.SQL["op1_length_buckets"])
+    names = [c[0] for c in cur.description]
+    got = packing.packed(spark.createDataFrame(rows, "doc_id long, text string"), buckets=8, token_budget=16384).select(*names).collect()
+    assert sorted(map(tuple, got)) == sorted(cur.fetchall()) and max(r.bucket_length for r in got) == 131_585
+
+
 def test_quality_measures_match_brute_force(docs, texts, empty):
     got = {r.doc_id: r for r in quality.quality(docs).collect()}
     for k, t in texts.items():
