@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import oracle
 from .chat import formatted, read_back
@@ -13,8 +14,11 @@ from .decontaminate import contaminated
 from .licences import licence_paragraphs
 from .lm import pseudo_likelihood
 from .minhash import near_duplicates
+from .negatives import hard_negatives
 from .packing import packed
 from .quality import quality
+from .ranked import ranked
+from .sharding import sharded
 from .tokens import token_counts
 from .urls import filter_urls
 
@@ -85,3 +89,20 @@ def op8_chat_machine(spark, sf_dir):
 @query
 def op3_licence_paragraphs(spark, sf_dir):
     return licence_paragraphs(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_dual_tree(spark, sf_dir):
+    return ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=50)
+
+
+@query
+def op12_best_fit(spark, sf_dir):
+    return sharded(_table(spark, sf_dir, "documents"), shards=40).drop("text_md5")
+
+
+@query
+def op13_residue_negatives(spark, sf_dir):
+    vectors = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 50 == 0)

@@ -73,7 +73,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0]:at[-1]], at - at[0]
 
 
-def _pieces(buf: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, int]]:
+def _pieces(buf: np.ndarray, rows: np.ndarray, is_word: np.ndarray) -> Iterator[tuple[int, int]]:
     """Cut ``buf`` into pieces of about BLOCK bytes, at row starts or separators."""
     n, at = len(buf), 0
     while at < n:
@@ -84,7 +84,7 @@ def _pieces(buf: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, int]]:
                 end = int(rows[k])
             else:
                 while end < n:
-                    ahead = IS_WORD[buf[end:end + 65536]]
+                    ahead = is_word[buf[end:end + 65536]]
                     if not ahead.all():
                         end += int(ahead.argmin())
                         break
@@ -94,14 +94,14 @@ def _pieces(buf: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def hash_words(buf: np.ndarray, rows: np.ndarray, lower: bool = True):
-    """(starts, ends, hashes) of all words; ``rows`` are the rows' offsets in ``buf``."""
+def hash_words(buf: np.ndarray, rows: np.ndarray, lower: bool = True, is_word: np.ndarray = IS_WORD):
+    """(starts, ends, hashes) of all words; ``rows`` are the rows' offsets in ``buf``, ``is_word`` says which bytes make words."""
     out = []
-    for a, b in _pieces(buf, rows):
+    for a, b in _pieces(buf, rows, is_word):
         part = buf[a:b]
         if lower:
             part = LOWER[part]
-        word = IS_WORD[part]
+        word = is_word[part]
         first = word.copy()
         first[1:] &= ~word[:-1]
         last = word.copy()
