@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -41,6 +41,20 @@ def coerce_numeric(col, to: str = "bigint") -> Column:
     return F.when(fits, num.cast("bigint"))
 
 
+def numeric_types(df: DataFrame, columns: list[str]) -> dict[str, str]:
+    """``bigint`` or ``double`` for each text column, decided by its values in one aggregate over all of them.
+
+    A column whose numbers are all whole and in range is ``bigint``; one fraction (or a number beyond 9.2e18) makes it
+    ``double``, so that no value is lost.  Text that is no number does not count; a column without numbers is ``bigint``.
+    """
+    if not columns:
+        return {}
+    wide = [F.max(coerce_numeric(c, "double").isNotNull() & coerce_numeric(c, "bigint").isNull()).alias(f"_{i}")
+            for i, c in enumerate(columns)]
+    found = df.agg(*wide).first()
+    return {c: "double" if found[i] else "bigint" for i, c in enumerate(columns)}
+
+
 def parse_money(col, scale: float = 1e9, strict: bool = True) -> Column:
     """``'$225.0B'`` -> 225.0 * scale.  Only a ``B`` suffix is understood.
 

@@ -1,59 +1,54 @@
 """Graph patterns over a ``triples(s, p, o)`` DataFrame.
 
-``closure`` is the property path ``p*`` (zero or more steps) as a semi-naive
-fixpoint: each round joins only the newest pairs (the frontier) to the
-edges and keeps pairs not seen before (left anti join), so cycles end.
-Each round's new pairs are written to the shared folder, cutting the
-lineage (a lost executor re-reads them instead of replaying all rounds).
+``closure`` is the property path ``p*`` (zero or more steps) by path doubling:
+round k joins what is reached so far to the pairs that lie exactly 2^k steps
+apart, then joins these pairs to themselves for the next round.  So a
+hierarchy of depth d takes about log2(d) rounds instead of d.  Pairs seen
+before are dropped (left anti join), so cycles end.  Every round is written to the shared
+folder, which cuts the lineage (a lost executor re-reads it instead of
+replaying all rounds), and the step pairs of the round before are deleted.
 """
 
 from __future__ import annotations
 
-from itertools import count
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import discard, stored
 
 
 def edges(triples: DataFrame, predicate: str) -> DataFrame:
     return triples.where(F.col("p") == predicate).select("s", "o").distinct()
 
 
-def closure(edge: DataFrame, start: DataFrame | None = None,
-            compact_every: int = 8) -> DataFrame:
-    """All (node, ancestor) pairs reachable by zero or more ``edge`` steps.
+def closure(edge: DataFrame, start: DataFrame | None = None) -> DataFrame:
+    """All (node, anc) pairs reachable by zero or more ``edge`` steps.
 
     ``start`` (a one-column DataFrame ``node``) limits the sources; by
     default every node that appears as a subject.  Zero-step pairs
     (node, node) are included, as in a ``*`` property path.
 
-    Each round stores only its new pairs; the pairs seen so far are the
-    union of the stored rounds, compacted into one stored table every
-    ``compact_every`` rounds so the plan stays small on deep graphs.
+    After round k all walks of up to 2^(k+1) - 1 steps are covered: their lengths are sums of the powers used so far.  A round
+    that finds nothing new is the last, since the nodes at the next distances would be missing as well.  Rounds run
+    when this is called.  The step pairs of round k are at most one for each node and each of its ancestors 2^k steps away.
     """
-    e = edge.select(F.col("s").alias("_s"), F.col("o").alias("_o"))
+    spark = edge.sparkSession
     nodes = (start if start is not None else edge.select(F.col("s").alias("node"))).distinct()
-    frontier = materialize(nodes.select("node", F.col("node").alias("anc")), "closure")
-    parts = [frontier]
-
-    def seen():
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-
-    for rnd in count(1):     # ends by itself: every round finds new pairs or is the last
-        step = (frontier.join(e, frontier["anc"] == e["_s"])
-                .select("node", F.col("_o").alias("anc")).distinct())
-        fresh = materialize(step.join(seen(), ["node", "anc"], "left_anti"), "closure")
+    seen = stored(nodes.select("node", F.col("node").alias("anc")), "closure")[0]
+    step, step_path = stored(edge.select(F.col("s").alias("_s"), F.col("o").alias("_o")).distinct(), "closure-steps")
+    while True:      # ends by itself: every round finds new pairs or is the last
+        further = seen.join(step, seen["anc"] == step["_s"]).select("node", F.col("_o").alias("anc")).distinct()
+        fresh, fresh_path = stored(further.join(seen, ["node", "anc"], "left_anti"), "closure")
         if fresh.isEmpty():
-            return seen()
-        parts.append(fresh)
-        if rnd % compact_every == 0:
-            parts = [materialize(seen(), "closure")]
-        frontier = fresh
+            discard(spark, fresh_path)
+            discard(spark, step_path)
+            return seen
+        seen = seen.unionByName(fresh)
+        onward = step.select(F.col("_s").alias("_m"), F.col("_o").alias("_e"))
+        double, double_path = stored(step.join(onward, step["_o"] == onward["_m"]).select("_s", F.col("_e").alias("_o")).distinct(),
+                                     "closure-steps")
+        discard(spark, step_path)
+        step, step_path = double, double_path
 
 
 def path_then_star(triples: DataFrame, first: str, star: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize, range_partitions
+from ..session import materialize
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition id << 33 | row index
 
@@ -26,28 +26,27 @@ def with_global_position(df: DataFrame, order: list, name: str = "_pos",
                          partitions: int | None = None) -> DataFrame:
     """Add a 0-based position in the total ``order`` (distributed).
 
-    Store ``df`` once (range sampling would compute it twice), range-partition
-    the table on the order, sort inside partitions, tag every row with
-    ``monotonically_increasing_id`` and materialise that layout to the shared
+    Range-partition on the order, sort inside partitions, tag every row with
+    ``monotonically_increasing_id`` and write that layout once to the shared
     checkpoint folder; then one tiny per-partition count table (at most one
     row per partition) gives each partition its offset, broadcast back.
+    The sampling pass of the range partitioning runs ``df`` down to its last
+    shuffle only, as shuffle files are kept; there are
+    ``spark.sql.shuffle.partitions`` partitions unless ``partitions`` says
+    otherwise, and adaptive execution joins small neighbours.
     ``order`` must be total (unique) for the positions to be reproducible.
     """
     if {"_mid", "_pid", "_local", "_off", "_n"} & set(df.columns):
         raise ValueError("columns _mid, _pid, _local, _off and _n are reserved")
     cols = [_order_col(c) for c in order]
-    df = materialize(df, "unordered")
-    n = range_partitions(df, partitions)
-    tagged = (df.repartitionByRange(n, *cols)
-              .sortWithinPartitions(*cols)
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    tagged = materialize(tagged, "positions")
+    ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    tagged = materialize(ranged.sortWithinPartitions(*cols).withColumn("_mid", F.monotonically_increasing_id()), "positions")
     tagged = tagged.withColumns({
         "_pid": F.shiftright("_mid", _LOCAL_BITS),
         "_local": F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)),
     })
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # at most `n` rows: one per range partition
+    # one row for each range partition
     offsets = counts.withColumn(
         "_off", F.coalesce(F.sum("_n").over(
             Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

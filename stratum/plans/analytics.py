@@ -10,8 +10,11 @@ Scale notes
 * joins to dimensions are left to Catalyst/AQE: a dimension is broadcast
   only when its measured size is under the broadcast threshold, otherwise
   sort-merge with AQE skew splitting;
-* medians go through ``agg_with_median``: the joined rows are stored once,
-  the aggregates and the exact median read that table.
+* distinct counts are bitmaps over the dense surrogate keys, merged per
+  bucket of keys (no Expand, no shuffle of every distinct key);
+* medians go through ``agg_with_median``: one pass for the aggregates and the
+  brackets, one for the values inside them; company-level inputs (an
+  aggregate behind a shuffle) are written once for both.
 """
 
 from __future__ import annotations
@@ -21,7 +24,8 @@ from pyspark.sql import functions as F
 
 from ..functions.buckets import TIER_UNKNOWN, TIER_UNRANKED, age_bucket, company_tier, grit_level
 from ..functions.numeric import round_half, unit_word
-from ..operators.quantile import agg_with_median
+from ..operators.distinct import distinct_counts
+from ..operators.quantile import agg_with_median, null_safe_join
 from ..operators.stats import factor_group_stats, guarded_corr, variance_decomposition
 
 _MED = "_median"
@@ -49,7 +53,7 @@ def age_effect(fact: DataFrame, unit: float = 1e9) -> DataFrame:
         round_half(F.avg("experience_grit_index"), 2).alias("avg_grit_index"),
         round_half(F.sum(v) / unit, 2).alias(total),
         round_half(F.avg(v) / unit, 2).alias(avg),
-    ], "valuation_usd", _MED)
+    ], "valuation_usd", _MED, store=True)
     out = out.withColumn(med, round_half(F.col(_MED) / unit, 2))
     return out.select("company_age_bucket", "total_companies", "avg_company_age_years",
                       "avg_grit_index", total, avg, med) \
@@ -72,7 +76,7 @@ def industry_dominance(fact: DataFrame, dim_company: DataFrame, unit: float = 1e
         round_half(F.sum(v) / unit, 2).alias(total),
         round_half(F.avg(v) / unit, 2).alias(avg),
         round_half(F.avg("experience_grit_index"), 2).alias("avg_grit_index"),
-    ], "valuation_usd", _MED)
+    ], "valuation_usd", _MED, store=True)
     out = (out.where(F.col("total_companies") >= min_companies)
               .withColumn(med, round_half(F.col(_MED) / unit, 2)))
     # top-k: TakeOrderedAndProject, industry breaks ties
@@ -90,15 +94,16 @@ def grit_by_tier(fact: DataFrame, dim_executive: DataFrame, unit: float = 1e9) -
             .select("company_key", "executive_key", "valuation_usd", "company_age_years", "experience_grit_index")
             .join(tiers, "executive_key")
             .withColumn("grit_level", grit_level("experience_grit_index")))
-    out = agg_with_median(base, ["university_tier", "grit_level"], [
+    keys = ["university_tier", "grit_level"]
+    out = agg_with_median(base, keys, [
         F.count(F.lit(1)).alias("executive_company_pairs"),
-        F.count_distinct("company_key").alias("total_companies"),
         round_half(F.avg("company_age_years"), 2).alias("avg_company_age_years"),
         round_half(F.avg("experience_grit_index"), 2).alias("avg_grit_index"),
         round_half(F.sum(v) / unit, 2).alias(total),
         round_half(F.avg(v) / unit, 2).alias(avg),
     ], "valuation_usd", _MED)
-    out = out.withColumn(med, round_half(F.col(_MED) / unit, 2))
+    out = null_safe_join(out, distinct_counts(base, keys, {"total_companies": "company_key"}), keys) \
+        .withColumn(med, round_half(F.col(_MED) / unit, 2))
     return out.select("university_tier", "grit_level", "executive_company_pairs", "total_companies",
                       "avg_company_age_years", "avg_grit_index", total, avg, med) \
               .orderBy(F.desc_nulls_last(avg), "university_tier", "grit_level")
@@ -116,32 +121,36 @@ def rank_correlation(fact: DataFrame, dim_executive: DataFrame, unit: float = 1e
     log_v = F.ln(v)
     out = agg_with_median(base, [], [
         F.count(F.lit(1)).alias("ranked_observations"),
-        F.count_distinct("company_key").alias("ranked_companies"),
         round_half(guarded_corr(q, log_v), 4).alias("corr_qs_rank_vs_log_valuation"),
         round_half(guarded_corr(F.lit(1.0) / q, log_v), 4).alias("corr_qs_quality_vs_log_valuation"),
         round_half(F.avg(q), 2).alias("avg_qs_rank"),
         round_half(F.avg(v) / unit, 2).alias(avg),
     ], "valuation_usd", _MED)
-    return out.withColumn(med, round_half(F.col(_MED) / unit, 2)).drop(_MED)
+    out = null_safe_join(out, distinct_counts(base, [], {"ranked_companies": "company_key"}), [])
+    return out.withColumn(med, round_half(F.col(_MED) / unit, 2)).select(
+        "ranked_observations", "ranked_companies", "corr_qs_rank_vs_log_valuation", "corr_qs_quality_vs_log_valuation",
+        "avg_qs_rank", avg, med)
 
 
 def value_by_tier(fact: DataFrame, dim_executive: DataFrame, unit: float = 1e9) -> DataFrame:
     """Valuation summary per founder education tier."""
     total, avg, med = _names(unit)
     v = F.col("valuation_usd")
+    # executives of one name count once: the name's number is its first key
+    numbers = dim_executive.groupBy("executive_name").agg(F.min("executive_key").alias("name_number"))
     tiers = dim_executive.select("executive_key", "tier_flag", "executive_name") \
-        .where(F.col("tier_flag").isNotNull() & (F.col("tier_flag") != TIER_UNKNOWN))
+        .where(F.col("tier_flag").isNotNull() & (F.col("tier_flag") != TIER_UNKNOWN)) \
+        .join(numbers, "executive_name", "left").select("executive_key", "tier_flag", "name_number")
     base = fact.where(v > 0).select("company_key", "executive_key", "valuation_usd") \
         .join(tiers, "executive_key")
     out = agg_with_median(base, ["tier_flag"], [
         F.count(F.lit(1)).alias("executive_company_pairs"),
-        F.count_distinct("company_key").alias("total_companies"),
-        F.count_distinct("executive_name").alias("total_executives"),
         round_half(F.sum(v) / unit, 2).alias(total),
         round_half(F.avg(v) / unit, 2).alias(avg),
         round_half(F.avg(F.ln(v)), 4).alias("avg_log_valuation"),
     ], "valuation_usd", _MED)
-    out = out.withColumn(med, round_half(F.col(_MED) / unit, 2))
+    counts = distinct_counts(base, ["tier_flag"], {"total_companies": "company_key", "total_executives": "name_number"})
+    out = null_safe_join(out, counts, ["tier_flag"]).withColumn(med, round_half(F.col(_MED) / unit, 2))
     return out.select("tier_flag", "executive_company_pairs", "total_companies", "total_executives",
                       total, avg, med, "avg_log_valuation") \
               .orderBy(F.desc_nulls_last(avg), "tier_flag")

@@ -7,6 +7,7 @@ hash the bytes); for tables it can be any DataFrame with those columns.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +18,20 @@ from ..functions.numeric import kb_text, safe_pct
 from ..functions.text import base_name, year_in_name
 from ..session import materialize
 from ..sources.files import read_binary
+from ..sources.listing import Prefix, assign_prefixes, list_objects, log_folders
 
 # --- fixed values that must equal the reference's --------------------------
 SUPPORTED_EXTENSIONS = (".csv", ".json", ".xml", ".xlsx", ".txt")
 SOURCE_LOCAL = "local_file_system"
 SOURCE_API = "wikidata_sparql_api"
+# the report's summary rows: dataset, component, format
+TOTAL_BRONZE = ("bronze_total", "raw_footprint", "raw")
+TOTAL_SILVER_DATA = ("silver_data_total", "parquet_footprint", "parquet")
+TOTAL_SILVER_LOG = ("silver_delta_log_total", "versioning_overhead", "delta_log")
+TOTAL_SILVER = ("silver_total_with_delta_log", "delta_footprint", "delta/parquet")
+DATA_REDUCTION = ("parquet_data_reduction_pct", "metric", "metric")
+TOTAL_REDUCTION = ("delta_total_reduction_pct", "metric", "metric")
+LOG_FORMAT = "json/checkpoint"
 # ---------------------------------------------------------------------------
 
 MANIFEST_SCHEMA = T.StructType([
@@ -121,7 +131,7 @@ def land(spark: SparkSession, drop_zone: str, bronze_path: str, manifest_path: s
     Contents are written before manifest rows, each into this run's own
     partition: a crash in between re-lands the files on the next run, and
     repeating a run id replaces its output.  Running twice lands nothing
-    the second time.
+    the second time.  Every file is read once to be hashed, and once more only if it has to be landed.
     """
     listing = list_files(spark, drop_zone, api_pattern)
     plan = plan_ingest(listing, read_manifest(spark, manifest_path))
@@ -129,12 +139,14 @@ def land(spark: SparkSession, drop_zone: str, bronze_path: str, manifest_path: s
     plan = materialize(plan, "ingest-plan")
     run = run or f"batch-{uuid.uuid4().hex}"
     todo = plan.where(F.col("action") != "unchanged")
-    # only supported files are opened; the paths to land are the small side of the join
-    contents = read_binary(spark, drop_zone).where(extension_filter("path")).select("path", "content")
-    write_run(todo.join(contents, "path")
-                  .select("object_name", "content", "content_md5", "source_system"),
-              bronze_path, run)
-    write_run(manifest_rows(todo, operator_id), manifest_path, run)
+    # the names of files to land, which Spark's own listing of the zone holds on the driver as well; unchanged files stay closed
+    paths = [re.sub(r"([\[\]{}*?\\])", r"\\\1", r[0]) for r in todo.select("path").collect()]
+    if paths:
+        contents = spark.read.format("binaryFile").load(paths).select("path", "content")
+        write_run(todo.join(contents, "path")
+                      .select("object_name", "content", "content_md5", "source_system", "size", "modification_time"),
+                  bronze_path, run)
+        write_run(manifest_rows(todo, operator_id), manifest_path, run)
     return plan
 
 
@@ -158,15 +170,15 @@ def latest_object(listing: DataFrame, keyword: str, extension: str,
 
 
 def storage_footprint(sizes: DataFrame) -> DataFrame:
-    """Footprint report from (layer, dataset, component, size) rows.
+    """Footprint report from (layer, dataset, component, format, size) rows.
 
-    Per-component byte totals, layer totals and the two reduction
+    Byte totals per component, layer totals and the two reduction
     percentages with a zero guard.  Columns: layer, dataset,
-    component, value, unit, size_kb.
+    component, format, value, unit, size_kb.
     """
     # one grouped pass; its output is bounded by the number of
-    # (layer, dataset, component) combinations, the totals come from it
-    detail = sizes.groupBy("layer", "dataset", "component").agg(
+    # (layer, dataset, component, format) combinations, the totals come from it
+    detail = sizes.groupBy("layer", "dataset", "component", "format").agg(
         F.sum("size").cast("double").alias("value"))
     totals = detail.groupBy().agg(
         F.sum(F.when(F.col("layer") == "bronze", F.col("value"))).alias("bronze"),
@@ -176,18 +188,30 @@ def storage_footprint(sizes: DataFrame) -> DataFrame:
                      F.col("value"))).alias("silver_log"))
     totals = totals.select(*[F.coalesce(F.col(c), F.lit(0.0)).alias(c)
                              for c in ("bronze", "silver_data", "silver_log")])
-    def entry(dataset, component, value, unit):
-        return F.struct(F.lit(dataset).alias("dataset"), F.lit(component).alias("component"),
+
+    def entry(labels, value, unit):
+        dataset, component, fmt = labels
+        return F.struct(F.lit(dataset).alias("dataset"), F.lit(component).alias("component"), F.lit(fmt).alias("format"),
                         value.cast("double").alias("value"), F.lit(unit).alias("unit"))
 
     b, sd, sl = F.col("bronze"), F.col("silver_data"), F.col("silver_log")
     summary = totals.select(F.inline(F.array(
-        entry("bronze_total", "raw_footprint", b, "bytes"),
-        entry("silver_data_total", "parquet_footprint", sd, "bytes"),
-        entry("silver_delta_log_total", "versioning_overhead", sl, "bytes"),
-        entry("silver_total_with_delta_log", "delta_footprint", sd + sl, "bytes"),
-        entry("parquet_data_reduction_pct", "metric", safe_pct(b - sd, b), "percent"),
-        entry("delta_total_reduction_pct", "metric", safe_pct(b - sd - sl, b), "percent"),
-    ))).select(F.lit("summary").alias("layer"), "dataset", "component", "value", "unit")
+        entry(TOTAL_BRONZE, b, "bytes"), entry(TOTAL_SILVER_DATA, sd, "bytes"), entry(TOTAL_SILVER_LOG, sl, "bytes"),
+        entry(TOTAL_SILVER, sd + sl, "bytes"), entry(DATA_REDUCTION, safe_pct(b - sd, b), "percent"),
+        entry(TOTAL_REDUCTION, safe_pct(b - sd - sl, b), "percent"),
+    ))).select(F.lit("summary").alias("layer"), "dataset", "component", "format", "value", "unit")
     rows = detail.withColumn("unit", F.lit("bytes")).unionByName(summary)
     return rows.withColumn("size_kb", kb_text("value", "unit"))
+
+
+def layer_footprint(spark: SparkSession, bronze_root: str, silver_tables: dict[str, str]) -> DataFrame:
+    """The footprint report of real folders: a bronze root and silver tables (name to path), from listed sizes alone.
+
+    Each object below the bronze root is a raw file of the dataset that its first folder (or its own name) gives; a silver table's
+    files are its data, but for those in its log folder.
+    """
+    logs = log_folders(spark, *silver_tables.values())
+    rules = [Prefix(bronze_root, "bronze", "raw_file")]
+    for name, path in silver_tables.items():
+        rules += [Prefix(path, "silver", "parquet_data", name), Prefix(f"{path.rstrip('/')}/_delta_log", "silver", "delta_log", name, LOG_FORMAT)]
+    return storage_footprint(assign_prefixes(list_objects(spark, bronze_root, *silver_tables.values(), *logs), rules))

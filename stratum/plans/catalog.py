@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import buckets, numeric, text
+from ..operators.aliases import resolve_aliases, with_final_names
+from ..operators.distinct import distinct_counts
 from ..operators.ordering import assign_dense_keys
+from ..operators.skew import spread_join
 from ..session import scratch_path
 from ..sources import files
 from ..sources.tables import Tables
-from . import analytics, bronze, fixtures, gold, silver
+from . import analytics, bronze, fixtures, gold, silver, star_tables
 from . import graph as graph_plans
 from .fixtures import star
-from .oracle import ANALYSES, BRONZE_GRAPH, SILVER_GOLD
+from .oracle import ANALYSES, BRONZE_GRAPH, MORE, SILVER_GOLD
 
 # Tests run monetary values in thousands (the analogue prices are ~1e3..1e5).
 UNIT = 1e3
@@ -179,6 +182,15 @@ def _gold_inputs(spark, sf_dir):
     return stored["startups"], stored["executives"]
 
 
+def _gold_dims(spark, sf_dir):
+    """Both dimensions, keyed and stored once per session and scale, as the gold job reads back what it has written."""
+    def build():
+        startups, execs = _gold_inputs(spark, sf_dir)
+        return {"dim_company": gold.dim_company(startups), "dim_executive": gold.dim_executive(gold.explode_founders(startups), execs)}
+    stored = fixtures.stored_tables(spark, ("gold_dims", sf_dir), build)
+    return stored["dim_company"], stored["dim_executive"]
+
+
 @_sg("explode_founders")
 def q_explode_founders(spark, sf_dir):
     startups, _ = _gold_inputs(spark, sf_dir)
@@ -199,20 +211,16 @@ def q_gold_dim_executive(spark, sf_dir):
 
 @_sg("gold_fact")
 def q_gold_fact(spark, sf_dir):
-    startups, execs = _gold_inputs(spark, sf_dir)
-    founders = gold.explode_founders(startups)
-    dc = gold.dim_company(startups)
-    de = gold.dim_executive(founders, execs)
-    return gold.fact_valuation_grit(startups, founders, dc, de)
+    startups, _ = _gold_inputs(spark, sf_dir)
+    dc, de = _gold_dims(spark, sf_dir)
+    return gold.fact_valuation_grit(startups, gold.explode_founders(startups), dc, de)
 
 
 @_sg("coverage_check")
 def q_coverage_check(spark, sf_dir):
-    startups, execs = _gold_inputs(spark, sf_dir)
-    founders = gold.explode_founders(startups)
-    dc = gold.dim_company(startups)
-    de = gold.dim_executive(founders, execs)
-    fact = gold.fact_valuation_grit(startups, founders, dc, de)
+    startups, _ = _gold_inputs(spark, sf_dir)
+    dc, de = _gold_dims(spark, sf_dir)
+    fact = gold.fact_valuation_grit(startups, gold.explode_founders(startups), dc, de)
     # a fact that lost every fiftieth company: the check has to name exactly those
     return gold.coverage_check(startups, fact.where(F.col("company_key") % 50 != 0), dc)
 
@@ -317,7 +325,7 @@ def q_csv_roundtrip(spark, sf_dir):
     """``customer`` with awkward notes, written as delimited text to the shared folder and read back."""
     path = scratch_path(spark, "csv")
     files.write_csv(Tables(spark, sf_dir).customer.withColumn("c_note", F.expr(NOTE_SQL)), path)
-    return files.read_csv(spark, path, CUSTOMER_SCHEMA + ", c_note STRING")
+    return files.read_csv(spark, path, CUSTOMER_SCHEMA + ", c_note STRING", multi_line=True)
 
 
 PREAMBLE = ["QS World University Rankings,", "exported from the ranking sheet,"]
@@ -332,3 +340,132 @@ def q_preamble_scan(spark, sf_dir):
                                   types={"c_custkey": "bigint", "c_nationkey": "int",
                                          "c_acctbal": "double"})
     return df.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+# --- operators and sinks on their own -----------------------------------------
+
+
+def _more(name):
+    return register(name, MORE[name])
+
+
+@_more("numeric_types")
+def q_numeric_types(spark, sf_dir):
+    """A column with fractions becomes double, a whole one bigint; decided by the values."""
+    raw = fixtures.raw_orders_text(Tables(spark, sf_dir).orders)
+    halves = F.when((F.col("o_orderkey") % 3 == 0) & (F.col("Rank") != "n/a"), F.concat("Rank", F.lit(".5"))).otherwise(F.col("Rank"))
+    return silver.refine_startups(raw.select("o_orderkey", halves.alias("Rank"), "Year_Founded"))
+
+
+@_more("hot_key_join")
+def q_hot_key_join(spark, sf_dir):
+    """Half of all rows share one founder; the N:M join deals them over many tasks."""
+    t = Tables(spark, sf_dir)
+    founder = F.when(F.col("o_orderkey") % 2 == 0, F.lit(text.UNKNOWN_FOUNDER)).otherwise(F.concat(F.lit("Founder "), F.col("o_custkey").cast("string")))
+    schools = t.customer.select(F.concat(F.lit("Founder "), F.col("c_custkey").cast("string")).alias("founder"), F.col("c_custkey").alias("school")) \
+        .unionByName(t.region.select(F.lit(text.UNKNOWN_FOUNDER).alias("founder"), F.col("r_regionkey").cast("bigint").alias("school")))
+    joined = spread_join(t.orders.select("o_orderkey", founder.alias("founder")), schools, "founder")
+    return joined.select("o_orderkey", "founder", "school")
+
+
+@_more("distinct_bitmaps")
+def q_distinct_bitmaps(spark, sf_dir):
+    items = Tables(spark, sf_dir).lineitem.select("l_returnflag", "l_linestatus", "l_orderkey", "l_partkey", "l_suppkey")
+    return distinct_counts(items, ["l_returnflag", "l_linestatus"], {"orders": "l_orderkey", "parts": "l_partkey", "suppliers": "l_suppkey"})
+
+
+@_more("alias_resolution")
+def q_alias_resolution(spark, sf_dir):
+    """Orders under the final name of their customer; every customer but each ninth is an alias of the next one."""
+    t = Tables(spark, sf_dir)
+    name = lambda k: F.concat(F.lit("Customer "), k.cast("string"))
+    k = F.col("c_custkey")
+    aliases = resolve_aliases(t.customer.where(k % 9 != 0).select(name(k).alias("alias"), name(k + 1).alias("name")))
+    return with_final_names(t.orders.select("o_orderkey", name(F.col("o_custkey")).alias("customer")), "customer", aliases)
+
+
+@_more("quarantine_scan")
+def q_quarantine_scan(spark, sf_dir):
+    """``customer`` with broken records: good rows, the records read back from the quarantine, and how many there are of each kind."""
+    path, sink = scratch_path(spark, "broken"), scratch_path(spark, "quarantine")
+    fixtures.write_broken_csv(Tables(spark, sf_dir).customer, path)
+    checked = files.read_csv_checked(spark, path, "c_custkey BIGINT, c_name STRING, c_nationkey INT")
+    good, counts = files.quarantine(checked, sink, "first")
+    bad = spark.read.parquet(sink).select("problem", "record")
+    rows = good.unionByName(bad, allowMissingColumns=True)
+    named = counts.select(F.col("problem").alias("_problem"), "records")
+    return rows.join(named, rows["problem"].eqNullSafe(named["_problem"])).drop("_problem")
+
+
+@_bg("layer_footprint")
+def q_layer_footprint(spark, sf_dir):
+    """The footprint of folders that hold ``documents`` as text files, from listed sizes."""
+    base = scratch_path(spark, "layers")
+    tables = fixtures.write_layers(Tables(spark, sf_dir).documents, base)
+    return bronze.layer_footprint(spark, f"{base}/bronze", tables)
+
+
+@_bg("landing_run")
+def q_landing_run(spark, sf_dir):
+    """A drop zone of one file a supplier is landed, every third file changes, and it is landed again: all landed versions."""
+    base, supplier = scratch_path(spark, "zone"), Tables(spark, sf_dir).supplier
+    fixtures.write_drop_zone(supplier, f"{base}/drop")
+    for run in ("one", "two"):
+        bronze.land(spark, f"{base}/drop", f"{base}/bronze", f"{base}/manifest", run=run)
+        fixtures.write_drop_zone(supplier.where(F.col("s_suppkey") % 3 == 0), f"{base}/drop", "changed")
+    sizes = spark.read.parquet(f"{base}/bronze").select("object_name", F.col("content_md5").alias("original_md5"), "size")
+    now = bronze.current_objects(spark, f"{base}/bronze", f"{base}/manifest").select(
+        "object_name", F.col("content_md5").alias("original_md5"), F.lit(True).alias("_now"))
+    rows = bronze.read_manifest(spark, f"{base}/manifest")
+    stamped = F.col("ingestion_timestamp").between(F.current_timestamp() - F.expr("INTERVAL 1 DAY"), F.current_timestamp())
+    return rows.join(sizes, ["object_name", "original_md5"]).join(now, ["object_name", "original_md5"], "left").select(
+        "object_name", "original_md5", "size", "source_system", "operator_id", stamped.alias("stamped"),
+        F.coalesce("_now", F.lit(False)).alias("is_current"))
+
+
+@_more("bucketed_star")
+def q_bucketed_star(spark, sf_dir):
+    """The star written as bucketed catalog tables and read back for an analysis."""
+    s = star(spark, sf_dir)
+    path = scratch_path(spark, "star")
+    tables = star_tables.save_star(s.fact, s.dim_company, s.dim_executive, path, "star_" + path.rsplit("-", 1)[-1],
+                                   int(spark.conf.get("spark.sql.shuffle.partitions")))
+    back = tables.read(spark)
+    return analytics.value_by_tier(back["fact_by_executive"], back["dim_executive"], unit=UNIT)
+
+
+def _written_gold(spark, sf_dir):
+    startups, execs = _gold_inputs(spark, sf_dir)
+    path = scratch_path(spark, "gold")
+    return path, gold.write_gold(startups, execs, path)
+
+
+@_more("gold_roundtrip")
+def q_gold_roundtrip(spark, sf_dir):
+    """The fact as written by the gold job, read back."""
+    return spark.read.parquet(f"{_written_gold(spark, sf_dir)[0]}/fact_valuation_grit")
+
+
+@_more("gold_write_metrics")
+def q_gold_write_metrics(spark, sf_dir):
+    """Rows and null keys that the three gold writes counted themselves."""
+    rows = [(t, m["rows"], sum(v for k, v in m.items() if k.startswith("null_"))) for t, m in _written_gold(spark, sf_dir)[1].items()]
+    return spark.createDataFrame(rows, "table_name string, rows bigint, null_keys bigint")
+
+
+@_more("silver_roundtrip")
+def q_silver_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "silver")
+    silver.write_table(silver.executive_profiles(_raw_profiles(spark, sf_dir), _raw_rankings(spark, sf_dir)), path,
+                       contract="silver.executive_profiles")
+    return spark.read.parquet(path)
+
+
+@_more("registered_views")
+def q_registered_views(spark, sf_dir):
+    """SQL over the stored gold tables, registered as views."""
+    from ..jobs import register_views
+    register_views(spark, _written_gold(spark, sf_dir)[0])
+    return spark.sql("""
+        SELECT c.industry, COUNT(DISTINCT f.company_key) AS companies, COUNT(*) AS pairs, MAX(f.valuation_usd) AS highest
+        FROM fact_valuation_grit f JOIN dim_company c ON f.company_key = c.company_key GROUP BY c.industry""")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.buckets import TIER_UNKNOWN, grit_index, rank_tier
 from ..session import scratch_path
 from ..sources.tables import Tables, spread
+from .bronze import LOG_FORMAT
 
 
 @dataclass
@@ -254,8 +255,48 @@ def footprint_sizes(documents: DataFrame) -> DataFrame:
     layer = F.when(F.col("lang").isin("en", "fr"), F.lit("bronze")).otherwise(F.lit("silver"))
     comp = (F.when(layer == "bronze", F.lit("raw_file"))
             .when(F.col("doc_id") % 10 == 0, F.lit("delta_log")).otherwise(F.lit("parquet_data")))
+    fmt = F.when(comp == "raw_file", F.lit("csv")).when(comp == "delta_log", F.lit(LOG_FORMAT)).otherwise(F.lit("parquet"))
     return documents.select(layer.alias("layer"), F.col("source").alias("dataset"),
-                            comp.alias("component"), F.col("n_chars").alias("size"))
+                            comp.alias("component"), fmt.alias("format"), F.col("n_chars").alias("size"))
+
+
+def write_layers(documents: DataFrame, base: str) -> dict[str, str]:
+    """``documents`` as text files below ``base``: texts per source as bronze, and per language a silver table with a log.
+
+    Returns the silver tables' paths by name.
+    """
+    documents.select("source", "text").write.mode("overwrite").partitionBy("source").text(f"{base}/bronze")
+    tables = {}
+    for row in documents.select("lang").distinct().collect():
+        mine, path = documents.where(F.col("lang").eqNullSafe(row[0])), f"{base}/silver/{row[0]}"
+        mine.select(F.col("n_chars").cast("string")).write.mode("overwrite").text(path)
+        mine.select(F.col("doc_id").cast("string")).write.mode("overwrite").text(f"{path}/_delta_log")
+        tables[row[0]] = path
+    return tables
+
+
+def write_drop_zone(supplier: DataFrame, base: str, suffix: str = "") -> None:
+    """One small file for each supplier: its key and name, then ``suffix``; every tenth has an extension that is not landed."""
+    spark = supplier.sparkSession
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for key, name in supplier.select("s_suppkey", "s_name").toLocalIterator():
+        path = jvm.org.apache.hadoop.fs.Path(f"{base}/{name}{'.bin' if key % 10 == 4 else '.csv'}")
+        out = path.getFileSystem(hadoop).create(path, True)
+        out.write(f"{key},{name}\n{suffix}".encode())
+        out.close()
+
+
+def write_broken_csv(customer: DataFrame, path: str) -> None:
+    """``customer`` as delimited text with a header in every file; some records lack a field, have one too many or a word for a number."""
+    k = F.col("c_custkey")
+    head = F.concat_ws(",", k.cast("string"), "c_name")
+    line = (F.when(k % 10 == 3, head).when(k % 10 == 6, F.concat_ws(",", head, F.col("c_nationkey").cast("string"), F.lit("x")))
+            .when(k % 10 == 7, F.concat_ws(",", head, F.lit("none"))).otherwise(F.concat_ws(",", head, F.col("c_nationkey").cast("string"))))
+    parts = int(customer.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    body = customer.select(F.pmod(F.hash("c_custkey"), F.lit(parts)).alias("_part"), F.lit(1).alias("_rank"), line.alias("value"))
+    heads = body.select("_part", F.lit(0).alias("_rank"), F.lit("c_custkey,c_name,c_nationkey").alias("value")).distinct()
+    (body.unionByName(heads).repartition(parts, "_part").sortWithinPartitions("_part", "_rank").select("_part", "value")
+         .write.mode("overwrite").partitionBy("_part").text(path))
 
 
 def write_with_preamble(df: DataFrame, path: str, preamble: list[str],

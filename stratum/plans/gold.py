@@ -1,8 +1,8 @@
 """Gold layer: star schema with dense surrogate keys.
 
 dim_company and dim_executive get ``ROW_NUMBER() OVER (ORDER BY ...)`` keys
-from :func:`assign_dense_keys` (distributed unless the input is proven
-small).  Every stored table is checked against its contract first.  The
+from :func:`assign_dense_keys`.  Every stored table is checked against its
+contract first, and its write counts rows and null keys and fails on nulls.  The
 fact is built from the *stored* dimensions when paths are given, so its
 keys are the written ones.
 """
@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from ..functions.buckets import DEGREE_UNKNOWN, TIER_UNKNOWN, grit_index
 from ..functions.numeric import parse_money
 from ..functions.text import UNKNOWN_FOUNDER, slug, split_list
+from ..operators.checks import checked_write, row_metrics
 from ..operators.ordering import assign_dense_keys
+from ..operators.skew import spread_join
 from ..schemas import check_contract
 
 
@@ -74,17 +76,23 @@ def dim_executive(founders: DataFrame, executives: DataFrame) -> DataFrame:
 
 def fact_valuation_grit(startups: DataFrame, founders: DataFrame, dim_co: DataFrame,
                         dim_ex: DataFrame, money_scale: float = 1e9,
-                        strict_money: bool = True) -> DataFrame:
-    """Company x founder x education-row grain fact with the grit index."""
-    s = startups.select(F.col("Company").alias("company_name"),
-                        parse_money("Valuation_Formatted", money_scale, strict_money).alias("valuation_usd"),
-                        F.col("Valuation_Tier").alias("valuation_tier"),
-                        F.col("Year_Founded").alias("year_founded"),
-                        F.col("Company_Age_Years").alias("company_age_years"))
+                        strict_money: bool = True, every_company: bool = False) -> DataFrame:
+    """Company x founder x education-row grain fact with the grit index.
+
+    Founders meet their education rows first: ``Unknown Founder`` may stand for half of all companies, so its rows are dealt over
+    many tasks (``spread_join``).  ``every_company`` keeps a company that misses a key, with nulls there, so that a check can see it.
+    """
+    how = "left" if every_company else "inner"
+    s = startups.where(F.col("Company").isNotNull()).select(
+        F.col("Company").alias("company_name"),
+        parse_money("Valuation_Formatted", money_scale, strict_money).alias("valuation_usd"),
+        F.col("Valuation_Tier").alias("valuation_tier"), F.col("Year_Founded").alias("year_founded"),
+        F.col("Company_Age_Years").alias("company_age_years"))
     c = dim_co.select("company_key", "company_name")
     f = founders.select("company_name", "founder_name")
     e = dim_ex.select("executive_key", F.col("executive_name").alias("founder_name"), "tier_flag")
-    matched = s.join(c, "company_name").join(f, "company_name").join(e, "founder_name")
+    bridge = spread_join(f, e, "founder_name")
+    matched = s.join(c, "company_name", how).join(bridge, "company_name", how)
     rows = matched.select(
         "company_key", "executive_key", "valuation_usd", "valuation_tier", "year_founded",
         "company_age_years",
@@ -112,14 +120,30 @@ def build_gold(startups: DataFrame, executives: DataFrame, money_scale: float =
     dc = dim_company(startups)
     de = dim_executive(founders, executives)
     if path:
+        write_gold(startups, executives, path, money_scale)
         spark = startups.sparkSession
-        check_contract(dc, "gold.dim_company").write.mode("overwrite").parquet(f"{path}/dim_company")
-        check_contract(de, "gold.dim_executive").write.mode("overwrite").parquet(f"{path}/dim_executive")
-        dc = spark.read.parquet(f"{path}/dim_company")
-        de = spark.read.parquet(f"{path}/dim_executive")
-    fact = fact_valuation_grit(startups, founders, dc, de, money_scale)
-    if path:
-        check_contract(fact, "gold.fact_valuation_grit").write.mode("overwrite") \
-            .parquet(f"{path}/fact_valuation_grit")
-        fact = startups.sparkSession.read.parquet(f"{path}/fact_valuation_grit")
-    return dc, de, fact
+        return tuple(spark.read.parquet(f"{path}/{t}") for t in ("dim_company", "dim_executive", "fact_valuation_grit"))
+    return dc, de, fact_valuation_grit(startups, founders, dc, de, money_scale)
+
+
+def write_gold(startups: DataFrame, executives: DataFrame, path: str, money_scale: float = 1e9) -> dict[str, dict]:
+    """Write the three gold tables under ``path``; the metrics that each write collected, by table.
+
+    A null key fails the job before its table is replaced (``CheckFailed``).  The fact is joined from the companies' side
+    without dropping any, so a company that no founder row or dimension row reaches has a null key: the write
+    itself finds missing companies, without a second pass.
+    """
+    spark = startups.sparkSession
+    founders = explode_founders(startups)
+    out: dict[str, dict] = {}
+
+    def put(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+        check_contract(df, f"gold.{name}")
+        out[name] = checked_write(df, f"{path}/{name}", row_metrics(keys))
+        return spark.read.parquet(f"{path}/{name}")
+
+    dc = put(dim_company(startups), "dim_company", ["company_key", "company_name"])
+    de = put(dim_executive(founders, executives), "dim_executive", ["executive_key", "executive_name"])
+    put(fact_valuation_grit(startups, founders, dc, de, money_scale, every_company=True), "fact_valuation_grit",
+        ["company_key", "executive_key"])
+    return out

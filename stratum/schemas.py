@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 S, D, L = T.StringType(), T.DoubleType(), T.LongType()
+N = (L, D)      # a number column: whole or, if its values have fractions, double
 
 CONTRACTS = {
     "silver.unicorn_startups": [
-        ("Rank", L), ("Company", S), ("Valuation_Formatted", S), ("Valuation_Tier", S), ("Industry", S),
-        ("Country", S), ("Continent", S), ("City", S), ("Founders", S), ("Year_Founded", L),
-        ("Company_Age_Years", L), ("Status", S), ("Data_Source", S), ("Collection_Date", S)],
+        ("Rank", N), ("Company", S), ("Valuation_Formatted", S), ("Valuation_Tier", S), ("Industry", S),
+        ("Country", S), ("Continent", S), ("City", S), ("Founders", S), ("Year_Founded", N),
+        ("Company_Age_Years", N), ("Status", S), ("Data_Source", S), ("Collection_Date", S)],
     "silver.executive_profiles": [
         ("companyLabel", S), ("executiveLabel", S), ("universityLabel", S), ("degreeLabel", S),
         ("QS_Rank_Num", D), ("University_Tier_Flag", S)],
@@ -24,8 +25,8 @@ CONTRACTS = {
         ("qs_world_ranking", D), ("tier_flag", S)],
     "gold.fact_valuation_grit": [
         ("fact_valuation_grit_key", L), ("company_key", L), ("executive_key", L),
-        ("valuation_usd", D), ("valuation_tier", S), ("year_founded", L),
-        ("company_age_years", L), ("experience_grit_index", D)],
+        ("valuation_usd", D), ("valuation_tier", S), ("year_founded", N),
+        ("company_age_years", N), ("experience_grit_index", D)],
 }
 
 
@@ -41,6 +42,8 @@ def check_contract(df: DataFrame, table: str) -> DataFrame:
         if isinstance(typ, T.NullType):
             raise ValueError(f"{table}: column {name} has no type (NullType)")
     want = CONTRACTS[table]
-    if [(n, t.simpleString()) for n, t in fields] != [(n, t.simpleString()) for n, t in want]:
+    fits = len(fields) == len(want) and all(
+        n == m and t in (k if isinstance(k, tuple) else (k,)) for (n, t), (m, k) in zip(fields, want))
+    if not fits:
         raise ValueError(f"{table}: schema {fields} does not match contract {want}")
     return df

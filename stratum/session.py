@@ -78,38 +78,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"scratch-{name}-{uuid.uuid4().hex}")
 
 
-def materialize(df: DataFrame, name: str = "mat") -> DataFrame:
-    """Write ``df`` once as a parquet table in the shared folder and read it back.
+def stored(df: DataFrame, name: str = "mat") -> tuple[DataFrame, str]:
+    """Write ``df`` once as a parquet table in the shared folder; the table read back, and its path.
 
     Cuts the lineage like a reliable ``checkpoint()``, but computes the plan
     once (an eager RDD checkpoint runs it twice unless cached) and stores it
     columnar.  Values derived from the physical layout (partition ids) must
-    be columns of ``df``: they are then fixed for every later use.
+    be columns of ``df``: they are then fixed for every later use.  Reading
+    the schema back costs no job.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
+    return spark.read.schema(df.schema).parquet(path), path
 
-PARTITION_BYTES = 64 << 20
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``stored`` wrote and that no open DataFrame reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
-def range_partitions(stored: DataFrame, requested: int | None = None) -> int:
-    """Partition count for a range repartition of a stored table.
 
-    At least ``spark.sql.shuffle.partitions`` and one for every 64 MB of the
-    table's files, so a partition stays one input split in size however
-    large the table.  Only the files' sizes are listed; no job runs.
-    """
-    if requested:
-        return requested
-    spark = stored.sparkSession
-    conf = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    folders = {os.path.dirname(f) for f in stored.inputFiles()}
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    size = 0
-    for folder in folders:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        size += path.getFileSystem(hadoop).getContentSummary(path).getLength()
-    return max(1, conf, -(-size // PARTITION_BYTES))
+def materialize(df: DataFrame, name: str = "mat") -> DataFrame:
+    """``stored`` for a table that the caller's result goes on reading."""
+    return stored(df, name)[0]

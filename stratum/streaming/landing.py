@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import base_name
-from ..plans.bronze import extension_filter, manifest_rows, plan_ingest, read_manifest, write_run
+from ..plans.bronze import SOURCE_LOCAL, extension_filter, manifest_rows, plan_ingest, read_manifest, write_run
 from ..session import scratch_path
 
 BINARY_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
@@ -39,13 +39,15 @@ def start_landing(spark: SparkSession, drop_zone: str, bronze_path: str, manifes
         listing = batch.select(
             "path", base_name("path").alias("object_name"), "content",
             F.md5("content").alias("content_md5"), F.col("length").alias("size"),
-            F.lit("local_file_system").alias("source_system"))
+            F.col("modificationTime").alias("modification_time"), F.lit(SOURCE_LOCAL).alias("source_system"))
         todo = plan_ingest(listing, manifest).where(F.col("action") != "unchanged")
         run = f"stream-{stream_tag}-{batch_id}"
         # a re-executed micro-batch overwrites its own run partition
-        write_run(todo.select("object_name", "content", "content_md5", "source_system"),
+        write_run(todo.select("object_name", "content", "content_md5", "source_system", "size", "modification_time"),
                   bronze_path, run)
-        write_run(manifest_rows(todo.drop("content"), operator_id), manifest_path, run)
+        # the manifest's rows come from what this batch has landed, so files are read and hashed once
+        landed = s.read.parquet(bronze_path).where(F.col("run") == run)
+        write_run(manifest_rows(landed.withColumn("action", F.lit("landed")), operator_id), manifest_path, run)
 
     writer = (stream.writeStream.foreachBatch(land_batch)
               .option("checkpointLocation", checkpoint))

@@ -14,7 +14,7 @@ def test_csv_gives_back_quotes_newlines_and_padding(spark, tmp_path):
     rows = [(1, 'a"b'), (2, 'x,"y",z'), (3, "  padded "), (4, "two\nlines"), (6, None), (7, "back\\slash"), (8, '"')]
     df = spark.createDataFrame(rows, "k int, s string")
     files.write_csv(df, str(tmp_path / "t"))
-    assert sorted(tuple(r) for r in files.read_csv(spark, str(tmp_path / "t"), "k int, s string").collect()) == rows
+    assert sorted(tuple(r) for r in files.read_csv(spark, str(tmp_path / "t"), "k int, s string", multi_line=True).collect()) == rows
 
 
 def test_csv_columns_bind_by_name(spark, tmp_path):
