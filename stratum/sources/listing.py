@@ -27,7 +27,7 @@ def list_objects(spark: SparkSession, *roots: str) -> DataFrame:
 
     The ``binaryFile`` source lists folders (in parallel when there are many) and leaves files closed when ``content`` is not asked for.
     Spark's listings skip what lies in folders whose names begin with ``_`` or ``.``; give such a folder, a
-    table's log for example, as a root of its own.
+    table's log for example, as a root of its own.  Empty files are not listed.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(roots))
     return files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modification_time"))

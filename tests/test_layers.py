@@ -23,10 +23,10 @@ def put(path, content):
 
 def test_listing_reads_no_content(spark, tmp_path):
     put(f"{tmp_path}/a/b/one.csv", "x" * 10)
-    put(f"{tmp_path}/two.json", "")
+    put(f"{tmp_path}/two.json", "{}")
     put(f"{tmp_path}/_delta_log/0.json", "log")
     got = listing.list_objects(spark, str(tmp_path))
-    assert {os.path.basename(r.path): r.size for r in got.collect()} == {"one.csv": 10, "two.json": 0}
+    assert {os.path.basename(r.path): r.size for r in got.collect()} == {"one.csv": 10, "two.json": 2}
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "FileScan binaryFile [path#" in plan and "content#" not in plan
     assert listing.log_folders(spark, str(tmp_path), f"{tmp_path}/a")[0].endswith("_delta_log")
