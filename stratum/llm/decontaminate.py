@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordhash as wh
+from .store import store
 
 # Every placement of 11 equal words within 13 consecutive ones contains one of these masks whole
 # (tests/llm enumerates them all), so at most two substituted words cannot hide an overlap.
@@ -140,9 +141,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     ``first_word`` and ``last_word`` are 0-based word positions in the document.
 
     Method: three fixed masks hash 7 of up to 11 positions, equal seeds of document and item give an alignment,
-    and only there are the words compared.  The benchmark is hashed in blocks of about BLOCK_WORDS words, each
-    broadcast in turn, so the size of what tasks hold is bounded whatever the benchmark's size; documents are not
-    shuffled.  Null or empty texts and null item ids overlap nothing; a null document id is reported as null;
+    and only there are the words compared.  The benchmark is hashed in blocks of about BLOCK_WORDS words, an item's rows in one
+    block.  Each block is broadcast, searched and its result written before the next one is fetched, so the driver and
+    the tasks hold one block at a time whatever the benchmark's size; documents are not shuffled.  Null or empty texts and null item ids overlap nothing; a null document id is reported as null;
     repeated documents are reported each, repeated item ids together.  Empty tables give no rows.
     """
     spark = docs.sparkSession
@@ -153,8 +154,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body"))
     found = None
     for k in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == k)
-        index = Index([(r.item, r.body) for r in block.distinct().collect()])
-        part = source.mapInArrow(_scan(spark.sparkContext.broadcast(index.parts())), SCHEMA)
+        block = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k)
+        held = spark.sparkContext.broadcast(Index([(r.item, r.body) for r in block.distinct().collect()]).parts())
+        part, _ = store(source.mapInArrow(_scan(held), SCHEMA), "overlaps")
+        held.destroy()
         found = part if found is None else found.unionAll(part)
-    return found
+    return found.withColumnRenamed("doc_id", id_col)

@@ -22,6 +22,9 @@ _XOR = _rng.integers(0, 2**32, (K + FINE, 1), dtype=np.uint32)
 _MUL = _rng.integers(0, 2**32, (K + FINE, 1), dtype=np.uint32) | np.uint32(1)
 _ODD = _rng.integers(0, 2**64, ROWS + 1, dtype=np.uint64) | np.uint64(1)
 _EVEN_BITS = 0x5555555555555555
+FILTER_BITS = 25            # log2 of the bits of the filter of ids that get a signature
+CELL = 1024                 # documents on either side of a cell, about
+CHUNK = 256                 # rows that a cell takes at a time
 
 
 def minima(shingles: np.ndarray, first: int, count: int) -> np.ndarray:
@@ -77,49 +80,156 @@ def _bands(width: int):
     return run
 
 
-def _signatures(width: int):
+def _payload(width: int, wanted: np.ndarray):
+    """rep, n, signature and shingle set of the documents whose ids ``wanted``, a bit filter, may hold."""
     def run(batches):
-        for ids, sets in _sets(batches, width):
-            yield pa.RecordBatch.from_arrays([ids, pa.array([len(s) for s in sets], pa.int64()),
-                                              _lists(pack(np.stack([minima(s, K, FINE) for s in sets])))], names=["rep", "n", "sig"])
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            bit = _id_bit(ids)
+            hit = (wanted[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+            for found, sets in _sets([batch.filter(pa.array(hit))], width):
+                keep = np.array([len(s) > 0 for s in sets], dtype=bool)
+                sets = [s for s in sets if len(s)]
+                if sets:
+                    low = pack(np.stack([minima(s, K, FINE) for s in sets]))
+                    yield pa.RecordBatch.from_arrays(
+                        [found.filter(pa.array(keep)), pa.array([len(s) for s in sets], pa.int64()),
+                         pa.array([x.tobytes() for x in low], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                        names=["rep", "n", "sig", "shingles"])
     return run
 
 
-def _confirm(width: int, percent: int):
-    def run(batches):
+def _id_bit(ids: np.ndarray) -> np.ndarray:
+    return ((ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _filter_of(reps: DataFrame) -> np.ndarray:
+    """A bit for each place that an id of ``reps(rep)`` takes; its size is fixed, however many there are."""
+    def bits(batches):
         for batch in batches:
-            sides = []
-            for c in (2, 3):
-                buf, at = wh.text_bytes(batch.column(c))
-                sides.append((buf, at))
-            keep = np.zeros(batch.num_rows, dtype=bool)
-            before: tuple = (None, None)
-            ids = batch.column(0).to_pylist()
-
-            def shingles(side, r):
-                buf, at = sides[side]
-                text = buf[at[r]:at[r + 1]]
-                return wh.shingle_set(wh.hash_words(text, np.array([0, len(text)]))[2], width)
-
-            for r in range(batch.num_rows):
-                a = before[1] if before[0] == ids[r] else shingles(0, r)
-                before = (ids[r], a)
-                b = shingles(1, r)
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep[r] = 100 * both >= percent * (len(a) + len(b) - both)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(keep))
-    return run
+            yield pa.RecordBatch.from_arrays([pa.array(_id_bit(batch.column(0).to_numpy()) + 1)], names=["bit"])
+
+    rows = reps.mapInArrow(bits, "bit long").select(F.bitmap_bucket_number("bit").alias("b"), F.bitmap_bit_position("bit").alias("p")) \
+        .groupBy("b").agg(F.bitmap_construct_agg("p").alias("bits")).collect()
+    out = np.zeros(1 << FILTER_BITS - 3, dtype=np.uint8)
+    for r in rows:
+        out[(r["b"] - 1) * 4096:r["b"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+    return out
 
 
-def estimate(a: str, b: str):
-    """Similarity of two packed signatures, corrected for chance agreement of BITS-bit values."""
-    differ = F.lit(0)
+def estimates(one: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Similarity of packed signatures, one row of ``one`` against each of ``many``, by bit counts corrected for chance agreement."""
+    differ = np.zeros((len(one), len(many)), dtype=np.int32)
     for k in range(LONGS):
-        x = F.col(a)[k].bitwiseXOR(F.col(b)[k])
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(_EVEN_BITS))
-        differ = differ + F.bit_count(x)
+        x = one[:, None, k] ^ many[None, :, k]
+        x |= x >> np.uint64(1)
+        differ += np.bitwise_count(x & np.uint64(_EVEN_BITS)).astype(np.int32)
     chance = 2.0 ** -BITS
-    return (1 - differ / F.lit(float(FINE)) - chance) / (1 - chance)
+    return (1 - differ / FINE - chance) / (1 - chance)
+
+
+class _Rows:
+    """Some rows of a cell: ids, labels, sizes, signatures and sets."""
+
+    def __init__(self, rows: list[dict]):
+        self.rep = np.array([r["rep"] for r in rows], dtype=np.int64)
+        self.comp = np.array([r["comp"] for r in rows], dtype=np.int64)
+        self.out = np.array([r["is_out"] for r in rows], dtype=bool)
+        self.n = np.array([r["n"] for r in rows], dtype=np.int64)
+        self.sig = np.stack([np.frombuffer(r["sig"], np.uint64) for r in rows])
+        self.sets = [np.frombuffer(r["shingles"], np.uint64) for r in rows]
+
+
+def _candidates(a: _Rows, b: _Rows, percent: int, open_pairs: np.ndarray) -> np.ndarray:
+    """Pairs among ``open_pairs`` that sizes and signatures leave possible, the likeliest first."""
+    fits = open_pairs & (100 * a.n[:, None] >= percent * b.n[None, :]) & (100 * b.n[None, :] >= percent * a.n[:, None])
+    rows, cols = np.flatnonzero(fits.any(axis=1)), np.flatnonzero(fits.any(axis=0))
+    if not len(rows):
+        return np.zeros((0, 2), dtype=np.int64)
+    close = estimates(a.sig[rows], b.sig[cols])
+    agree = 2.0 ** -BITS + (1 - 2.0 ** -BITS) * percent / 100
+    slack = 5 * (agree * (1 - agree) / FINE) ** 0.5 / (1 - 2.0 ** -BITS)
+    i, j = np.nonzero(fits[np.ix_(rows, cols)] & (close >= percent / 100 - slack))
+    order = np.argsort(-close[i, j], kind="stable")
+    return np.stack([rows[i[order]], cols[j[order]]], axis=1)
+
+
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+class _StarCell:
+    """A lead against the members of its buckets: every link."""
+
+    def __init__(self, percent: int):
+        self.percent, self.held, self.links = percent, [], []
+
+    def take(self, rows: list[dict], first: bool) -> None:
+        rows = _Rows(rows)
+        if first:
+            self.held.append(rows)       # a lead has a row for each of its texts
+            return
+        for lead in self.held:
+            for i, j in _candidates(lead, rows, self.percent, lead.rep[:, None] != rows.rep[None, :]):
+                if _linked(lead.sets[i], rows.sets[j], self.percent):
+                    self.links.append((lead.rep[i], rows.rep[j]))
+
+
+class _RestCell:
+    """Outsiders against members of other components: links between components, none twice."""
+
+    def __init__(self, percent: int):
+        self.percent, self.held, self.links, self.parent = percent, [], [], {}
+
+    def root(self, c: int) -> int:
+        while (up := self.parent.get(c, c)) != c:
+            self.parent[c] = self.parent.get(up, up)
+            c = up
+        return c
+
+    def take(self, rows: list[dict], first: bool) -> None:
+        rows = _Rows(rows)
+        if first:
+            self.held.append(rows)
+            return
+        for outs in self.held:
+            a, b = (np.array([self.root(c) for c in x.comp.tolist()]) for x in (outs, rows))
+            # two outsiders meet in both roles; one order is enough
+            open_pairs = (a[:, None] != b[None, :]) & (~rows.out[None, :] | (rows.rep[None, :] > outs.rep[:, None]))
+            for i, j in _candidates(outs, rows, self.percent, open_pairs):
+                u, v = self.root(int(outs.comp[i])), self.root(int(rows.comp[j]))
+                if u != v and _linked(outs.sets[i], rows.sets[j], self.percent):
+                    self.parent[max(u, v)] = min(u, v)
+                    self.links.append((outs.comp[i], rows.comp[j]))
+
+
+def _run_cells(kind, percent: int):
+    """Rows sorted by (cell columns, role): a cell takes its first role's rows, then the others, CHUNK at a time."""
+    def run(batches):
+        cell, key, held, role = None, None, [], None
+
+        def give(c):
+            u, v = (np.array(x, dtype=np.int64) for x in (zip(*c.links) if c.links else ((), ())))
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                now = (row["lead"], row["i"], row["j"])
+                if held and (now != key or row["role"] != role or len(held) == CHUNK):
+                    cell.take(held, role == 0)
+                    held = []
+                if now != key:
+                    if cell and cell.links:
+                        yield give(cell)
+                    cell, key = kind(percent), now
+                role = row["role"]
+                held.append(row)
+        if held:
+            cell.take(held, role == 0)
+        if cell and cell.links:
+            yield give(cell)
+    return run
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
@@ -129,99 +239,84 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Two documents are linked when 100 * |intersection| >= percent * |union| of their distinct
     ``width``-word shingle sets (A-Z lower-cased; a shorter text is one shingle).  Method:
 
-    1. one pass makes each document's 64-bit shingle set, BANDS band keys from K minima and a 128-bit digest of
-       the set; documents that share a bucket get a signature, the BITS low bits of FINE more minima in longs;
-    2. equal sets form one class by digest, so copies cost one aggregate row, not pairs;
-    3. every band bucket pairs its members with its lead, the member that meets most others in all its buckets:
-       candidates grow with bucket size, not its square; the packed signatures' corrected estimate (five standard
-       deviations of slack) and the set sizes drop the hopeless ones, and the rest are confirmed on full sets;
-    4. members still outside their bucket's main component meet a few other outsiders of the bucket, and
-       finally every bucket's remaining outsiders are compared with all members of other components, each
-       pair in one of its shared buckets, so no link between candidates is lost.
+    1. one pass makes each document's 64-bit shingle set, BANDS band keys from K minima and a 128-bit digest of the set;
+    2. equal sets form one class by digest, so copies cost one aggregate row, not pairs; the rows of one id are joined by an edge;
+    3. every band bucket has a lead, the member that meets most others in all its buckets; buckets of one lead make one
+       group.  Documents in groups get a signature, the BITS low bits of FINE more minima packed in longs, beside their set;
+    4. each group's members meet its lead: sizes and the signatures' bit counts, corrected for chance agreement (five
+       standard deviations of slack), leave the likely pairs, which are confirmed on full sets; links give components;
+    5. members outside their lead's component meet all members of other components of the group, in cells of at most
+       about CELL by CELL documents, so no link between documents that share a bucket is lost.  Candidates come likeliest first, and a
+       cell confirms no further pair of two components that it has joined.
+
+    What is shuffled grows with the members of groups, never with pairs; links are the only output of a cell.  A group whose m members
+    are mostly unlinked still costs up to m * m / 2 signature comparisons, dealt over its cells.
 
     Null or wordless text has an empty set and is linked with nothing.  A null id keeps its row with a null
     component and kept = true.  Rows that repeat an id are one document: linked if any of its texts is.
     Other columns are ignored, an empty table gives no rows.
     """
     spark = docs.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sigs, sig_path = store(source.mapInArrow(
+    sigs, _ = store(source.mapInArrow(
         _bands(width), "id long, n long, d1 long, d2 long, bands array<long>"), "sets", 1000)
-    classes, class_path = store(
-        sigs.where("id IS NOT NULL AND n > 0").groupBy("d1", "d2", "n", "bands").agg(F.min("id").alias("rep")),
-        "classes")
+    named = sigs.where("id IS NOT NULL AND n > 0")
+    classes, class_path = store(named.groupBy("d1", "d2", "n", "bands").agg(F.min("id").alias("rep")), "classes")
     exploded = classes.select("rep", F.explode("bands").alias("key"))
     crowds, crowd_path = store(
         exploded.join(exploded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "key"), "crowds")
-    # the member that meets most others over all its buckets is closest to the middle of its group
-    crowd = crowds.groupBy("rep").agg(F.sum("size").alias("crowd"))
-    ranked, ranked_path = store(crowds.join(crowd, "rep").select(
-        "key", "rep", "size", F.struct((-F.col("crowd")).alias("far"), F.col("rep").alias("rep")).alias("rank")), "ranked")
-    leads = ranked.groupBy("key").agg(F.min("rank.far").alias("far")).join(
-        ranked.select("key", F.col("rank.far").alias("far"), "rep"), ["key", "far"]).groupBy("key").agg(F.min("rep").alias("lead"))
-    members, member_path = store(ranked.join(leads, "key").select("key", "rep", "size", "rank", "lead"), "members")
+    # the member that meets most others over all its buckets is closest to the middle of its group; ties by a hash
+    crowd = crowds.groupBy("rep").agg((F.sum("size") * 1048576 + F.pmod(F.xxhash64("rep"), F.lit(1048576))).alias("crowd"))
+    leads = crowds.join(crowd, "rep").groupBy("key").agg(F.max_by("rep", "crowd").alias("lead"))
+    stars, star_path = store(crowds.join(leads, "key").select("lead", "rep").distinct(), "stars")
     unstore(spark, crowd_path)
-    unstore(spark, ranked_path)
-    texts, text_path = store(
-        source.join(members.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"), "texts")
-    sizes, size_path = store(texts.mapInArrow(_signatures(width), "rep long, n long, sig array<long>"), "signatures", 1000)
-    agree = 2.0 ** -BITS + (1 - 2.0 ** -BITS) * percent / 100
-    slack = 5 * (agree * (1 - agree) / FINE) ** 0.5 / (1 - 2.0 ** -BITS)
-
-    def confirmed(pairs: DataFrame, name: str) -> tuple[DataFrame, str]:
-        near = pairs.distinct() \
-            .join(sizes.select(F.col("rep").alias("u"), F.col("n").alias("un"), F.col("sig").alias("us")), "u") \
-            .join(sizes.select(F.col("rep").alias("v"), F.col("n").alias("vn"), F.col("sig").alias("vs")), "v") \
-            .where(F.col("un") * 100 >= F.col("vn") * percent).where(F.col("vn") * 100 >= F.col("un") * percent) \
-            .where(estimate("us", "vs") >= percent / 100 - slack).select("u", "v")
-        wide = near.join(texts.select(F.col("id").alias("v"), F.col("text").alias("tv")), "v") \
-            .join(texts.select(F.col("id").alias("u"), F.col("text").alias("tu")), "u").select("u", "v", "tu", "tv")
-        return store(wide.mapInArrow(_confirm(width, percent), "u long, v long").distinct(), name, 100)
-
-    links, link_path = confirmed(
-        members.where("rep <> lead").select(F.least("lead", "rep").alias("u"), F.greatest("lead", "rep").alias("v")), "links")
-    paths = [link_path]
-    of, of_path = components(links)
-
-    def labelled() -> DataFrame:
-        label = of.select(F.col("node").alias("rep"), "component")
-        lead = of.select(F.col("node").alias("lead"), F.col("component").alias("main"))
-        return members.where("size > 2").join(label, "rep", "left").join(lead, "lead", "left").select(
-            "key", "rep", "rank", "lead", F.coalesce("component", "rep").alias("comp"), F.coalesce("main", "lead").alias("main"))
-
-    for step in ("meet", "rest"):
-        inside, inside_path = store(labelled(), "labelled")
-        out = inside.where("comp <> main")
-        if step == "meet":
-            heads = out.groupBy("key").agg(F.min_by(F.struct("rep", "comp"), F.col("rank.far")).alias("h0"), *(
-                F.min_by(F.struct("rep", "comp"), F.xxhash64("rep", "key", F.lit(s))).alias(f"h{s}") for s in (1, 2)))
-            pairs = out.join(heads, "key").select("rep", "comp", F.explode(F.array("h0", "h1", "h2")).alias("h")) \
-                .where("h.comp <> comp").select(F.least("rep", "h.rep").alias("u"), F.greatest("rep", "h.rep").alias("v"))
-        else:
-            withsig = inside.join(out.select("key").distinct(), "key", "left_semi").join(sizes, "rep") \
-                .join(classes.select("rep", "bands"), "rep")
-            left = withsig.where("comp <> main").select(
-                "key", *(F.col(c).alias("o_" + c) for c in ("rep", "comp", "n", "sig", "bands")))
-            pairs = left.join(withsig, "key").where("comp <> o_comp AND rep <> lead AND (comp = main OR rep < o_rep)") \
-                .where(F.col("n") * 100 >= F.col("o_n") * percent).where(F.col("o_n") * 100 >= F.col("n") * percent) \
-                .where(estimate("sig", "o_sig") >= percent / 100 - slack) \
-                .where(F.array_min(F.array_intersect("bands", "o_bands")) == F.col("key")) \
-                .select(F.least("rep", "o_rep").alias("u"), F.greatest("rep", "o_rep").alias("v"))
-        more, more_path = confirmed(pairs, "links")
-        unstore(spark, inside_path)
-        links = links.unionAll(more)
-        paths.append(more_path)
-        if more.isEmpty():
-            continue
-        unstore(spark, of_path)
-        of, of_path = components(links)
-    for path in (member_path, text_path, size_path, *paths):
-        unstore(spark, path)
-
-    label = classes.select("d1", "d2", "n", "rep").join(of.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "d1", "d2", "n", F.coalesce("component", "rep").alias("component"))
+    once = named.select("id", "d1", "d2", "n").distinct()
+    # ids of several rows, and how many texts they have; one pass over ids alone
+    twice, twice_path = store(named.groupBy("id", "d1", "d2", "n").agg(F.count(F.lit(1)).alias("rows")).groupBy("id").agg(
+        F.count(F.lit(1)).alias("texts"), F.sum("rows").alias("rows")).where("rows > 1"), "twice")
+    made = source.where("id IS NOT NULL").mapInArrow(
+        _payload(width, _filter_of(stars.select("rep").distinct())), "rep long, n long, sig binary, shingles binary")
+    # one row for each text of an id; where no id repeats there is nothing to drop
+    payload, payload_path = store(made if twice.isEmpty() else made.dropDuplicates(["rep", "sig", "shingles"]), "payload", 1000)
+    cells, schema = ["lead", "i", "j"], "u long, v long"
+
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.select(*cells, "role", "rep", "comp", "is_out", "n", "sig", "shingles").repartition(parts, *cells) \
+            .sortWithinPartitions(*cells, "role")
+
+    none = [F.lit(0).cast("long").alias("comp"), F.lit(False).alias("is_out")]
+    sizes = stars.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / CELL).alias("blocks"))
+    first = stars.where("rep <> lead").join(sizes, "lead").select(
+        "lead", F.pmod(F.xxhash64("rep"), "blocks").alias("i"), "rep", F.lit(1).alias("role")).unionAll(
+        sizes.select("lead", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("i"), F.col("lead").alias("rep"), F.lit(0).alias("role")))
+    met = first.withColumn("j", F.lit(0)).join(payload, "rep").select("*", *none)
+    links, link_path = store(dealt(met).mapInArrow(_run_cells(_StarCell, percent), schema), "links", CHUNK)
     # rows of one id with different texts belong together as well: they share the id itself
-    return sigs.select("id", "n", "d1", "d2").join(label, ["d1", "d2", "n"], "left").select(
+    own = once.join(twice.where("texts > 1").select("id"), "id").join(classes.select("d1", "d2", "n", "rep"), ["d1", "d2", "n"]).select(
+        F.col("rep").alias("u"), F.col("id").alias("v")).where("u <> v")
+    of, of_path = components(links.unionAll(own.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))))
+
+    label = of.select(F.col("node").alias("rep"), "component")
+    main = of.select(F.col("node").alias("lead"), F.col("component").alias("main"))
+    inside, inside_path = store(stars.join(label, "rep", "left").join(main, "lead", "left").select(
+        "lead", "rep", F.coalesce("component", "rep").alias("comp"), (F.coalesce("component", "rep") != F.coalesce("main", "lead")).alias("is_out")), "inside")
+    sizes = inside.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / CELL).alias("many"), F.ceil(F.count_if("is_out") / CELL).alias("outs")).where("outs > 0")
+    numbered = inside.where("rep <> lead").join(sizes, "lead").select("*", F.pmod(F.xxhash64("rep"), "outs").alias("a"), F.pmod(F.xxhash64("rep"), "many").alias("b"))
+    copies = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    second = numbered.where("is_out").select("lead", F.col("a").alias("i"), copies("many").alias("j"), "rep", "comp", "is_out", F.lit(0).alias("role")).unionAll(
+        numbered.select("lead", copies("outs").alias("i"), F.col("b").alias("j"), "rep", "comp", "is_out", F.lit(1).alias("role")))
+    more, more_path = store(dealt(second.join(payload, "rep")).mapInArrow(_run_cells(_RestCell, percent), schema), "links", CHUNK)
+    for path in (star_path, twice_path, payload_path, link_path, inside_path):
+        unstore(spark, path)
+    final = classes.select("d1", "d2", "n", "rep").join(label, "rep", "left").select("d1", "d2", "n", F.coalesce("component", "rep").alias("component"))
+    if not more.isEmpty():
+        joined, _ = components(more)
+        final = final.join(joined.select(F.col("node").alias("component"), F.col("component").alias("least")), "component", "left").select(
+            "d1", "d2", "n", F.coalesce("least", "component").alias("component"))
+    unstore(spark, more_path)
+
+    return sigs.select("id", "n", "d1", "d2").join(final, ["d1", "d2", "n"], "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("component_id") == F.col(id_col), F.lit(True)))

@@ -91,7 +91,7 @@ def test_run_and_registration(spark, steps):
     assert corpus_pipeline.run(spark, SF).count() == len(steps[5])
     names = __spark_entry__.queries()
     assert "pipeline" in names and set(queries.QUERIES) <= set(names) and set(oracle.SQL) <= set(queries.QUERIES)
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 14))
 
 
 def test_stages_take_empty_tables_and_null_columns(spark):
