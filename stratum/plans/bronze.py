@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from ..functions.numeric import kb_text, safe_pct
 from ..functions.text import base_name, year_in_name
 from ..session import materialize
+from ..sources import blocks
 from ..sources.files import read_binary
 from ..sources.listing import Prefix, assign_prefixes, list_objects, log_folders
 
@@ -34,6 +35,8 @@ TOTAL_REDUCTION = ("delta_total_reduction_pct", "metric", "metric")
 LOG_FORMAT = "json/checkpoint"
 # ---------------------------------------------------------------------------
 
+BIG = 1 << 30     # files above this many bytes are read by split
+
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("object_name", T.StringType(), False),
     T.StructField("original_md5", T.StringType(), False),
@@ -53,22 +56,38 @@ def extension_filter(col) -> "F.Column":
     return cond
 
 
-def list_files(spark: SparkSession, drop_zone: str, api_pattern: str | None = None) -> DataFrame:
-    """Drop-zone listing from the ``binaryFile`` source, hashed on executors.
+def list_files(spark: SparkSession, drop_zone: str, api_pattern: str | None = None, big: int = BIG) -> DataFrame:
+    """Drop-zone listing, hashed on executors.
 
-    Columns: path, object_name (base name), content_md5, size,
-    modification_time, source_system.
+    Columns: path, uri, object_name (base name), content_md5, size,
+    modification_time, source_system.  Files of up to ``big`` bytes are read whole (``binaryFile``) and have the MD5 of their bytes; larger ones are
+    read by split and have a digest that merges over blocks, ``blocks-<size>-<sums>``, in the same column.
     """
-    files = read_binary(spark, drop_zone).where(extension_filter("path"))
     src = F.lit(SOURCE_LOCAL)
     if api_pattern:
         src = F.when(F.col("path").rlike(api_pattern), F.lit(SOURCE_API)).otherwise(src)
-    return files.select(
-        "path", base_name("path").alias("object_name"),
-        F.md5("content").alias("content_md5"),
-        F.col("length").alias("size"),
-        F.col("modificationTime").alias("modification_time"),
-        src.alias("source_system"))
+
+    def listed(files: DataFrame, digest) -> DataFrame:
+        return files.select(
+            "path", F.col("_metadata.file_path").alias("uri"), base_name("path").alias("object_name"),
+            digest.alias("content_md5"), F.col("length").alias("size"),
+            F.col("modificationTime").alias("modification_time"), src.alias("source_system"))
+
+    files = read_binary(spark, drop_zone).where(extension_filter("path"))
+    small = listed(files.where(F.col("length") <= big), F.md5("content"))
+    large = listed(files.where(F.col("length") > big), F.lit(None).cast("string"))
+    paths = [r[0] for r in large.select("path").collect()]
+    if not paths:
+        return small
+    sums = blocks.file_digests(spark, _literal_paths(paths)).withColumnRenamed("path", "uri")
+    named = large.drop("content_md5").join(sums, "uri").withColumn("content_md5", F.concat(
+        F.lit("blocks-"), F.col("size").cast("string"), F.lit("-"), F.col("sums")))
+    return small.unionByName(named.select(*small.columns))
+
+
+def _literal_paths(paths: list[str]) -> list[str]:
+    """Paths with the characters that Hadoop would read as patterns escaped."""
+    return [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]
 
 
 def plan_ingest(listing: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -115,37 +134,45 @@ def read_manifest(spark: SparkSession, manifest_path: str) -> DataFrame:
 
 
 def current_objects(spark: SparkSession, bronze_path: str, manifest_path: str) -> DataFrame:
-    """The landed objects as they are now: of every object, the content of its newest manifest row."""
+    """The landed objects as they are now: of every object, the content of its newest manifest row; large ones have a row for each part."""
     newest = F.max_by("original_md5", F.struct("ingestion_timestamp", "original_md5"))
     now = read_manifest(spark, manifest_path).groupBy("object_name").agg(newest.alias("content_md5"))
     landed = spark.read.parquet(bronze_path)
     return landed.join(now, ["object_name", "content_md5"], "left_semi") \
-        .dropDuplicates(["object_name", "content_md5"])
+        .dropDuplicates(["object_name", "content_md5", "part"])
 
 
 def land(spark: SparkSession, drop_zone: str, bronze_path: str, manifest_path: str,
          operator_id: str = "data_engineer", api_pattern: str | None = None,
-         run: str | None = None) -> DataFrame:
+         run: str | None = None, big: int = BIG) -> DataFrame:
     """Land new and changed files; returns the ingest plan.
 
     Contents are written before manifest rows, each into this run's own
     partition: a crash in between re-lands the files on the next run, and
     repeating a run id replaces its output.  Running twice lands nothing
     the second time.  Every file is read once to be hashed, and once more only if it has to be landed.
+    Files of more than ``big`` bytes are hashed and landed by split, in several rows numbered by ``part``; no task holds such a file.
     """
-    listing = list_files(spark, drop_zone, api_pattern)
+    listing = list_files(spark, drop_zone, api_pattern, big)
     plan = plan_ingest(listing, read_manifest(spark, manifest_path))
     # keep one fixed plan for both writes below
     plan = materialize(plan, "ingest-plan")
     run = run or f"batch-{uuid.uuid4().hex}"
     todo = plan.where(F.col("action") != "unchanged")
     # the names of files to land, which Spark's own listing of the zone holds on the driver as well; unchanged files stay closed
-    paths = [re.sub(r"([\[\]{}*?\\])", r"\\\1", r[0]) for r in todo.select("path").collect()]
-    if paths:
-        contents = spark.read.format("binaryFile").load(paths).select("path", "content")
-        write_run(todo.join(contents, "path")
-                      .select("object_name", "content", "content_md5", "source_system", "size", "modification_time"),
-                  bronze_path, run)
+    columns = ["object_name", "part", "content", "content_md5", "source_system", "size", "modification_time"]
+    chosen = todo.select("path", "size").collect()
+    whole, parts = ([r[0] for r in chosen if (r[1] <= big) == small] for small in (True, False))
+    landed = None
+    if whole:
+        contents = spark.read.format("binaryFile").load(_literal_paths(whole)).select("path", "content", F.lit(0).cast("long").alias("part"))
+        landed = todo.join(contents, "path").select(*columns)
+    if parts:
+        contents = blocks.file_parts(spark, _literal_paths(parts)).withColumnRenamed("path", "uri")
+        more = todo.join(contents, "uri").select(*columns)
+        landed = more if landed is None else landed.unionByName(more)
+    if landed is not None:
+        write_run(landed, bronze_path, run)
         write_run(manifest_rows(todo, operator_id), manifest_path, run)
     return plan
 

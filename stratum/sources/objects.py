@@ -1,6 +1,7 @@
 """Landed objects (name, content) as tables: delimited text and workbook sheets.
 
-An object that was landed whole is one row, so it is parsed in one task; a table has as many tasks as objects.
+An object that was landed whole is one row, so it is parsed in one task.  A large one has a row for each part; its parts end at
+line ends and are parsed by many tasks.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from xml.etree import ElementTree
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # tasks carry this module's functions themselves, so executors need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -107,18 +109,18 @@ def _headers(header_row: int):
     return run
 
 
-def _parsed(names: list[str], header_row: int):
+def _parsed(header: list[str], names: list[str], header_row: int):
     def out(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], names=names)
 
     def run(batches):
         for batch in batches:
-            for name, content in zip(*(c.to_pylist() for c in batch.columns)):
-                header = _header(name, content, header_row)
-                at = [header.index(n) if n in header else None for n in names]
+            for name, content, part in zip(*(c.to_pylist() for c in batch.columns)):
+                mine = header if part else _header(name, content, header_row)
+                at = [mine.index(n) if n in mine else None for n in names]
                 held = []
                 for k, row in enumerate(_rows(name, content)):
-                    if k > header_row and any(x is not None for x in row):
+                    if (part or k > header_row) and any(x is not None for x in row):
                         held.append([row[i] if i is not None and i < len(row) else None for i in at])
                         if len(held) == ROWS:
                             yield out(held)
@@ -134,17 +136,17 @@ def read_objects(objects: DataFrame, header_row: int = 0) -> DataFrame:
     ``.xlsx`` objects are read as workbooks (first sheet), all others as delimited text.  The header is on row ``header_row``
     (0-based, workbook rows by their numbers); records without any value are no rows.  Columns bind by name; an object that lacks one has
     nulls there.  Two passes: the headers alone go to the driver (distinct ones), then the records are parsed.  No object gives an empty
-    table without columns.
+    table without columns.  A column ``part`` marks objects in several rows: part 0 has the header, the others are read with it, which needs one
+    object (or equal headers) and records without line ends inside quotes.
     """
-    source = objects.select("object_name", "content")
-    headers = source.mapInArrow(_headers(header_row), "names array<string>").distinct().collect()
+    part = F.col("part") if "part" in objects.columns else F.lit(0)
+    source = objects.select("object_name", "content", part.cast("long").alias("part"))
+    headers = source.where("part = 0").select("object_name", "content").mapInArrow(_headers(header_row), "names array<string>").distinct().collect()
     names = list(dict.fromkeys(n for r in sorted(headers, key=lambda r: r[0]) for n in r[0]))
+    header = headers[0][0] if len(headers) == 1 else None
+    if header is None and not source.where("part > 0").isEmpty():
+        raise ValueError("objects in parts need one header")
     if not names:
         return objects.sparkSession.createDataFrame([], "struct<>")
     schema = ", ".join("`" + n.replace("`", "``") + "` string" for n in names)
-    return source.mapInArrow(_parsed(names, header_row), schema)
-
-
-def pick(objects: DataFrame, chosen: DataFrame) -> DataFrame:
-    """The objects whose names ``chosen(object_name)`` holds."""
-    return objects.join(chosen.select("object_name").distinct(), "object_name", "left_semi").select("object_name", "content")
+    return source.mapInArrow(_parsed(header, names, header_row), schema)

@@ -43,7 +43,7 @@ def start_landing(spark: SparkSession, drop_zone: str, bronze_path: str, manifes
         todo = plan_ingest(listing, manifest).where(F.col("action") != "unchanged")
         run = f"stream-{stream_tag}-{batch_id}"
         # a re-executed micro-batch overwrites its own run partition
-        write_run(todo.select("object_name", "content", "content_md5", "source_system", "size", "modification_time"),
+        write_run(todo.select("object_name", F.lit(0).cast("long").alias("part"), "content", "content_md5", "source_system", "size", "modification_time"),
                   bronze_path, run)
         # the manifest's rows come from what this batch has landed, so files are read and hashed once
         landed = s.read.parquet(bronze_path).where(F.col("run") == run)
