@@ -113,13 +113,20 @@ each AS (
   UNION ALL SELECT lang, source, 'word_length', word_length FROM vals WHERE NOT base_failed),
 bins AS (
   SELECT *, (v // step + 1) * step - 1 AS b FROM (SELECT *, 1 << greatest(0, len(bin(v)) - 6) AS step FROM each)),
+all_q AS (SELECT rule, quantile_disc(b, 0.25) AS q1, quantile_disc(b, 0.75) AS q3 FROM bins GROUP BY rule),
+lang_q AS (
+  SELECT lang, rule, (count(*) * quantile_disc(b, 0.25) + 20 * any_value(q1)) // (count(*) + 20) AS q1,
+         (count(*) * quantile_disc(b, 0.75) + 20 * any_value(q3)) // (count(*) + 20) AS q3
+  FROM bins JOIN all_q USING (rule) GROUP BY lang, rule),
 quart AS (
-  SELECT lang, source, rule, quantile_disc(b, 0.25) AS q1, quantile_disc(b, 0.75) AS q3 FROM bins GROUP BY ALL),
+  SELECT b.lang, b.source, b.rule, (count(*) * quantile_disc(b, 0.25) + 20 * any_value(q1)) // (count(*) + 20) AS q1,
+         (count(*) * quantile_disc(b, 0.75) + 20 * any_value(q3)) // (count(*) + 20) AS q3
+  FROM bins b JOIN lang_q q ON b.rule = q.rule AND b.lang IS NOT DISTINCT FROM q.lang GROUP BY ALL),
 tops AS (
   SELECT lang, source,
-         max(greatest(100, q3 + 6 * (q3 - q1))) FILTER (rule = 'symbols') AS top_symbols,
-         max(greatest(300, q3 + 6 * (q3 - q1))) FILTER (rule = 'dup_lines') AS top_dup_lines,
-         max(greatest(1200, q3 + 6 * (q3 - q1))) FILTER (rule = 'word_length') AS top_word_length
+         max(q3 + 6 * greatest(15, q3 - q1)) FILTER (rule = 'symbols') AS top_symbols,
+         max(q3 + 6 * greatest(45, q3 - q1)) FILTER (rule = 'dup_lines') AS top_dup_lines,
+         max(q3 + 6 * greatest(80, q3 - q1)) FILTER (rule = 'word_length') AS top_word_length
   FROM quart GROUP BY ALL)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        coalesce(NOT base_failed AND symbols <= top_symbols AND dup_lines <= top_dup_lines

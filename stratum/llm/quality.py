@@ -11,8 +11,9 @@ BLANK = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
 SHARP = 5                 # a sketch bin is at most 1/32 of its value wide; values below 64 have a bin each
 FENCE = 6                 # distances between quartiles above the upper quartile
-#: rule -> the least threshold that a group can get, whatever its quartiles
-FLOORS = {"symbols": 100, "dup_lines": 300, "word_length": 1200}
+PRIOR = 20                # rows that a parent's quartiles weigh as, against the group's own rows
+#: rule -> the least distance between quartiles that counts: values that lie closer are not told apart
+SPREADS = {"symbols": 15, "dup_lines": 45, "word_length": 80}
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 
 
@@ -77,17 +78,38 @@ def sketches(values: DataFrame, keys: list[str], rules: list[str]) -> DataFrame:
     return values.select(*keys, each.alias("x")).groupBy(*keys, "x.rule", "x.bin").agg(F.count(F.lit(1)).alias("n"))
 
 
-def thresholds(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key with a column ``top_<rule>``: max(floor, upper quartile + FENCE * quartile distance)."""
+def quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, rule, total, q1, q3) of every group and rule, from its histogram."""
     w = Window.partitionBy(*keys, "rule").orderBy("bin")
     ranked = sketch.withColumn("upto", F.sum("n").over(w)) \
         .withColumn("total", F.sum("n").over(Window.partitionBy(*keys, "rule")))
-    quart = ranked.groupBy(*keys, "rule").agg(
+    return ranked.groupBy(*keys, "rule").agg(
+        F.max("total").alias("total"),
         F.min(F.when(F.col("upto") * 4 >= F.col("total"), F.col("bin"))).alias("q1"),
         F.min(F.when(F.col("upto") * 4 >= F.col("total") * 3, F.col("bin"))).alias("q3"))
-    floor = F.element_at(F.create_map(*(F.lit(x) for r, f in FLOORS.items() for x in (r, f))), F.col("rule"))
-    top = quart.select(*keys, "rule", F.greatest(floor, F.col("q3") + FENCE * (F.col("q3") - F.col("q1"))).alias("top"))
-    return top.groupBy(*keys).agg(*(F.max(F.when(F.col("rule") == r, F.col("top"))).alias(f"top_{r}") for r in FLOORS))
+
+
+def thresholds(sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per group with a column ``top_<rule>``: upper quartile + FENCE * quartile distance (SPREADS at least).
+
+    Sketches merge upwards: dropping the last key and adding the counts gives the parent's sketch, up to the whole corpus.  A
+    group's quartiles are drawn to its parent's, which weigh as PRIOR rows: (total * own + PRIOR * parent) div (total + PRIOR).  So
+    a group of a few rows is judged by its language, a rare language by the corpus, and a large group by itself.
+    """
+    merged = sketch.groupBy("rule", "bin").agg(F.sum("n").alias("n"))
+    above = quartiles(merged, []).select("rule", F.col("q1").alias("up1"), F.col("q3").alias("up3"))
+    for depth in range(1, len(keys) + 1):
+        mine = keys[:depth]
+        level = quartiles(sketch.groupBy(*mine, "rule", "bin").agg(F.sum("n").alias("n")), mine)
+        parent = above.select(*(F.col(k).alias("up_" + k) for k in mine[:-1]), F.col("rule").alias("up_rule"), "up1", "up3")
+        on = F.col("rule") == F.col("up_rule")
+        for k in mine[:-1]:
+            on = on & F.col(k).eqNullSafe(F.col("up_" + k))
+        drawn = [F.expr(f"(total * q{i} + {PRIOR} * up{i}) div (total + {PRIOR})").alias(f"up{i}") for i in (1, 3)]
+        above = level.join(parent, on).select(*mine, "rule", *drawn)
+    spread = F.element_at(F.create_map(*(F.lit(x) for r, f in SPREADS.items() for x in (r, f))), F.col("rule"))
+    top = above.select(*keys, "rule", (F.col("up3") + FENCE * F.greatest(spread, F.col("up3") - F.col("up1"))).alias("top"))
+    return top.groupBy(*keys).agg(*(F.max(F.when(F.col("rule") == r, F.col("top"))).alias(f"top_{r}") for r in SPREADS))
 
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
@@ -100,8 +122,8 @@ def judged(docs: DataFrame, carry: list[str], text_col: str = "text", lang_col:
     Added: MEASURES, base_failed, the rules' values (symbols, dup_lines, word_length), their thresholds (top_...), kept.
     A row is kept when the base rules pass (10 words or more, at most a fifth of them in repeated 5-word windows)
     and no value lies above the threshold of its language and source.  Thresholds are upper quartile + 6 quartile
-    distances, or a fixed floor if that is higher, over the rows of the group that pass the base rules, read from
-    mergeable histogram sketches.  The texts are measured once: carried columns and measures are a written table.
+    distances over the rows that pass the base rules, read from mergeable histogram sketches of the group, its
+    language and the corpus (see ``thresholds``).  The texts are measured once: carried columns and measures are a written table.
 
     Null language or source is a group of its own; null text counts as empty and fails; repeated rows count each;
     columns of ``docs`` with the added names keep their content, for the prefix then differs.
@@ -117,11 +139,11 @@ def judged(docs: DataFrame, carry: list[str], text_col: str = "text", lang_col:
     wide = measured(docs.withColumns({keys[0]: F.col(lang_col), keys[1]: F.col(source_col)}), p, text_col)
     held, _ = store(wide.select(*carry, *keys, *(m(c) for c in MEASURES), base_failed(m).alias(p + "base_failed"),
                                 *(v.alias(p + k) for k, v in ratios(m).items())), "measured")
-    passed = held.where(~m("base_failed")).select(*keys, *(m(r).alias(r) for r in FLOORS))
-    limits = thresholds(sketches(passed, keys, list(FLOORS)), keys).select(
-        *(F.col(k).alias(k + "_limit") for k in keys), *(F.col(f"top_{r}").alias(f"{p}top_{r}") for r in FLOORS))
+    passed = held.where(~m("base_failed")).select(*keys, *(m(r).alias(r) for r in SPREADS))
+    limits = thresholds(sketches(passed, keys, list(SPREADS)), keys).select(
+        *(F.col(k).alias(k + "_limit") for k in keys), *(F.col(f"top_{r}").alias(f"{p}top_{r}") for r in SPREADS))
     fine = ~m("base_failed")
-    for rule in FLOORS:
+    for rule in SPREADS:
         fine = fine & (m(rule) <= m("top_" + rule))
     out = held.join(limits, F.col(keys[0]).eqNullSafe(F.col(keys[0] + "_limit"))
                     & F.col(keys[1]).eqNullSafe(F.col(keys[1] + "_limit")), "left")
@@ -133,7 +155,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     """One row per document: id_col, the base measures, base_failed, kept, the rules' values and thresholds."""
     out, p = judged(docs, [id_col], text_col, lang_col, source_col)
     first = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines")
-    return out.select(id_col, *(F.col(p + c).alias(c) for c in (*first, *FLOORS, *(f"top_{r}" for r in FLOORS))))
+    return out.select(id_col, *(F.col(p + c).alias(c) for c in (*first, *SPREADS, *(f"top_{r}" for r in SPREADS))))
 
 
 def filtered(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:

@@ -335,11 +335,11 @@ def test_quality_measures_match_brute_force(docs, texts, empty):
 def test_quality_thresholds_adapt_and_merge(spark):
     rng = random.Random(6)
     rows = [(k, " ".join(f"w{rng.randrange(10**5, 10**6)}" + ("#" if s == "noisy" else "") for _ in range(40)), "en", s)
-            for k in range(60) for s in ("clean", "noisy")]
-    rows.append((999, " ".join(f"v{k}###" for k in range(40)), "en", "clean"))
+            for k in range(600) for s in ("clean", "noisy")]
+    rows.append((99999, " ".join(f"v{k}###" for k in range(40)), "en", "clean"))
     got = quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
     kept = {(r.doc_id, r.top_symbols > 100): r.kept for r in got.collect()}
-    assert kept[999, False] is False and all(v for k, v in kept.items() if k[0] != 999)
+    assert kept[99999, False] is False and all(v for k, v in kept.items() if k[0] != 99999)
     values = spark.range(4000).select((F.col("id") * F.col("id")).alias("v"), F.lit("a").alias("k"), (F.col("id") % 2).alias("half"))
     whole = {(r.rule, r.bin): r.n for r in quality.sketches(values, ["k"], ["v"]).collect()}
     halves = quality.sketches(values, ["k", "half"], ["v"]).groupBy("rule", "bin").agg(F.sum("n").alias("n"))
