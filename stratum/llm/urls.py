@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sampling import smallest_hashes
 from .store import store, unstore
 
 #: (host and path prefix, verdict); a rule fits its host and all subdomains when the url's path starts with its path
@@ -149,7 +150,7 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     ``#`` or the end; both empty for a null url or one without ``://``.  ``rule`` is the longest rule that fits, else
     null; ``verdict`` is the rule's, else "block" where the boosted trees give it log-odds above 0.  The trees are
     trained on urls that a rule decides (their verdicts are the labels), at most ``boosting.sample`` of them, those
-    with the smallest url hashes; suffix statistics count all rows.  Without labelled urls, or with one label only,
+    with the smallest hashes; suffix statistics count all rows.  Without labelled urls, or with one label only,
     the score is a constant.  Null ids and repeated rows are judged like any row; an empty table gives no rows.
     """
     boosting = boosting or Boosting()
@@ -157,9 +158,8 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     rule, verdict = ruled(F.col("host"), F.col("path"), rules)
     slim, _ = store(lexical(base.withColumns({"rule": rule, "verdict": verdict})), "urls")
     rows = with_suffixes(slim)
-    labelled, label_path = store(
-        rows.where("verdict IS NOT NULL").withColumn("y", (F.col("verdict") == "block").cast("double"))
-        .orderBy(F.xxhash64("url"), "url").limit(boosting.sample).select("y", *FEATURES), "labelled")
+    known = rows.where("verdict IS NOT NULL").withColumn("y", (F.col("verdict") == "block").cast("double"))
+    labelled, label_path = store(smallest_hashes(known, F.xxhash64("url", "id"), boosting.sample).select("y", *FEATURES), "labelled")
     score = fit(labelled, boosting)
     unstore(pages.sparkSession, label_path)
     return rows.withColumn("block_score", score).select(
