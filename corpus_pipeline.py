@@ -15,7 +15,7 @@ from stratum.llm.decontaminate import contaminated
 from stratum.llm.minhash import near_duplicates
 from stratum.llm.packing import packed
 from stratum.llm.quality import filtered
-from stratum.llm.store import free_name, store
+from stratum.llm.store import free_name, store, unstore
 
 # gear-hash chunking has no SQL form; tests compare the stages with brute-force versions
 ORACLE_SQL = None
@@ -81,10 +81,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage for ``sf_dir``'s documents; each other stage's result is a written table."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The rows of the last stage for ``sf_dir``'s documents; each other stage's result is a written table, deleted once the next one is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            docs, _ = store(docs, name)
+            docs, path = store(docs, name)
+            if before:
+                unstore(spark, before)
+            before = path
     return docs

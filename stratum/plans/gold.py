@@ -19,6 +19,7 @@ from ..operators.checks import checked_write, row_metrics
 from ..operators.ordering import assign_dense_keys
 from ..operators.skew import spread_join
 from ..schemas import check_contract
+from ..session import discard, stored
 
 
 def explode_founders(startups: DataFrame) -> DataFrame:
@@ -116,13 +117,13 @@ def build_gold(startups: DataFrame, executives: DataFrame, money_scale: float =
     With a path the fact is built from the re-read dimensions, so its keys
     are exactly the stored ones and the lineage is cut at each write.
     """
-    founders = explode_founders(startups)
-    dc = dim_company(startups)
-    de = dim_executive(founders, executives)
     if path:
         write_gold(startups, executives, path, money_scale)
         spark = startups.sparkSession
         return tuple(spark.read.parquet(f"{path}/{t}") for t in ("dim_company", "dim_executive", "fact_valuation_grit"))
+    founders = explode_founders(startups)
+    dc = dim_company(startups)
+    de = dim_executive(founders, executives)
     return dc, de, fact_valuation_grit(startups, founders, dc, de, money_scale)
 
 
@@ -134,7 +135,7 @@ def write_gold(startups: DataFrame, executives: DataFrame, path: str, money_scal
     itself finds missing companies, without a second pass.
     """
     spark = startups.sparkSession
-    founders = explode_founders(startups)
+    founders, founder_path = stored(explode_founders(startups), "founders")
     out: dict[str, dict] = {}
 
     def put(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
@@ -146,4 +147,5 @@ def write_gold(startups: DataFrame, executives: DataFrame, path: str, money_scal
     de = put(dim_executive(founders, executives), "dim_executive", ["executive_key", "executive_name"])
     put(fact_valuation_grit(startups, founders, dc, de, money_scale, every_company=True), "fact_valuation_grit",
         ["company_key", "executive_key"])
+    discard(spark, founder_path)
     return out

@@ -13,8 +13,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 # Tables whose rows carry CPU-heavy per-row work (long texts, many string
 # columns); spreading them pays off.  For scan-join-aggregate tables the
 # single reading task is cheap per row and a spread shuffle costs more.
-SPREAD = frozenset(os.environ.get("STRATUM_SPREAD_TABLES",
-                                  "orders,documents,pages,conversations").split(","))
+SPREAD = frozenset(("orders", "documents", "pages", "conversations"))
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -26,12 +25,8 @@ def spread(df: DataFrame) -> DataFrame:
     than cores and this returns ``df`` unchanged (no shuffle is added).
     Filters and column pruning still reach the scan below the exchange.
     """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without the RDD API: leave the scan as it is
-        return df
-    return df.repartition(cores) if splits < cores else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 _READ_CACHE: dict = {}
