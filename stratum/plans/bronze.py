@@ -10,12 +10,13 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numeric import kb_text, safe_pct
 from ..functions.text import base_name, year_in_name
+from ..operators.checks import CheckFailed
 from ..session import materialize
 from ..sources import blocks
 from ..sources.files import read_binary
@@ -115,14 +116,18 @@ def manifest_rows(plan: DataFrame, operator_id: str = "data_engineer") -> DataFr
         F.current_timestamp().alias("ingestion_timestamp"))
 
 
-def write_run(df: DataFrame, path: str, run: str) -> None:
-    """Write ``df`` as partition ``run=<run>`` of ``path``, replacing only that partition.
+def write_run(df: DataFrame, path: str, run: str, metrics: dict | None = None) -> dict:
+    """Write ``df`` as partition ``run=<run>`` of ``path``, replacing only that partition; returns what ``metrics`` (aggregates) came to.
 
     Replaying the same run (a retried job, a re-executed micro-batch)
     overwrites its own output instead of appending a second copy.
     """
+    seen = Observation()
+    if metrics:
+        df = df.observe(seen, *[c.alias(n) for n, c in metrics.items()])
     (df.withColumn("run", F.lit(run)).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(path))
+    return seen.get if metrics else {}
 
 
 def read_manifest(spark: SparkSession, manifest_path: str) -> DataFrame:
@@ -144,7 +149,7 @@ def current_objects(spark: SparkSession, bronze_path: str, manifest_path: str) -
 
 def land(spark: SparkSession, drop_zone: str, bronze_path: str, manifest_path: str,
          operator_id: str = "data_engineer", api_pattern: str | None = None,
-         run: str | None = None, big: int = BIG) -> DataFrame:
+         run: str | None = None, big: int = BIG, metrics: dict | None = None) -> DataFrame:
     """Land new and changed files; returns the ingest plan.
 
     Contents are written before manifest rows, each into this run's own
@@ -152,6 +157,10 @@ def land(spark: SparkSession, drop_zone: str, bronze_path: str, manifest_path: s
     repeating a run id replaces its output.  Running twice lands nothing
     the second time.  Every file is read once to be hashed, and once more only if it has to be landed.
     Files of more than ``big`` bytes are hashed and landed by split, in several rows numbered by ``part``; no task holds such a file.
+
+    The write of the contents counts objects, bytes and whole files whose bytes are no longer those that were hashed.  If one has changed
+    meanwhile or an object is missing, ``CheckFailed`` is raised and no manifest row is written, so the next run lands them again.
+    ``metrics``, a dictionary, receives the counts of both writes.
     """
     listing = list_files(spark, drop_zone, api_pattern, big)
     plan = plan_ingest(listing, read_manifest(spark, manifest_path))
@@ -172,8 +181,16 @@ def land(spark: SparkSession, drop_zone: str, bronze_path: str, manifest_path: s
         more = todo.join(contents, "uri").select(*columns)
         landed = more if landed is None else landed.unionByName(more)
     if landed is not None:
-        write_run(landed, bronze_path, run)
-        write_run(manifest_rows(todo, operator_id), manifest_path, run)
+        whole_file = (F.col("part") == 0) & ~F.col("content_md5").startswith("blocks-")
+        got = write_run(landed, bronze_path, run, {
+            "objects": F.count_if(F.col("part") == 0), "bytes": F.sum(F.octet_length("content")),
+            "changed": F.count_if(whole_file & (F.md5("content") != F.col("content_md5")))})
+        got["missing"] = len(chosen) - got["objects"]
+        if broken := [m for m in ("changed", "missing") if got[m]]:
+            raise CheckFailed(bronze_path, got, broken)
+        rows = write_run(manifest_rows(todo, operator_id), manifest_path, run, {"rows": F.count(F.lit(1))})
+        if metrics is not None:
+            metrics.update(contents=got, manifest=rows)
     return plan
 
 

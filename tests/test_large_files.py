@@ -85,3 +85,33 @@ def test_large_files_land_in_parts(spark, tmp_path, small_splits, monkeypatch):
     put(f"{zone}/big file.csv", big.replace(b"3999,", b"9993,"))
     assert {n: r.action for n, r in land().items()} == {"big file.csv": "changed", "small.csv": "unchanged"}
     assert jobs.run_bronze(spark, str(tmp_path / "zone*"), f"{lake}/b2", f"{lake}/m2").count() == 2
+
+
+def test_landing_counts_and_refuses_files_that_change_meanwhile(spark, tmp_path, monkeypatch):
+    from stratum.operators.checks import CheckFailed
+
+    zone, lake = f"{tmp_path}/zone", f"{tmp_path}/lake"
+    for k in range(4):
+        put(f"{zone}/f{k}.csv", b"x" * (10 + k))
+    metrics = {}
+    bronze.land(spark, zone, f"{lake}/b", f"{lake}/m", metrics=metrics)
+    assert metrics == {"contents": {"objects": 4, "bytes": 46, "changed": 0, "missing": 0}, "manifest": {"rows": 4}}
+    put(f"{zone}/f1.csv", b"new")
+    keep = bronze.materialize
+
+    def then_changed(*args):
+        out = keep(*args)
+        put(f"{zone}/f1.csv", b"newer")
+        return out
+
+    monkeypatch.setattr(bronze, "materialize", then_changed)
+    with pytest.raises(CheckFailed, match="changed = 1"):
+        bronze.land(spark, zone, f"{lake}/b", f"{lake}/m")
+    assert bronze.read_manifest(spark, f"{lake}/m").count() == 4
+    monkeypatch.setattr(bronze, "materialize", keep)
+    again = {}
+    bronze.land(spark, zone, f"{lake}/b", f"{lake}/m", metrics=again)
+    assert again["contents"]["objects"] == 1 and again["contents"]["bytes"] == 5
+    none = {}
+    bronze.land(spark, zone, f"{lake}/b", f"{lake}/m", metrics=none)
+    assert none == {}
