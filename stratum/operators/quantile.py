@@ -84,17 +84,15 @@ def select_middle(values: DataFrame, brackets: DataFrame, keys: list[str]) -> tu
     below = F.when(F.col("_v") < F.col("_range")[0], F.lit(_BELOW).cast("double")).otherwise(F.col("_v"))
     table, path = stored(hit.groupBy(*keys, "_n", below.alias("_v")).agg(F.count(F.lit(1)).alias("_c")), "median")
     cuts = [i / SPLITS for i in range(1, SPLITS)]
-    while True:
+    while not table.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d")).where(F.col("_d") > LIMIT).isEmpty():
         crowded, cut_path = stored(table.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("_d"), F.percentile_approx("_v", cuts, 16 * SPLITS).alias("_splits"))
             .where(F.col("_d") > LIMIT), "median-cuts")
-        if crowded.isEmpty():
-            discard(spark, cut_path)
-            return table, path
         after, after_path = stored(_narrowed(table, crowded, keys), "median")
         for old in (path, cut_path):
             discard(spark, old)
         table, path = after, after_path
+    return table, path
 
 
 def _medians(middle: DataFrame, keys: list[str], alias: str) -> DataFrame:

@@ -136,11 +136,8 @@ def value_by_tier(fact: DataFrame, dim_executive: DataFrame, unit: float = 1e9)
     """Valuation summary per founder education tier."""
     total, avg, med = _names(unit)
     v = F.col("valuation_usd")
-    # executives of one name count once: the name's number is its first key
-    numbers = dim_executive.groupBy("executive_name").agg(F.min("executive_key").alias("name_number"))
-    tiers = dim_executive.select("executive_key", "tier_flag", "executive_name") \
-        .where(F.col("tier_flag").isNotNull() & (F.col("tier_flag") != TIER_UNKNOWN)) \
-        .join(numbers, "executive_name", "left").select("executive_key", "tier_flag", "name_number")
+    tiers = dim_executive.select("executive_key", "tier_flag") \
+        .where(F.col("tier_flag").isNotNull() & (F.col("tier_flag") != TIER_UNKNOWN))
     base = fact.where(v > 0).select("company_key", "executive_key", "valuation_usd") \
         .join(tiers, "executive_key")
     out = agg_with_median(base, ["tier_flag"], [
@@ -149,8 +146,11 @@ def value_by_tier(fact: DataFrame, dim_executive: DataFrame, unit: float = 1e9)
         round_half(F.avg(v) / unit, 2).alias(avg),
         round_half(F.avg(F.ln(v)), 4).alias("avg_log_valuation"),
     ], "valuation_usd", _MED)
-    counts = distinct_counts(base, ["tier_flag"], {"total_companies": "company_key", "total_executives": "name_number"})
-    out = null_safe_join(out, counts, ["tier_flag"]).withColumn(med, round_half(F.col(_MED) / unit, 2))
+    counts = distinct_counts(base, ["tier_flag"], {"total_companies": "company_key"})
+    # executives of one name count once: the keys seen are no more than the dimension's rows, and only they meet their names
+    seen = base.select("tier_flag", "executive_key").distinct().join(dim_executive.select("executive_key", "executive_name"), "executive_key")
+    names = seen.groupBy("tier_flag").agg(F.count_distinct("executive_name").alias("total_executives"))
+    out = null_safe_join(null_safe_join(out, counts, ["tier_flag"]), names, ["tier_flag"]).withColumn(med, round_half(F.col(_MED) / unit, 2))
     return out.select("tier_flag", "executive_company_pairs", "total_companies", "total_executives",
                       total, avg, med, "avg_log_valuation") \
               .orderBy(F.desc_nulls_last(avg), "tier_flag")
