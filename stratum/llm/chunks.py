@@ -13,6 +13,7 @@ from .store import store, unstore
 RADIUS = 24       # a cut is a byte whose gear hash is the largest within this distance
 WINDOW = 32       # bytes that a 32-bit gear hash remembers
 LONGEST = 256     # longer chunks (periodic text has no largest hash) are split evenly from their start
+RUN = 3           # neighbouring chunks of a window at most
 CONTEXT = 512     # bytes beside a run of equal stretches that are compared directly
 BEFORE, AFTER = 2 * RADIUS + WINDOW, 2 * RADIUS + 1    # bytes on both sides of a cut that decide it, ties included
 _GEAR = np.random.Generator(np.random.PCG64(5)).integers(0, 2**32, 256, dtype=np.uint32)
@@ -74,21 +75,6 @@ def digests(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def _chunks(batches):
-    """(digest, id, s) of every chunk between two cuts that nearby bytes alone decide."""
-    for batch in batches:
-        buf, rows = wh.text_bytes(batch.column(1))
-        for i, j in wh.row_groups(rows, 4 * wh.BLOCK):
-            parts = [buf[rows[r]:rows[r + 1]] for r in range(i, j)]
-            at = [cuts(p) for p in parts]
-            fit = [np.diff(a) <= LONGEST for a in at]
-            d = [digests(p, a)[f] for p, a, f in zip(parts, at, fit)]
-            n = np.array([len(x) for x in d])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(d).view(np.int64)), batch.column(0).take(pa.array(i + np.repeat(np.arange(j - i), n))),
-                 pa.array(np.concatenate([a[:-1][f] for a, f in zip(at, fit)]).astype(np.int64))], names=["digest", "id", "s"])
-
-
 def least_stretches(text: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
     """(starts, ends) of the shortest stretches of ``min_words`` words: from a word's last byte to the first byte of the
     word ``min_words`` - 1 further on.  Every stretch of so many words, whole or cut at its ends, contains one."""
@@ -101,14 +87,85 @@ def least_stretches(text: np.ndarray, min_words: int) -> tuple[np.ndarray, np.nd
     return ends[:n] - 1, starts[min_words - 1:] + 1
 
 
-def may_repeat(text: np.ndarray, s: np.ndarray, e: np.ndarray, repeated: np.ndarray) -> np.ndarray:
-    """False for stretches [s, e) that hold a whole chunk, with all bytes that decide its cuts, which occurs nowhere else."""
-    at = cuts(text)
-    low, high = at[:-1], at[1:]
-    alone = (high - low <= LONGEST) & ~np.isin(low, repeated)
-    low, high = low[alone] - BEFORE, high[alone] + AFTER
-    k = np.searchsorted(low, s)
-    return np.append(high, np.iinfo(np.int64).max)[k] > e
+class Windows:
+    """The whole chunks inside each of a text's shortest stretches, as windows of neighbouring chunks.
+
+    A chunk counts as inside when the stretch also holds the bytes that decide its two cuts.  Stretches with equal bytes have the
+    same windows, wherever they stand.  A window of more than RUN chunks is looked at through its parts of RUN chunks.
+    """
+
+    def __init__(self, text: np.ndarray, min_words: int):
+        self.text, self.at = text, cuts(text)
+        self.s, self.e = least_stretches(text, min_words)
+        low, high = self.at[:-1], self.at[1:]
+        self.low = low
+        # chunks of periodic text are not told apart
+        self.wide = np.concatenate([[0], np.cumsum(high - low > LONGEST)]).astype(np.int64)
+        self.a = np.searchsorted(low - BEFORE, self.s)
+        self.n = np.maximum(0, np.searchsorted(high + AFTER, self.e, side="right") - self.a)
+
+    def _known(self, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return self.wide[first + n] == self.wide[first]
+
+    def wanted(self) -> tuple[np.ndarray, np.ndarray]:
+        """(first chunk, chunks) of the windows that decide about any stretch."""
+        few = (self.n > 0) & (self.n < RUN)
+        short = np.unique(self.a[few] * RUN + self.n[few])
+        many = self.n >= RUN
+        used = np.zeros(len(self.low) + 1, dtype=np.int64)
+        np.add.at(used, self.a[many], 1)
+        np.add.at(used, self.a[many] + self.n[many] - RUN + 1, -1)
+        runs = np.flatnonzero(np.cumsum(used)[:-1])
+        first, n = np.concatenate([short // RUN, runs]), np.concatenate([short % RUN, np.full(len(runs), RUN)])
+        keep = self._known(first, n)
+        return first[keep], n[keep]
+
+    def digests(self, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+        d = digests(self.text, self.at)
+        out = n.astype(np.uint64) * np.uint64(wh._odd(900))
+        for k in range(RUN):
+            inside = n > k
+            out[inside] += d[first[inside] + k] * np.uint64(wh._odd(901 + k))
+        return wh.mix(out)
+
+    def codes(self, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """A number for each window of this text: where it starts, and how many chunks it has."""
+        return self.low[first] * (RUN + 1) + n
+
+    def may_repeat(self, repeated: np.ndarray) -> np.ndarray:
+        """False for stretches that hold a window, among ``wanted``, whose code is not in ``repeated``; True for those without a chunk."""
+        out = np.ones(len(self.s), dtype=bool)
+        few = np.flatnonzero((self.n > 0) & (self.n < RUN))
+        a, n = self.a[few], self.n[few]
+        out[few] = ~self._known(a, n) | np.isin(self.codes(a, n), repeated)
+        many = np.flatnonzero(self.n >= RUN)
+        if len(many):
+            first = np.arange(len(self.low) - RUN + 1)
+            full = np.full(len(first), RUN)
+            alone = self._known(first, full) & ~np.isin(self.codes(first, full), repeated)
+            upto = np.concatenate([[0], np.cumsum(alone)])
+            a = self.a[many]
+            out[many] = upto[a + self.n[many] - RUN + 1] == upto[a]
+        return out
+
+
+def _windows(min_words: int):
+    """(digest, id, code) of the windows of chunks that decide which stretches may repeat."""
+    def run(batches):
+        for batch in batches:
+            buf, rows = wh.text_bytes(batch.column(1))
+            for i, j in wh.row_groups(rows, 4 * wh.BLOCK):
+                digest, code, n = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], []
+                for r in range(i, j):
+                    w = Windows(buf[rows[r]:rows[r + 1]], min_words)
+                    wanted = w.wanted()
+                    digest.append(w.digests(*wanted))
+                    code.append(w.codes(*wanted))
+                    n.append(len(wanted[0]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(digest).view(np.int64)), batch.column(0).take(pa.array(i + np.repeat(np.arange(j - i), n))),
+                     pa.array(np.concatenate(code).astype(np.int64))], names=["digest", "id", "code"])
+    return run
 
 
 def stretch_digests(buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
@@ -132,13 +189,12 @@ def _stretches(min_words: int):
             buf, rows = wh.text_bytes(batch.column(1))
             repeated = batch.column(2)
             for r in range(batch.num_rows):
-                text = buf[rows[r]:rows[r + 1]]
-                s, e = least_stretches(text, min_words)
-                if not len(s):
+                w = Windows(buf[rows[r]:rows[r + 1]], min_words)
+                if not len(w.s):
                     continue
                 here = repeated[r].values
-                keep = may_repeat(text, s, e, here.to_numpy(zero_copy_only=False) if here is not None else np.zeros(0, np.int64))
-                s, e = s[keep], e[keep]
+                keep = w.may_repeat(here.to_numpy(zero_copy_only=False) if here is not None else np.zeros(0, np.int64))
+                text, s, e = w.text, w.s[keep], w.e[keep]
                 d = stretch_digests(text, s, e)
                 order = np.argsort(d, kind="stable")
                 same = d[order][1:] == d[order][:-1]
@@ -213,14 +269,14 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     words, are equal to those from ``first_start`` in ``first_doc_id``: a smaller id, or an earlier place in the
     same text.  The earliest copy of a passage is never reported as a repeat, so removing all spans keeps one.
 
-    Method: every stretch of ``min_words`` words contains a shortest one, from the last byte of its first word to the
-    first byte of its last word.  Two texts share the long one only if they share the short one, so grouping the
-    shortest stretches by digest finds all repeats, and the first holder of each is the first holder of a whole
-    stretch.  To group few of them, each text is first cut where the gear hash of the last 32 bytes is the largest
-    within 24 bytes to either side.  Such cuts depend on nearby bytes alone: a stretch that holds a chunk, and the bytes
-    that decide its two cuts, repeats only if the chunk does.  Stretches with a chunk that occurs once go; those that
-    hold no chunk stay.  The others are joined to their first holder, or in a text that has them before to their last place
-    there; neighbours at one distance form runs, and each run is grown by comparing the bytes on both sides.
+    Method: each text is cut where the gear hash of the last 32 bytes is the largest within 24 bytes to either side; such cuts
+    depend on nearby bytes alone and move with insertions.  Neighbouring chunks form windows of up to RUN, which are
+    deduplicated by digest: windows that occur twice or more mark what may repeat.  Every stretch of ``min_words`` words contains a
+    shortest one, from the last byte of its first word to the first byte of its last word, and that repeats only if all windows of
+    whole chunks in it do.  The stretches inside repeated windows (and those that hold no whole chunk) are then confirmed by a digest of
+    their own, so that the first holder is one of the whole stretch and pieces of earlier texts cannot hide it.  They are joined to their first holder, or
+    in a text that has them before to their last place there; neighbours at one distance form runs, and each run is grown by comparing the
+    bytes on both sides.
 
     Null and empty texts have no stretches; null ids are left out; rows that repeat an id and its text count as one; of
     different texts under one id, spans beyond a text's end are ignored.  Other columns are ignored.
@@ -228,9 +284,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if min_words < 2:
         raise ValueError("min_words must be 2 or more")
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
-    chunks = source.mapInArrow(_chunks, "digest long, id long, s long")
-    often = chunks.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    repeated = chunks.join(often, "digest").groupBy("id").agg(F.collect_list("s").alias("repeated"))
+    windows = source.mapInArrow(_windows(min_words), "digest long, id long, code long")
+    often = windows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    repeated = windows.join(often, "digest").groupBy("id").agg(F.collect_list("code").alias("repeated"))
     found, found_path = store(source.join(repeated, "id", "left").select("id", "text", "repeated").mapInArrow(
         _stretches(min_words), "digest long, id long, s long, n long, prev long"), "stretches", 1000)
     fresh = found.where("prev < 0").drop("prev")
