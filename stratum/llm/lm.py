@@ -368,8 +368,9 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     symbol = F.pmod(F.col("word"), F.lit(SYMBOLS - KNOWN))
     totals = rare.groupBy(symbol.alias("symbol")).agg(F.sum("n").alias("total"))       # one row a shared symbol
     shares = rare.join(F.broadcast(totals), symbol == F.col("symbol")).select("word", F.log(F.col("n") / F.col("total")).alias("share"))
-    used = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("x")).select("row", F.col("x.words").alias("word"), "x.times")
-    own, _ = store(used.join(shares, "word").groupBy("row").agg(F.sum(F.col("times") * F.col("share")).alias("own")), "shares")
+    used = scored.select("row", F.inline(F.arrays_zip(F.col("words").alias("word"), "times")))
+    # shares has one row a word, so a partition's hash table is the words over the partitions; the many uses need no sort
+    own, _ = store(used.join(shares.hint("shuffle_hash"), "word").groupBy("row").agg(F.sum(F.col("times") * F.col("share")).alias("own")), "shares")
     unstore(spark, count_path)
     total = F.col("net") + F.coalesce("own", F.lit(0.0))
     return scored.select("row", "id", "n", "net").join(own, "row", "left").select(
