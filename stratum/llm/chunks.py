@@ -7,13 +7,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import minhash
 from . import wordhash as wh
 from .store import store, unstore
 
 RADIUS = 24       # a cut is a byte whose gear hash is the largest within this distance
 WINDOW = 32       # bytes that a 32-bit gear hash remembers
 LONGEST = 256     # longer chunks (periodic text has no largest hash) are split evenly from their start
-RUN = 3           # neighbouring chunks of a window at most
+RUN = 2           # neighbouring chunks of a window at most
 CONTEXT = 512     # bytes beside a run of equal stretches that are compared directly
 BEFORE, AFTER = 2 * RADIUS + WINDOW, 2 * RADIUS + 1    # bytes on both sides of a cut that decide it, ties included
 _GEAR = np.random.Generator(np.random.PCG64(5)).integers(0, 2**32, 256, dtype=np.uint32)
@@ -181,11 +182,22 @@ def stretch_digests(buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray
     return np.concatenate(out)
 
 
-def _stretches(min_words: int):
-    """(digest, id, s, n, prev) of the shortest stretches [s, s + n) that may repeat; prev: the same one's last place in the
-    text, or -1."""
+def _rows_in(held, column: int, inside: bool):
+    """The rows whose id a bit filter may hold, or, with ``inside`` false, the others; a null id is not held."""
     def run(batches):
         for batch in batches:
+            ids = batch.column(column).cast(pa.int64())
+            bit = minhash._id_bit(ids.fill_null(0).to_numpy())
+            hit = ((held.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1) & ids.is_valid().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(hit == inside))
+    return run
+
+
+def _stretches(min_words: int, held=None):
+    """(digest, id, s, n, prev) of the shortest stretches [s, s + n) that may repeat; prev: the same one's last place in the
+    text, or -1.  With ``held``, of the rows alone that this filter does not hold."""
+    def run(batches):
+        for batch in _rows_in(held, 0, False)(batches) if held else batches:
             buf, rows = wh.text_bytes(batch.column(1))
             repeated = batch.column(2)
             for r in range(batch.num_rows):
@@ -286,9 +298,15 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
     windows = source.mapInArrow(_windows(min_words), "digest long, id long, code long")
     often = windows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    repeated = windows.join(often, "digest").groupBy("id").agg(F.collect_list("code").alias("repeated"))
-    found, found_path = store(source.join(repeated, "id", "left").select("id", "text", "repeated").mapInArrow(
-        _stretches(min_words), "digest long, id long, s long, n long, prev long"), "stretches", 1000)
+    repeated, repeated_path = store(windows.join(often, "digest").groupBy("id").agg(F.collect_list("code").alias("repeated")), "windows")
+    # texts without a repeated window stay where they are; the others meet their windows
+    spark, both = docs.sparkSession, "id long, text string"
+    marked = spark.sparkContext.broadcast(minhash._filter_of(repeated.select("id")))
+    schema = "digest long, id long, s long, n long, prev long"
+    alone = source.withColumn("repeated", F.lit(None).cast("array<bigint>")).mapInArrow(_stretches(min_words, marked), schema)
+    shared = source.mapInArrow(_rows_in(marked, 0, True), both).join(repeated, "id", "left").select("id", "text", "repeated")
+    found, found_path = store(alone.unionAll(shared.mapInArrow(_stretches(min_words), schema)), "stretches", 1000)
+    unstore(spark, repeated_path)
     fresh = found.where("prev < 0").drop("prev")
     # the first holder of all 50 words, not of a part of them that some earlier text has alone
     firsts = fresh.groupBy("digest").agg(F.min("id").alias("fid"), F.min_by("s", "id").alias("fs"))
@@ -302,7 +320,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     wanted = runs.select("id", "s", "e").unionAll(
         runs.select(F.col("fid").alias("id"), (F.col("s") - F.col("far")).alias("s"), (F.col("e") - F.col("far")).alias("e"))
     ).distinct().groupBy("id").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-    slices, slice_path = store(source.join(wanted, "id").select("id", "text", "spans").mapInArrow(
+    wanted, wanted_path = store(wanted, "wanted")
+    held = spark.sparkContext.broadcast(minhash._filter_of(wanted.select("id")))
+    slices, slice_path = store(source.mapInArrow(_rows_in(held, 0, True), both).join(wanted, "id").select("id", "text", "spans").mapInArrow(
         _slices, "id long, s long, e long, left binary, right binary, words long, broken boolean"), "slices", 1000)
     there = slices.select(F.col("id").alias("fid"), F.col("s").alias("fs"), F.col("e").alias("fe"),
                           F.col("left").alias("fleft"), F.col("right").alias("fright"))
@@ -310,7 +330,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .join(slices, ["id", "s", "e"]).join(there, ["fid", "fs", "fe"])
     grown, _ = store(pairs.mapInArrow(
         _grow(min_words), "id long, start long, end long, n_words long, first_id long, first_start long").distinct(), "spans", 2000)
-    for path in (run_path, slice_path):
+    for path in (run_path, wanted_path, slice_path):
         unstore(docs.sparkSession, path)
     return grown.select(F.col("id").alias(id_col), "start", "end", "n_words", F.col("first_id").alias("first_doc_id"),
                         "first_start")
@@ -341,8 +361,12 @@ def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text
     from .store import free_name
 
     col = free_name(docs, "spans_to_cut")
-    by_doc = spans.groupBy(F.col(id_col).alias(col + "id")).agg(F.collect_list(F.struct("start", "end")).alias(col))
-    wide = docs.join(by_doc, F.col(id_col).cast("long") == F.col(col + "id"), "left").drop(col + "id")
+    by_doc, _ = store(spans.groupBy(F.col(id_col).cast("long").alias(col + "id")).agg(F.collect_list(F.struct("start", "end")).alias(col)), "cuts")
+    held = docs.sparkSession.sparkContext.broadcast(minhash._filter_of(by_doc.select(col + "id")))
+    key = [c.lower() for c in docs.columns].index(id_col.lower())
+    # rows that no span names are not moved
+    kept, touched = (docs.mapInArrow(_rows_in(held, key, inside), docs.schema) for inside in (False, True))
+    wide = touched.join(by_doc, F.col(id_col).cast("long") == F.col(col + "id"), "left").drop(col + "id")
     at = [c.lower() for c in docs.columns].index(text_col.lower())
     name = docs.columns[at]
 
@@ -357,7 +381,7 @@ def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text
 
     schema = StructType([StructField(f.name, f.dataType, True) for f in docs.schema.fields])
     assert wide.columns[at] == name
-    return wide.mapInArrow(run, schema)
+    return kept.unionAll(wide.mapInArrow(run, schema))
 
 
 def without(raw: bytes, spans: list[tuple[int, int]]) -> str:
