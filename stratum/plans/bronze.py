@@ -155,7 +155,7 @@ def land(spark: SparkSession, drop_zone: str, bronze_path: str, manifest_path: s
     Contents are written before manifest rows, each into this run's own
     partition: a crash in between re-lands the files on the next run, and
     repeating a run id replaces its output.  Running twice lands nothing
-    the second time.  Every file is read once to be hashed, and once more only if it has to be landed.
+    the second time.  Every file is read once to be hashed; once more are read those to land and any modified after the oldest of them.
     Files of more than ``big`` bytes are hashed and landed by split, in several rows numbered by ``part``; no task holds such a file.
 
     The write of the contents counts objects, bytes and whole files whose bytes are no longer those that were hashed.  If one has changed
@@ -168,13 +168,15 @@ def land(spark: SparkSession, drop_zone: str, bronze_path: str, manifest_path: s
     plan = materialize(plan, "ingest-plan")
     run = run or f"batch-{uuid.uuid4().hex}"
     todo = plan.where(F.col("action") != "unchanged")
-    # the names of files to land, which Spark's own listing of the zone holds on the driver as well; unchanged files stay closed
     columns = ["object_name", "part", "content", "content_md5", "source_system", "size", "modification_time"]
-    chosen = todo.select("path", "size").collect()
-    whole, parts = ([r[0] for r in chosen if (r[1] <= big) == small] for small in (True, False))
+    small = F.col("size") <= big
+    chosen, oldest = todo.agg(F.count(F.lit(1)), F.min(F.when(small, F.unix_micros("modification_time")))).first()
+    parts = [r[0] for r in todo.where(~small).select("path").collect()]
     landed = None
-    if whole:
-        contents = spark.read.format("binaryFile").load(_literal_paths(whole)).select("path", "content", F.lit(0).cast("long").alias("part"))
+    if oldest is not None:
+        # by their times and lengths, which a listing tells, files that have not changed since the oldest of these stay closed
+        recent = (F.col("modificationTime") >= F.timestamp_micros(F.lit(oldest))) & (F.col("length") <= big)
+        contents = read_binary(spark, drop_zone).where(recent).select("path", "content", F.lit(0).cast("long").alias("part"))
         landed = todo.join(contents, "path").select(*columns)
     if parts:
         contents = blocks.file_parts(spark, _literal_paths(parts)).withColumnRenamed("path", "uri")
@@ -185,7 +187,7 @@ def land(spark: SparkSession, drop_zone: str, bronze_path: str, manifest_path: s
         got = write_run(landed, bronze_path, run, {
             "objects": F.count_if(F.col("part") == 0), "bytes": F.sum(F.octet_length("content")),
             "changed": F.count_if(whole_file & (F.md5("content") != F.col("content_md5")))})
-        got["missing"] = len(chosen) - got["objects"]
+        got["missing"] = chosen - got["objects"]
         if broken := [m for m in ("changed", "missing") if got[m]]:
             raise CheckFailed(bronze_path, got, broken)
         rows = write_run(manifest_rows(todo, operator_id), manifest_path, run, {"rows": F.count(F.lit(1))})

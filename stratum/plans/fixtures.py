@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -276,14 +278,47 @@ def write_layers(documents: DataFrame, base: str) -> dict[str, str]:
 
 
 def write_drop_zone(supplier: DataFrame, base: str, suffix: str = "") -> None:
-    """One small file for each supplier: its key and name, then ``suffix``; every tenth has an extension that is not landed."""
+    """One small file for each supplier: its key and name, then ``suffix``; every tenth has an extension that is not landed.
+
+    Tasks write the files, those of one name by one task in the table's order, so the last one stays.  Where the folder is in a
+    store that only Hadoop's client opens, the driver writes them one by one.
+    """
     spark = supplier.sparkSession
     jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for key, name in supplier.select("s_suppkey", "s_name").toLocalIterator():
-        path = jvm.org.apache.hadoop.fs.Path(f"{base}/{name}{'.bin' if key % 10 == 4 else '.csv'}")
-        out = path.getFileSystem(hadoop).create(path, True)
-        out.write(f"{key},{name}\n{suffix}".encode())
-        out.close()
+    zone = jvm.org.apache.hadoop.fs.Path(base)
+    uri = zone.getFileSystem(hadoop).makeQualified(zone).toUri().toString()
+
+    def file(key, name):
+        return f"{name}{'.bin' if key % 10 == 4 else '.csv'}", f"{key},{name}\n{suffix}".encode()
+
+    def write(batches):
+        store, folder = fs.FileSystem.from_uri(uri)
+        made = set()
+        for batch in batches:
+            for key, name in zip(batch.column("s_suppkey").to_pylist(), batch.column("s_name").to_pylist()):
+                path, body = file(key, name)
+                path = f"{folder}/{path}"
+                if (above := path.rsplit("/", 1)[0]) not in made:
+                    store.create_dir(above)
+                    made.add(above)
+                with store.open_output_stream(path) as out:
+                    out.write(body)
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    rows = supplier.select("s_suppkey", "s_name")
+    try:
+        fs.FileSystem.from_uri(uri)
+    except (pa.ArrowException, OSError):
+        for key, name in rows.toLocalIterator():
+            path, body = file(key, name)
+            path = jvm.org.apache.hadoop.fs.Path(f"{base}/{path}")
+            out = path.getFileSystem(hadoop).create(path, True)
+            out.write(body)
+            out.close()
+        return
+    tasks = spark.sparkContext.defaultParallelism
+    (rows.withColumn("_at", F.monotonically_increasing_id()).repartition(tasks, F.coalesce("s_name", F.lit("None")))
+         .sortWithinPartitions("_at").mapInArrow(write, "n long").agg(F.sum("n")).collect())
 
 
 def write_broken_csv(customer: DataFrame, path: str) -> None:
