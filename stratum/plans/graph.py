@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.graph import closure, edges, instances_below, path_then_star
+from ..operators.graph import closure, instances_below, path_then_star
+from ..session import materialize
 from ..sources.tables import Tables, spread
 
 # --- fixed values that must equal the reference's --------------------------
@@ -84,29 +85,31 @@ def bgp_join(triples: DataFrame, labels: DataFrame, target_class: str = "root",
     Inner joins of filtered triple sets, a semi join for the kinds list,
     a left join for the optional degree and left joins to the label table
     (an id without a label in ``lang`` is its own label).
+
+    Every node gets its label where it has the fewest rows: universities, degrees and companies before they meet the
+    executives, executives before they meet the largest input (executive -> university edges).  That input is
+    dealt out once for the join and once for the distinct; repeated edges wait for the latter.
     """
-    companies = instances_below(triples, INSTANCE_OF, SUBCLASS_OF, target_class) \
-        .select(F.col("entity").alias("company"))
-    execs = edges(triples, EXECUTIVE).select(F.col("s").alias("company"), F.col("o").alias("executive"))
-    study = edges(triples, EDUCATED_AT).select(F.col("s").alias("executive"), F.col("o").alias("university"))
-    kind_ok = (edges(triples, INSTANCE_OF).where(F.col("o").isin(*kinds))
-               .select(F.col("s").alias("university")).distinct())
-    degree = edges(triples, DEGREE).select(F.col("s").alias("executive"), F.col("o").alias("degree"))
-    # stream the largest input (executive -> university edges, cut by the
-    # kinds first); the company and executive sides join onto it
-    m = (study.join(kind_ok, "university", "left_semi")
-         .join(execs, "executive").join(companies, "company")
-         .join(degree, "executive", "left"))
-    lab = labels.where(F.col("lang") == lang).select("id", "text")
+    lab = labels.where(F.col("lang") == lang).select(F.col("id").alias("_id"), F.col("text").alias("_text"))
 
     def named(df, col):
-        l2 = lab.select(F.col("id").alias(f"_{col}_id"), F.col("text").alias(f"_{col}_text"))
-        return (df.join(l2, df[col] == l2[f"_{col}_id"], "left")
-                .withColumn(f"{col}Label", F.coalesce(F.col(f"_{col}_text"), F.col(col)))
-                .drop(f"_{col}_id", f"_{col}_text"))
-
-    for c in ("company", "executive", "university", "degree"):
-        m = named(m, c)
+        return (df.join(lab, F.col(col) == F.col("_id"), "left")
+                .withColumn(f"{col}Label", F.coalesce("_text", col)).drop("_id", "_text"))
+
+    def pairs(predicate, s, o):
+        return triples.where(F.col("p") == predicate).select(F.col("s").alias(s), F.col("o").alias(o))
+
+    # stored, so that their sizes are known before the large sides are dealt out
+    universities = materialize(named(
+        pairs(INSTANCE_OF, "university", "kind").where(F.col("kind").isin(*kinds)).select("university").distinct(), "university"), "universities")
+    degrees = materialize(named(pairs(DEGREE, "_", "degree").select("degree").distinct(), "degree"), "degrees")
+    companies = named(instances_below(triples, INSTANCE_OF, SUBCLASS_OF, target_class)
+                      .select(F.col("entity").alias("company")), "company")
     # an absent optional degree has no label either
-    m = m.withColumn("degreeLabel", F.when(F.col("degree").isNotNull(), F.col("degreeLabel")))
-    return m.select("companyLabel", "executiveLabel", "universityLabel", "degreeLabel").distinct()
+    degree = pairs(DEGREE, "_executive", "_degree").join(degrees, F.col("_degree").eqNullSafe(F.col("degree"))) \
+        .select("_executive", "degreeLabel").repartition("_executive").distinct()
+    execs = named(pairs(EXECUTIVE, "company", "executive").join(companies, "company").select("executive", "companyLabel"), "executive")
+    execs = (execs.join(degree, F.col("executive") == F.col("_executive"), "left")
+             .select("executive", "companyLabel", "executiveLabel", "degreeLabel").distinct())
+    study = pairs(EDUCATED_AT, "executive", "university").join(universities, "university").select("executive", "universityLabel")
+    return study.join(execs, "executive").select("companyLabel", "executiveLabel", "universityLabel", "degreeLabel").distinct()
