@@ -1,7 +1,5 @@
 """Drop zones of many files: written by tasks, landed without a list of their paths."""
 
-from pyspark.sql import DataFrame
-
 from stratum.plans import bronze, fixtures
 
 
@@ -17,7 +15,7 @@ def test_drop_zone_is_written_by_tasks(spark, tmp_path, monkeypatch):
     def refused(*args, **kwargs):
         raise AssertionError("rows pass through the driver")
 
-    monkeypatch.setattr(DataFrame, "toLocalIterator", refused)
+    monkeypatch.setattr(type(spark.range(1)), "toLocalIterator", refused)
     rows = [(k, f"Supplier#{k:03} é") for k in range(60)] + [(61, None), (70, "twice"), (65, "twice"), (64, "dot")]
     zone_of(spark, f"{tmp_path}/zone x", rows, "more")
     want = {}
